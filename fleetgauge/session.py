@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def local_session(cpus: str = "*", app: str = "fleetgauge", **conf: str) -> SparkSession:
@@ -34,9 +35,8 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="fleetgauge-ck-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-        return folder
+        app = spark.sparkContext.applicationId
+        return _local_folders.setdefault(app, tempfile.mkdtemp(prefix="fleetgauge-ck-"))
     raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
 
 
