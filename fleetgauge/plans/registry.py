@@ -11,6 +11,7 @@ from fleetgauge.functions.time import AsOf
 from fleetgauge.plans import campaigns, compliance, counts, os_mix, quality, support
 from fleetgauge.plans.kpi import Kpi
 from fleetgauge.schemas import conform
+from fleetgauge.sources import sql_kpis
 from fleetgauge.sources.tables import Sources
 
 FAMILIES = {
@@ -22,6 +23,7 @@ FAMILIES = {
     os_mix.FAMILY: os_mix.os_mix_kpis,
     campaigns.TARGETED_FAMILY: campaigns.targeted_kpi,
     campaigns.FAMILY: campaigns.campaign_kpis,
+    sql_kpis.FAMILY: sql_kpis.sql_kpis,
 }
 
 KPIS: list[Kpi] = [*compliance.KPIS, *counts.KPIS, *quality.KPIS, *support.KPIS, *os_mix.KPIS, *campaigns.KPIS]
