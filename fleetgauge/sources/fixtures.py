@@ -137,17 +137,17 @@ SELECT DISTINCT CASE WHEN o_orderkey % 4 = 2 THEN 'AF126CAE-171C-4329-B1AB-D70F5
        CAST((o_orderkey % 4) % 3 AS INT) AS protected
 FROM {orders}""",
     "campaigns": """
-SELECT concat('G', CAST(1 + n_nationkey % 3 AS STRING)) AS grp, concat('T', CAST(n_nationkey AS STRING)) AS type,
-       CASE WHEN n_nationkey % 8 = 7 THEN 'S' ELSE 'P' END AS kind,
-       CASE WHEN n_nationkey IN (16, 20) THEN DATE '2001-10-30'
-            WHEN n_nationkey % 6 = 0 THEN DATE '2001-11-01' WHEN n_nationkey % 6 = 1 THEN DATE '2001-09-24'
-            WHEN n_nationkey % 6 = 2 THEN DATE '2001-10-08' WHEN n_nationkey % 6 = 3 THEN DATE '2001-06-01'
-            WHEN n_nationkey % 6 = 4 THEN DATE '2001-09-10' ELSE DATE '2001-10-15' END AS start_date
-FROM {nation}""",
+SELECT concat('G', CAST(1 + n % 3 AS STRING)) AS grp, concat('T', CAST(s_suppkey AS STRING)) AS type,
+       CASE WHEN n % 8 = 7 THEN 'S' ELSE 'P' END AS kind,
+       CASE WHEN n IN (16, 20) THEN DATE '2001-10-30'
+            WHEN n % 6 = 0 THEN DATE '2001-11-01' WHEN n % 6 = 1 THEN DATE '2001-09-24'
+            WHEN n % 6 = 2 THEN DATE '2001-10-08' WHEN n % 6 = 3 THEN DATE '2001-06-01'
+            WHEN n % 6 = 4 THEN DATE '2001-09-10' ELSE DATE '2001-10-15' END AS start_date
+FROM (SELECT s_suppkey, s_suppkey % 25 AS n FROM {supplier}) AS numbered""",
     "campaign_hosts": """
-SELECT concat('WS', CAST(o_orderkey AS STRING)) AS host, concat('G', CAST(1 + (o_custkey % 25) % 3 AS STRING)) AS grp,
-       concat('T', CAST(o_custkey % 25 AS STRING)) AS type, 'P' AS kind, CAST(1 + (o_orderkey % 7) % 4 AS INT) AS state
-FROM {orders}""",
+SELECT concat('WS', CAST(l_orderkey AS STRING)) AS host, concat('G', CAST(1 + (l_suppkey % 25) % 3 AS STRING)) AS grp,
+       concat('T', CAST(l_suppkey AS STRING)) AS type, 'P' AS kind, CAST(1 + (l_orderkey % 7) % 4 AS INT) AS state
+FROM {lineitem}""",
     "kpi_daily_labelled": """
 SELECT concat('orders ', o_orderpriority) AS indicateur, 'orders' AS indicateur_parent, n_name AS maille, r_name AS maille_parent,
        CAST(o_orderdate AS DATE) AS date, CAST(count(*) AS DOUBLE) AS valeur
