@@ -18,6 +18,7 @@ from fleetgauge.functions.time import AsOf
 from fleetgauge.operators import dedupe, history, ids, inventory, maintenance, org, rollup
 from fleetgauge.plans import campaigns, compliance, os_mix, registry, support
 from fleetgauge.schemas import KPI_DEF, conform
+from fleetgauge.session import written
 from fleetgauge.sources import sql_kpis
 from fleetgauge.sources.fixtures import AS_OF, HISTORY_AS_OF
 from fleetgauge.sources.tables import Sources, scan_table
@@ -89,7 +90,7 @@ FROM asset_support a LEFT JOIN (SELECT id, min(um) AS um FROM people_all GROUP B
 )
 def _(src):
     kpis = sql_kpis.report_from_directory(src.spark, str(REPORTS / "r031"))
-    return sql_kpis.sql_kpis(src, AS_OF, kpis)
+    return registry.compute(src, AS_OF, kpis)
 
 
 @register(
@@ -237,6 +238,14 @@ for _r in registry.reports():
     register(f"run_report_{_r.lower()}", " UNION ALL ".join(kpi_sql(k.name) for k in registry.kpis_of(_r)))(_report(_r))
 
 
+@register(
+    "run_report",
+    " UNION ALL ".join(f"SELECT *, '{k.report}' AS report FROM ({kpi_sql(k.name)})" for k in registry.KPIS),
+)
+def _(src):
+    return registry.compute_with_report(src, AS_OF, registry.KPIS)
+
+
 # ==== predicates ============================================================================
 _UNION6 = "(SELECT * FROM people UNION ALL SELECT * FROM departments)"
 
@@ -629,7 +638,7 @@ def _(src):
 
 @register(
     "prev_month",
-    f"SELECT o_orderkey, {iso_sql(chr(100) + 'ate_trunc(' + chr(39) + 'month' + chr(39) + ', CAST(o_orderdate AS DATE) - INTERVAL 1 MONTH)')} AS month FROM orders",
+    "SELECT o_orderkey, strftime(date_trunc('month', CAST(o_orderdate AS DATE) - INTERVAL 1 MONTH), '%Y-%m-%d') AS month FROM orders",
 )
 def _(src):
     return src.orders.select("o_orderkey", iso(time.previous_month("o_orderdate")).alias("month"))
@@ -666,7 +675,7 @@ FROM {asset_latest_sql(True, True)} i LEFT JOIN org_one u ON u.owner_key = upper
 )
 def _(src):
     columns = ["owner_id", "manufacturer", "mac", "is_virtual"]
-    rows = inventory.asset_latest(src, AS_OF, columns, with_model=True, with_scan=True, within_window=True)
+    rows = inventory.asset_latest(src, AS_OF, columns, inventory.Selection(model=True, window=True), with_scan=True)
     rows = rows.withColumn("owner_key", F.upper("owner_id"))
     located = org.with_paths(rows, org.org_single(org.org_dimension(src), F.upper("id")), "owner_key", spread_by="tag")
     return located.select(
@@ -723,6 +732,7 @@ def _(src):
     from fleetgauge.plans.quality import SINGLE, QualitySpec, compared_assets
 
     rows = compared_assets(src, AS_OF, [QualitySpec(a) for a in SINGLE])
+    rows = rows.filter(F.col("selection") == inventory.Selection(model=True).label)
     return rows.select("tag_key", *[SINGLE[a].code().alias(a) for a in SINGLE])
 
 
@@ -784,13 +794,13 @@ HISTORY_VIEWS: dict[str, str] = {
 
 def all_units(src: Sources) -> DataFrame:
     known = known_units(src)
-    return known.unionByName(history.unit_upsert(known, src.kpi_daily_labelled))
+    return written(known.unionByName(history.unit_upsert(known, src.kpi_daily_labelled)), "units")
 
 
 def all_kpis(src: Sources, units: DataFrame | None = None) -> DataFrame:
     known = known_kpis(src)
     units = all_units(src) if units is None else units
-    return known.unionByName(history.kpi_upsert(known, units, src.kpi_daily_labelled, "R2"))
+    return written(known.unionByName(history.kpi_upsert(known, units, src.kpi_daily_labelled, "R2")), "kpis")
 
 
 def as_text(kpis: DataFrame) -> DataFrame:
@@ -810,8 +820,7 @@ def _(src):
 
 @register(
     "new_labels",
-    "SELECT DISTINCT maille, maille_parent FROM kpi_daily_labelled WHERE maille NOT IN (SELECT n_name FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE c_mktsegment = 'NONE') "
-    "AND maille NOT IN (SELECT label FROM known_units)",
+    "SELECT DISTINCT maille, maille_parent FROM kpi_daily_labelled WHERE maille NOT IN (SELECT label FROM known_units)",
 )
 def _(src):
     incoming = src.kpi_daily_labelled.select("maille", "maille_parent").distinct()
@@ -856,7 +865,7 @@ def _(src):
     rows = src.kpi_daily_labelled
     empty = src.spark.createDataFrame([], KPI_DEF)
     units = known_units(src)
-    first = history.kpi_upsert(empty, units, rows.filter(F.col("indicateur") < "orders 4"), "R1")
+    first = written(history.kpi_upsert(empty, units, rows.filter(F.col("indicateur") < "orders 4"), "R1"), "kpis")
     second = history.kpi_upsert(first, units, rows.filter(F.col("indicateur") > "orders 2"), "R2")
     return as_text(first.unionByName(second).drop("id_maille_groupe"))
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SEQUENCE_COLUMNS = ("seq", "seq2")
 
@@ -36,6 +37,9 @@ def latest_per_key(df: DataFrame, keys: list[str], ts: str, ties: list[str] | No
     return first_per_key(df, keys, [F.desc_nulls_first(ts)] + [F.asc(c) for c in ties])
 
 
-def min_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Smallest value per key: the deterministic form of keep-first lookups."""
-    return df.groupBy(key).agg(F.min(value).alias(value))
+def newest_first(df: DataFrame, ts: str) -> Column:
+    """Sort key whose smallest value is the latest time, or a missing one."""
+    kind = df.schema[ts].dataType
+    if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"{ts} is {kind.simpleString()}, expected a date or timestamp")
+    return F.struct(F.col(ts).isNotNull().alias("known"), (F.lit("1970-01-01").cast(kind) - F.col(ts)).alias("since"))

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import account_or_excluded, joined_list, key_part, norm_key
 from fleetgauge.functions.time import AsOf, day_age
-from fleetgauge.operators.dedupe import latest_per_key, tie_break
+from fleetgauge.operators.dedupe import latest_per_key, newest_first, tie_break
 from fleetgauge.sources.tables import Sources
 
 
 def agent_latest(src: Sources) -> DataFrame:
     """Latest agent record per host with the derived columns the comparisons use."""
+    return src.block("agent_latest", lambda: _agent_latest(src))
+
+
+def _agent_latest(src: Sources) -> DataFrame:
     latest = latest_per_key(src.agent_inventory, ["host"], "last_scan")
     user = F.upper(key_part("top_user", "-", 1))
     return latest.select(
@@ -43,22 +49,26 @@ def agent_latest_um(src: Sources, org: DataFrame) -> DataFrame:
 
 def directory_latest(src: Sources) -> DataFrame:
     """OS of the latest logon per directory computer."""
-    return latest_per_key(src.directory_computer, ["computer"], "last_logon").select(
-        "computer", F.col("os").alias("directory_os")
-    )
+
+    def build() -> DataFrame:
+        latest = latest_per_key(src.directory_computer, ["computer"], "last_logon")
+        return latest.select("computer", F.col("os").alias("directory_os"))
+
+    return src.block("directory_latest", build)
 
 
 def scans_by_host(src: Sources, as_of: AsOf) -> DataFrame:
     """Scan rows per host: all, within the freshness threshold, within the 30-day window."""
     age = day_age("lastscan", as_of)
-    return (
-        src.last_seen.groupBy(F.col("hostname").alias("scan_host"))
-        .agg(
+
+    def build() -> DataFrame:
+        return src.last_seen.groupBy(F.col("hostname").alias("scan_host")).agg(
             F.max("lastscan").alias("lastscan"),
             F.count_if(age < fv.FRESH_DAYS).alias("fresh_scans"),
             F.count_if(age < fv.WINDOW_DAYS).alias("window_scans"),
         )
-    )
+
+    return src.block(f"scans_{as_of.day}", build)
 
 
 def models_by_tag(src: Sources) -> DataFrame:
@@ -66,34 +76,78 @@ def models_by_tag(src: Sources) -> DataFrame:
     return src.asset_model.groupBy(F.col("tag").alias("model_tag")).agg(F.min("model_number").alias("model_number"))
 
 
-def asset_latest(
-    src: Sources,
-    as_of: AsOf,
-    columns: list[str],
-    with_model: bool = False,
-    with_scan: bool = False,
-    within_window: bool = False,
+@dataclass(frozen=True, order=True)
+class Selection:
+    """Register records to choose from: with a known model, scanned in the 30-day window."""
+
+    model: bool = False
+    window: bool = False
+
+    @property
+    def label(self) -> str:
+        return f"model={self.model} window={self.window}"
+
+    def condition(self) -> Column:
+        chosen = F.lit(True)
+        if self.model:
+            chosen = chosen & F.col("model_tag").isNotNull()
+        if self.window:
+            chosen = chosen & (F.coalesce("window_scans", F.lit(0)) > 0)
+        return chosen
+
+
+def latest_by_selection(
+    src: Sources, as_of: AsOf, columns: list[str], selections: list[Selection], with_scan: bool = False
 ) -> DataFrame:
-    """Latest register record per normalised tag.
+    """Latest register record per normalised tag: one row per tag, one struct per selection.
 
     Scan and model belong to the raw tag, so records are first reduced to one per raw tag:
-    the joins that follow then meet each tag once however often it was copied, and reuse
-    that partitioning.
+    the joins that follow meet each tag once however often it was copied, and reuse that
+    partitioning. The reduction per normalised tag is an aggregate with partial results on
+    the map side; all selections share its shuffle.
     """
-    columns = list(dict.fromkeys(columns))
-    order = [c for c in ("seq", "seq2") if c in src.assets.columns]
-    rows = src.assets.select("tag", "updated_on", *columns, *order)
+    sequence = [c for c in ("seq", "seq2") if c in src.assets.columns]
+    rows = src.assets.select("tag", "updated_on", *dict.fromkeys(columns), *sequence)
     ties = tie_break(rows, exclude=["updated_on"])
     rows = latest_per_key(rows, ["tag"], "updated_on", ties)
-    if with_model:
+    payload = ["tag", *dict.fromkeys(columns)]
+    if any(s.model for s in selections):
         models = models_by_tag(src)
-        rows = rows.join(models, rows.tag == models.model_tag, "inner").drop("model_tag")
-    if with_scan or within_window:
+        how = "inner" if all(s.model for s in selections) else "left"
+        rows = rows.join(models, rows.tag == models.model_tag, how)
+        payload.append("model_number")
+    if with_scan or any(s.window for s in selections):
         scans = scans_by_host(src, as_of)
-        if within_window:
+        if all(s.window for s in selections):
             rows = rows.join(scans.filter("window_scans > 0"), rows.tag == scans.scan_host, "inner")
         else:
             rows = rows.join(scans, rows.tag == scans.scan_host, "left")
-        rows = rows.drop("scan_host")
-    rows = rows.withColumn("tag_key", norm_key("tag"))
-    return latest_per_key(rows, ["tag_key"], "updated_on", ties).drop(*order)
+        payload.append("lastscan")
+    record = F.struct(
+        newest_first(rows, "updated_on").alias("age"),
+        F.struct(*[c for c in ties if c in (*sequence, "tag")]).alias("ties"),
+        F.struct(*payload).alias("asset"),
+    )
+    latest = [F.min(F.when(s.condition(), record)).alias(s.label) for s in selections]
+    grouped = rows.groupBy(norm_key("tag").alias("tag_key")).agg(*latest)
+    return grouped.select("tag_key", *[F.col(f"`{s.label}`.asset").alias(s.label) for s in selections])
+
+
+def per_selection(rows: DataFrame, selections: list[Selection]) -> DataFrame:
+    """The structs of ``latest_by_selection`` as rows, with the selection they belong to."""
+    others = [c for c in rows.columns if c not in {s.label for s in selections}]
+    if len(selections) == 1:
+        label = selections[0].label
+        found = rows.filter(F.col(f"`{label}`").isNotNull())
+        return found.select(*others, F.lit(label).alias("selection"), F.col(f"`{label}`.*"))
+    entries = [F.struct(F.lit(s.label).alias("selection"), F.col(f"`{s.label}`").alias("asset")) for s in selections]
+    long = rows.select(*others, F.inline(F.array(*entries))).filter(F.col("asset").isNotNull())
+    return long.select(*others, "selection", "asset.*")
+
+
+def asset_latest(
+    src: Sources, as_of: AsOf, columns: list[str], selection: Selection = Selection(), with_scan: bool = False
+) -> DataFrame:
+    """Latest register record per normalised tag among the selected ones."""
+    latest = latest_by_selection(src, as_of, columns, [selection], with_scan)
+    return per_selection(latest, [selection]).drop("selection")

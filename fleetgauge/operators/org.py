@@ -24,12 +24,16 @@ def org_dimension(
     code: Callable[[str], Column] = last_paren_code,
 ) -> DataFrame:
     """Distinct (id, level codes). An id listed under two paths keeps both rows."""
-    return (
-        org_union(src, levels)
-        .filter(~is_blank("id"))
-        .select("id", *[code(level).alias(level) for level in levels])
-        .distinct()
-    )
+
+    def build() -> DataFrame:
+        return (
+            org_union(src, levels)
+            .filter(~is_blank("id"))
+            .select("id", *[code(level).alias(level) for level in levels])
+            .distinct()
+        )
+
+    return src.block(f"org{len(levels)}_{code.__name__}", build)
 
 
 def org_weights(

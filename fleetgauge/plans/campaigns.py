@@ -11,7 +11,7 @@ from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import first_paren_code, is_connected
 from fleetgauge.functions.time import AsOf, days_after_is_now
 from fleetgauge.operators.org import org_dimension, org_weights, with_paths
-from fleetgauge.plans.kpi import Kpi, one_row_per_kpi
+from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
 FAMILY, TARGETED_FAMILY, REPORT = "campaigns", "campaigns_targeted", "R039"
@@ -107,8 +107,8 @@ def _members(src: Sources, as_of: AsOf, aggregates: list[Column]) -> tuple[DataF
     return hosts, assets.join(recent, assets.tag == recent.recent_host, "left_semi")
 
 
-def _label(k: Kpi, suffix: str) -> Column:
-    """'group - type - milestone' and the KPI's suffix."""
+def _label(suffix: str) -> Column:
+    """'group - type - milestone' and a suffix."""
     return F.concat("grp", F.lit(" - "), "type", F.lit(" - "), "milestone", F.lit(suffix))
 
 
@@ -136,10 +136,10 @@ def campaign_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
         *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in range(len(kpis))],
     )
     measures = [
-        (_label(k, k.indicateur), _label(k, k.indicateur_parent), F.col(f"v_{i}"), F.col(f"p_{i}"))
+        Measure(k, F.col(f"v_{i}"), F.col(f"p_{i}"), _label(k.indicateur), _label(k.indicateur_parent))
         for i, k in enumerate(kpis)
     ]
-    return one_row_per_kpi(wide, fv.UNIT_GROUP_6, measures)
+    return result_rows(wide, fv.UNIT_GROUP_6, measures)
 
 
 def targeted_kpi(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
@@ -149,8 +149,7 @@ def targeted_kpi(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     reported = joined.join(_reported_campaigns(src, as_of).drop("campaign_rows"), ["grp", "type"], "inner")
     located = with_paths(reported, _org(src).drop("org_rows"), "owner", how="inner")
     counts = located.groupBy("maille", "grp", "type", "milestone").agg(F.countDistinct("host").alias("n"))
-    measures = [(_label(k, k.indicateur), F.lit(k.indicateur_parent), F.col("n"), F.lit(True)) for k in kpis]
-    return one_row_per_kpi(counts, fv.UNIT_GROUP_6, measures)
+    return result_rows(counts, fv.UNIT_GROUP_6, [Measure(k, F.col("n"), indicateur=_label(k.indicateur)) for k in kpis])
 
 
 _DONE, _TOTAL = fv.CAMPAIGN_DONE, fv.CAMPAIGN_NOT_TARGETED

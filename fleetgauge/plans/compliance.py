@@ -9,7 +9,7 @@ from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import compliance_element
 from fleetgauge.functions.time import AsOf, day_age
 from fleetgauge.operators.org import org_dimension, org_weights, with_paths
-from fleetgauge.plans.kpi import Kpi, one_row_per_kpi
+from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
 FAMILY, TOTAL_FAMILY = "compliance", "compliance_total"
@@ -49,8 +49,7 @@ def total_kpi(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     assets = seen_managed(src, as_of).filter(F.col("owner_key").isNotNull()).distinct()
     located = with_paths(assets, _org(src).drop("org_rows"), "owner_key", fv.ORG_LEVELS_5, how="inner")
     counts = located.groupBy("maille").agg(F.countDistinct("tag").alias("n"))
-    measures = [(F.lit(k.indicateur), F.lit(k.indicateur_parent), F.col("n"), F.lit(True)) for k in kpis]
-    return one_row_per_kpi(counts, fv.UNIT_GROUP_5, measures)
+    return result_rows(counts, fv.UNIT_GROUP_5, [Measure(k, F.col("n")) for k in kpis])
 
 
 def _tuples(measure: str) -> tuple[Column, Column]:
@@ -91,15 +90,9 @@ def element_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
         *[F.sum(F.col(f"{p}_{k.spec}") * F.col("org_rows")).alias(f"{p}_{k.spec}") for k in kpis for p in "vr"]
     )
     measures = [
-        (
-            F.concat(F.col("element"), F.lit(k.indicateur)),
-            F.lit(k.indicateur_parent),
-            F.col(f"v_{k.spec}"),
-            F.col(f"r_{k.spec}") > 0,
-        )
-        for k in kpis
+        Measure(k, F.col(f"v_{k.spec}"), F.col(f"r_{k.spec}") > 0, F.concat("element", F.lit(k.indicateur))) for k in kpis
     ]
-    return one_row_per_kpi(wide, fv.UNIT_GROUP_5, measures)
+    return result_rows(wide, fv.UNIT_GROUP_5, measures)
 
 
 KPIS = [

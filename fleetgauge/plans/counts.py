@@ -12,7 +12,7 @@ from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import account_or_excluded, is_connected
 from fleetgauge.functions.time import AsOf, day_age
 from fleetgauge.operators.org import org_dimension, org_weights, with_paths
-from fleetgauge.plans.kpi import Kpi, one_row_per_kpi
+from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
 
@@ -49,7 +49,7 @@ def asset_counts(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
         src.assets.select(
             "tag",
             F.upper("owner_id").alias("owner_key"),
-            *[(s.asset() if s.asset else true).alias(f) for s, f in zip(specs, flags)],
+            *[(s.asset() if s.asset else true).alias(f) for s, f in zip(specs, flags, strict=True)],
         )
         .groupBy("tag", "owner_key")
         .agg(*[F.bool_or(f).alias(f) for f in flags])
@@ -78,10 +78,8 @@ def asset_counts(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
         *[F.count_if(F.col(f) & F.col("tag").isNotNull()).alias(f"n_{f}") for f in flags],
         *[F.bool_or(f).alias(f) for f in flags],
     )
-    measures = [
-        (F.lit(k.indicateur), F.lit(k.indicateur_parent), F.col(f"n_{f}"), F.col(f)) for k, f in zip(kpis, flags)
-    ]
-    return one_row_per_kpi(wide, fv.UNIT_GROUP_6, measures)
+    measures = [Measure(k, F.col(f"n_{f}"), F.col(f)) for k, f in zip(kpis, flags, strict=True)]
+    return result_rows(wide, fv.UNIT_GROUP_6, measures)
 
 
 def _younger(days: int) -> Callable[[Column], Column]:

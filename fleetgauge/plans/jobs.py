@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -33,17 +32,6 @@ class RunSummary:
     skipped: list[str] = field(default_factory=list)
 
 
-def day_rows(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    """Result rows of a day with their report, as one plan."""
-    by_report: dict[str, list[Kpi]] = {}
-    for k in kpis:
-        by_report.setdefault(k.report, []).append(k)
-    frames = [
-        registry.compute(src, as_of, by_report[r]).withColumn("report", F.lit(r)) for r in sorted(by_report)
-    ]
-    return reduce(DataFrame.unionByName, frames)
-
-
 def _sound(src: Sources, as_of: AsOf, kpis: list[Kpi], summary: RunSummary) -> list[Kpi]:
     """KPIs whose plan can be built; the others are reported and left out."""
     good = []
@@ -92,6 +80,7 @@ def run_day(
     """
     store.create()
     store.purge(as_of, st.DAILY)
+    src = src.sharing(written)
     summary = RunSummary()
     wanted = [k for k in (registry.KPIS if kpis is None else kpis) if k.grain == DAY]
     if use_ledger:
@@ -101,10 +90,10 @@ def run_day(
     rows = None
     if wanted:
         try:
-            rows = day_rows(src, as_of, wanted)
+            rows = registry.compute_with_report(src, as_of, wanted)
         except (ContractError, AnalysisException):
             wanted = _sound(src, as_of, wanted, summary)
-            rows = day_rows(src, as_of, wanted) if wanted else None
+            rows = registry.compute_with_report(src, as_of, wanted) if wanted else None
     if rows is not None:
         rows = written(rows, "day")
         register_labels(store, rows, sorted({k.report for k in wanted}))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetgauge.fixed_values import RESULT_COLUMNS
 
 DAY, MONTH = "day", "month"
+REPORT = "report"
 
 
 @dataclass(frozen=True)
@@ -26,37 +27,49 @@ class Kpi:
     grain: str = DAY
 
 
-def result_rows(
-    df: DataFrame, indicateur: Column, indicateur_parent: Column, maille_parent: str, valeur: Column
-) -> DataFrame:
-    """Project grouped rows (with a ``maille`` column) to the result contract."""
-    return df.select(
-        indicateur.alias(RESULT_COLUMNS[0]),
-        indicateur_parent.alias(RESULT_COLUMNS[1]),
-        F.col("maille").alias(RESULT_COLUMNS[2]),
-        F.lit(maille_parent).alias(RESULT_COLUMNS[3]),
-        valeur.cast("double").alias(RESULT_COLUMNS[4]),
-    )
+@dataclass(frozen=True)
+class Measure:
+    """A KPI's value in a wide row, and whether the group exists for that KPI.
 
+    ``present`` tells a zero that is kept from a group the KPI's own selection never had.
+    """
 
-def one_row_per_kpi(
-    df: DataFrame,
-    maille_parent: str,
-    measures: list[tuple[Column, Column, Column, Column]],
-) -> DataFrame:
-    """Turn one wide row per group into one row per KPI.
+    kpi: Kpi
+    valeur: Column
+    present: Column | None = None
+    indicateur: Column | None = None
+    indicateur_parent: Column | None = None
 
-    ``measures``: (indicator, parent, value, present). A KPI has a row for a group only where
-    the group would exist in a query of its own, so a kept zero differs from no row.
+
+def result_rows(df: DataFrame, maille_parent: str, measures: list[Measure]) -> DataFrame:
+    """Turn one wide row per group (with a ``maille`` column) into one row per KPI.
+
+    The rows follow the result contract and carry the KPI's report besides.
     """
+    true = F.lit(True)
+    columns = [
+        {
+            RESULT_COLUMNS[0]: F.lit(m.kpi.indicateur) if m.indicateur is None else m.indicateur,
+            RESULT_COLUMNS[1]: F.lit(m.kpi.indicateur_parent) if m.indicateur_parent is None else m.indicateur_parent,
+            RESULT_COLUMNS[4]: m.valeur.cast("double"),
+            REPORT: F.lit(m.kpi.report),
+        }
+        for m in measures
+    ]
+    present = [true if m.present is None else m.present for m in measures]
     if len(measures) == 1:
-        indicateur, parent, valeur, present = measures[0]
-        return result_rows(df.filter(present), indicateur, parent, maille_parent, valeur)
-    entries = F.array(
-        *[
-            F.struct(i.alias("i"), p.alias("p"), v.cast("double").alias("v"), keep.alias("keep"))
-            for i, p, v, keep in measures
+        wide = df.filter(present[0]).select("maille", *[c.alias(n) for n, c in columns[0].items()])
+    else:
+        entries = [
+            F.struct(*[c.alias(n) for n, c in named.items()], keep.alias("_keep"))
+            for named, keep in zip(columns, present, strict=True)
         ]
+        wide = df.select("maille", F.inline(F.array(*entries))).filter("_keep")
+    return wide.select(
+        RESULT_COLUMNS[0],
+        RESULT_COLUMNS[1],
+        RESULT_COLUMNS[2],
+        F.lit(maille_parent).alias(RESULT_COLUMNS[3]),
+        RESULT_COLUMNS[4],
+        REPORT,
     )
-    long = df.select("maille", F.explode(entries).alias("m")).filter("m.keep")
-    return result_rows(long, F.col("m.i"), F.col("m.p"), maille_parent, F.col("m.v"))

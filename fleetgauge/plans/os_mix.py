@@ -16,7 +16,7 @@ from fleetgauge.functions.text import (
 )
 from fleetgauge.functions.time import AsOf
 from fleetgauge.operators.org import with_paths
-from fleetgauge.plans.kpi import Kpi, result_rows
+from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
 FAMILY, REPORT = "os_mix", "R035"
@@ -87,7 +87,7 @@ def _count(rows: DataFrame, kpi: Kpi, label: Column, distinct: list[str]) -> Dat
     tuples = rows.select(*distinct, *fv.ORG_LEVELS_3).distinct()
     grouped = tuples.select(F.trim(label).alias("label"), org_path3().alias("maille"))
     counts = grouped.groupBy("label", "maille").agg(F.count(F.lit(1)).alias("n"))
-    return result_rows(counts, F.col("label"), F.lit(kpi.indicateur_parent), fv.UNIT_GROUP_3, F.col("n"))
+    return result_rows(counts, fv.UNIT_GROUP_3, [Measure(kpi, F.col("n"), indicateur=F.col("label"))])
 
 
 def _labelled(kpi: Kpi, column: str) -> Column:

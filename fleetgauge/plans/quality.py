@@ -22,14 +22,16 @@ from fleetgauge.functions import accuracy as acc
 from fleetgauge.functions.text import account_or_excluded, is_connected, is_personal_account, key_part, norm_key
 from fleetgauge.functions.time import AsOf, day_age
 from fleetgauge.operators.inventory import (
+    Selection,
     agent_latest,
-    asset_latest,
     directory_latest,
+    latest_by_selection,
+    per_selection,
     scans_by_host,
     unit_by_id,
 )
 from fleetgauge.operators.org import org_dimension, org_single, org_weights, with_paths
-from fleetgauge.plans.kpi import Kpi, one_row_per_kpi
+from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
 FAMILY = "quality"
@@ -88,26 +90,26 @@ def _parts(attribute: str) -> tuple[str, ...]:
     return COMPOSITE if attribute == "all" else (attribute,)
 
 
+def _selection(spec: QualitySpec) -> Selection:
+    return Selection(any(SINGLE[p].model for p in _parts(spec.attribute)), spec.within_window)
+
+
 def compared_assets(src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> DataFrame:
-    """One row per normalised tag with the register, agent and scan columns ``specs`` need."""
-    attributes = {p for s in specs for p in _parts(s.attribute)}
-    columns = ["owner_id", *(c for a in sorted(attributes) for c in SINGLE[a].columns)]
+    """Latest record per normalised tag and selection, with the latest agent record beside it."""
+    attributes = sorted({p for s in specs for p in _parts(s.attribute)})
+    columns = ["owner_id", *(c for a in attributes for c in SINGLE[a].columns)]
     if any(s.connected for s in specs):
         columns.append("network")
-    assets = asset_latest(
-        src,
-        as_of,
-        columns,
-        with_model=any(SINGLE[a].model for a in attributes),
-        with_scan=any(s.fresh_days for s in specs),
-        within_window=specs[0].within_window,
-    )
+    selections = sorted({_selection(s) for s in specs})
+    with_scan = any(s.fresh_days for s in specs)
+    assets = latest_by_selection(src, as_of, columns, selections, with_scan)
     agent = agent_latest(src).select("host", *[F.col(c).alias(a) for c, a in _AGENT_COLUMNS.items()])
-    return assets.join(agent, assets.tag_key == agent.host, "left").drop("host")
+    joined = assets.join(agent, assets.tag_key == agent.host, "left").drop("host")
+    return per_selection(joined, selections)
 
 
-def _single_rows(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    """KPIs that share one reduction to one row per asset."""
+def _single_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
+    """KPIs that count one record per asset."""
     specs: list[QualitySpec] = [k.spec for k in kpis]
     rows = compared_assets(src, as_of, specs).withColumn("owner_key", F.upper("owner_id"))
     min_age = specs[0].min_age
@@ -122,10 +124,12 @@ def _single_rows(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     keys = ["owner_key", "agent_user"] if composite else ["owner_key"]
     aggregates = []
     for i, s in enumerate(specs):
+        selected = F.col("selection") == _selection(s).label
+        if s.connected:
+            selected = selected & is_connected("network")
         equal = [SINGLE[p].code() == fv.CODE_EQUAL for p in _parts(s.attribute)]
         if s.fresh_days is not None:
             equal.append(F.coalesce(day_age("lastscan", as_of) < s.fresh_days, F.lit(False)))
-        selected = is_connected("network") if s.connected else F.lit(True)
         hit = reduce(lambda a, b: a & b, [selected, *equal])
         aggregates += [F.sum(F.when(hit, times).otherwise(0)).alias(f"v_{i}"), F.bool_or(selected).alias(f"p_{i}")]
     grouped = rows.groupBy(*keys).agg(*aggregates)
@@ -137,25 +141,28 @@ def _single_rows(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
         grouped = grouped.join(units, grouped.agent_user == units.um_id, "left")
         same_entity = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
     located = with_paths(grouped, org_single(org, F.upper("id")), "owner_key")
-    return _per_unit(located, kpis, [same_entity if s.attribute == "all" else F.lit(True) for s in specs])
+    conditions = {i: same_entity if s.attribute == "all" else F.lit(True) for i, s in enumerate(specs)}
+    return _per_unit(located, kpis, conditions)
 
 
-def _per_unit(located: DataFrame, kpis: list[Kpi], conditions: list[Column]) -> DataFrame:
-    """Sum per path, each directory row counting the owner's assets once."""
+def _per_unit(located: DataFrame, kpis: list[Kpi], conditions: dict[int, Column]) -> DataFrame:
+    """Sum the KPIs numbered in ``conditions`` per path; each directory row counts the owner's assets."""
     wide = located.groupBy("maille").agg(
         *[
             F.sum(F.when(c, F.col(f"v_{i}") * F.col("org_rows")).otherwise(0)).alias(f"v_{i}")
-            for i, c in enumerate(conditions)
+            for i, c in conditions.items()
         ],
-        *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in range(len(kpis))],
+        *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in conditions],
     )
-    measures = [
-        (F.lit(k.indicateur), F.lit(k.indicateur_parent), F.col(f"v_{i}"), F.col(f"p_{i}")) for i, k in enumerate(kpis)
-    ]
-    return one_row_per_kpi(wide, fv.UNIT_GROUP_6, measures)
+    measures = [Measure(kpis[i], F.col(f"v_{i}"), F.col(f"p_{i}")) for i in conditions]
+    return result_rows(wide, fv.UNIT_GROUP_6, measures)
 
 
 # ---- every register record (OS, entity, responsible, building, site) ------------------------
+RECORDS = ("os", "entity", "responsible", "building", "site")
+_LOCATION_TABLES = {"building": "loc_building", "site": "loc_site"}
+
+
 def register_records(src: Sources, columns: dict[str, Column]) -> DataFrame:
     """Register records counted per (tag, owner, needed columns), so copies travel once."""
     return (
@@ -165,117 +172,122 @@ def register_records(src: Sources, columns: dict[str, Column]) -> DataFrame:
     )
 
 
-def _with_scans(rows: DataFrame, src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> DataFrame:
-    """Scan rows per tag where a spec asks for them; a left join keeps assets never scanned."""
-    if not any(s.fresh_days or s.within_window for s in specs):
-        return rows
-    scans = scans_by_host(src, as_of).drop("lastscan")
-    if all(s.within_window for s in specs):
-        return rows.join(scans.filter("window_scans > 0"), rows.tag == scans.scan_host, "inner")
-    return rows.join(scans, rows.tag == scans.scan_host, "left")
+def compared_records(src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> DataFrame:
+    """Register records with the scan, location, directory and agent columns ``specs`` need.
 
+    What belongs to the raw tag is joined first, what belongs to the normalised tag second,
+    so that two shuffles of the records serve all joins. Every right side has one row per key.
+    """
+    attributes = {s.attribute for s in specs}
+    columns: dict[str, Column] = {}
+    if "os" in attributes:
+        columns["os"] = F.col("os")
+    if "responsible" in attributes:
+        columns |= {"resp_key": F.upper("resp_id"), "personal": is_personal_account("owner_id")}
+    if any(s.connected for s in specs):
+        columns["connected"] = is_connected("network")
+    rows = register_records(src, columns)
 
-def _record_sums(specs: list[QualitySpec], times: Column) -> list[Column]:
-    """Records (times scan rows) and presence per spec; ``times`` counts equal comparisons."""
+    if any(s.fresh_days or s.within_window for s in specs):
+        scans = scans_by_host(src, as_of).drop("lastscan")
+        if all(s.within_window for s in specs):
+            rows = rows.join(scans.filter("window_scans > 0"), rows.tag == scans.scan_host, "inner")
+        else:
+            rows = rows.join(scans, rows.tag == scans.scan_host, "left")
+    for attribute, table in _LOCATION_TABLES.items():
+        if attribute in attributes:
+            right = F.count_if(acc.location_code(F.col("verdict")) == fv.CODE_EQUAL).alias(f"right_{attribute}")
+            verdicts = src[table].groupBy(F.col("tag").alias(f"tag_{attribute}")).agg(right)
+            rows = rows.join(verdicts, rows.tag == verdicts[f"tag_{attribute}"], "left")
+    rows = rows.withColumn("tag_key", norm_key("tag"))
+    if "os" in attributes:
+        directory = directory_latest(src)
+        rows = rows.join(directory, rows.tag_key == directory.computer, "left")
+    if "entity" in attributes:
+        agent = agent_latest(src).select("host", F.col("top_user").alias("agent_user"))
+        rows = rows.join(agent, rows.tag_key == agent.host, "left")
+    return rows
+
+
+def _equal_rows(attribute: str) -> Column:
+    """How many equal comparisons a register record enters; those on directory columns come later."""
+    if attribute == "os":
+        return F.when(acc.os_code(F.col("directory_os"), F.col("os")) == fv.CODE_EQUAL, 1).otherwise(0)
+    if attribute in _LOCATION_TABLES:
+        return F.coalesce(f"right_{attribute}", F.lit(0))
+    return F.lit(1)
+
+
+def _record_sums(specs: list[QualitySpec]) -> list[Column]:
+    """Records with an equal comparison, times their scan rows, and presence per spec."""
+    window = F.coalesce("window_scans", F.lit(0))
     out = []
     for i, s in enumerate(specs):
         selected = F.col("connected") if s.connected else F.lit(True)
-        n = F.col("records") * times
+        n = F.col("records") * _equal_rows(s.attribute)
         if s.fresh_days is not None:
             n = n * F.coalesce("fresh_scans", F.lit(0))
         if s.within_window:
-            n = n * F.coalesce("window_scans", F.lit(0))
-            selected = selected & (F.coalesce("window_scans", F.lit(0)) > 0)
+            n = n * window
+            selected = selected & (window > 0)
         out += [F.sum(F.when(selected, n).otherwise(0)).alias(f"v_{i}"), F.bool_or(selected).alias(f"p_{i}")]
     return out
 
 
-def _flag_columns(specs: list[QualitySpec]) -> dict[str, Column]:
-    return {"connected": is_connected("network")} if any(s.connected for s in specs) else {}
-
+def _regroup(sums: DataFrame, keys: list[str], chosen: list[int]) -> DataFrame:
+    values = [F.sum(f"v_{i}").alias(f"v_{i}") for i in chosen]
+    return sums.groupBy(*keys).agg(*values, *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in chosen])
 
-def _os(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    specs = [k.spec for k in kpis]
-    rows = register_records(src, {"os": F.col("os"), **_flag_columns(specs)})
-    rows = _with_scans(rows, src, as_of, specs)
-    directory = directory_latest(src)
-    rows = rows.join(directory, norm_key("tag") == directory.computer, "left")
-    equal = F.when(acc.os_code(F.col("directory_os"), F.col("os")) == fv.CODE_EQUAL, 1).otherwise(0)
-    grouped = rows.groupBy("owner_key").agg(*_record_sums(specs, equal))
-    org = org_weights(org_dimension(src), F.upper("id"))
-    return _per_unit(with_paths(grouped, org, "owner_key"), kpis, [F.lit(True)] * len(kpis))
 
-
-def _entity(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    specs = [k.spec for k in kpis]
-    rows = _with_scans(register_records(src, _flag_columns(specs)), src, as_of, specs)
-    agent = agent_latest(src).select("host", F.col("top_user").alias("agent_user"))
-    rows = rows.join(agent, norm_key("tag") == agent.host, "left")
-    grouped = rows.groupBy("owner_key", "agent_user").agg(*_record_sums(specs, F.lit(1)))
-    org = org_dimension(src)
-    units = unit_by_id(org)
-    grouped = grouped.join(units, grouped.agent_user == units.um_id, "left")
-    located = with_paths(grouped, org_weights(org, F.upper("id"), keep=("um",)), "owner_key")
-    same = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
-    return _per_unit(located, kpis, [same] * len(kpis))
-
-
-def _responsible(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    specs = [k.spec for k in kpis]
-    columns = {"resp_key": F.upper("resp_id"), "personal": is_personal_account("owner_id"), **_flag_columns(specs)}
-    rows = _with_scans(register_records(src, columns), src, as_of, specs)
-    grouped = rows.groupBy("owner_key", "resp_key", "personal").agg(*_record_sums(specs, F.lit(1)))
+def _record_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
+    """KPIs that count every register record."""
+    specs: list[QualitySpec] = [k.spec for k in kpis]
+    attributes = {s.attribute for s in specs}
+    keys = ["owner_key"]
+    keys += ["agent_user"] if "entity" in attributes else []
+    keys += ["resp_key", "personal"] if "responsible" in attributes else []
+    name = f"record_sums_{as_of.day}_{'_'.join(sorted(attributes))}_{len(kpis)}"
+
+    def build() -> DataFrame:
+        return compared_records(src, as_of, specs).groupBy(*keys).agg(*_record_sums(specs))
+
+    by_resp = [i for i, s in enumerate(specs) if s.attribute == "responsible"]
+    others = [i for i in range(len(specs)) if i not in by_resp]
+    # two directory joins start from these sums when there are KPIs of both kinds
+    sums = src.block(name, build) if by_resp and others else build()
     org = org_dimension(src)
-    resp_dum = F.col("dum")
-    if specs[0].reparse_code:
-        resp_dum = key_part(key_part("dum", "(", 2), ")", 1)
-    resp = org.groupBy(F.upper("id").alias("resp_id_key"), resp_dum.alias("resp_dum")).agg(
-        F.count(F.lit(1)).alias("resp_rows")
-    )
-    grouped = grouped.join(resp, grouped.resp_key == resp.resp_id_key, "left")
-    located = with_paths(grouped, org_weights(org, F.upper("id"), keep=("dum",)), "owner_key")
-    located = located.withColumn("org_rows", F.col("org_rows") * F.coalesce("resp_rows", F.lit(1)))
-    same = acc.responsible_code(F.col("personal"), F.col("dum"), F.col("resp_dum")) == fv.CODE_EQUAL
-    return _per_unit(located, kpis, [same] * len(kpis))
-
-
-def _location(table: str) -> Callable[[Sources, AsOf, list[Kpi]], DataFrame]:
-    def build(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-        specs = [k.spec for k in kpis]
-        rows = _with_scans(register_records(src, _flag_columns(specs)), src, as_of, specs)
-        verdicts = src[table].groupBy(F.col("tag").alias("loc_tag")).agg(
-            F.count_if(acc.location_code(F.col("verdict")) == fv.CODE_EQUAL).alias("right")
+    frames = []
+    if others:
+        part = _regroup(sums, [k for k in keys if k in ("owner_key", "agent_user")], others)
+        same_entity = F.lit(True)
+        if "entity" in attributes:
+            units = unit_by_id(org)
+            part = part.join(units, part.agent_user == units.um_id, "left")
+            same_entity = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
+        located = with_paths(part, org_weights(org, F.upper("id"), keep=("um",)), "owner_key")
+        conditions = {i: same_entity if specs[i].attribute == "entity" else F.lit(True) for i in others}
+        frames.append(_per_unit(located, kpis, conditions))
+    if by_resp:
+        part = _regroup(sums, ["owner_key", "resp_key", "personal"], by_resp)
+        resp_dum = key_part(key_part("dum", "(", 2), ")", 1) if specs[by_resp[0]].reparse_code else F.col("dum")
+        resp = org.groupBy(F.upper("id").alias("resp_id_key"), resp_dum.alias("resp_dum")).agg(
+            F.count(F.lit(1)).alias("resp_rows")
         )
-        rows = rows.join(verdicts, rows.tag == verdicts.loc_tag, "left")
-        grouped = rows.groupBy("owner_key").agg(*_record_sums(specs, F.coalesce("right", F.lit(0))))
-        org = org_weights(org_dimension(src), F.upper("id"))
-        return _per_unit(with_paths(grouped, org, "owner_key"), kpis, [F.lit(True)] * len(kpis))
-
-    return build
-
-
-RECORDS = {
-    "os": _os,
-    "entity": _entity,
-    "responsible": _responsible,
-    "building": _location("loc_building"),
-    "site": _location("loc_site"),
-}
+        part = part.join(resp, part.resp_key == resp.resp_id_key, "left")
+        located = with_paths(part, org_weights(org, F.upper("id"), keep=("dum",)), "owner_key")
+        located = located.withColumn("org_rows", F.col("org_rows") * F.coalesce("resp_rows", F.lit(1)))
+        same = acc.responsible_code(F.col("personal"), F.col("dum"), F.col("resp_dum")) == fv.CODE_EQUAL
+        frames.append(_per_unit(located, kpis, dict.fromkeys(by_resp, same)))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def quality_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    """All requested KPIs, one plan per set of KPIs that can share their rows."""
+    """All requested KPIs: one pass for those on one record per asset, one for those on every record."""
     shared: dict[tuple, list[Kpi]] = {}
     for k in kpis:
-        s: QualitySpec = k.spec
-        if s.attribute in RECORDS:
-            key = (s.attribute, s.reparse_code)
-        else:
-            model = any(SINGLE[p].model for p in _parts(s.attribute))
-            key = ("single", model, s.within_window, s.min_age)
-        shared.setdefault(key, []).append(k)
+        shared.setdefault((k.spec.attribute in RECORDS, k.spec.min_age, k.spec.reparse_code), []).append(k)
     frames = [
-        (_single_rows if key[0] == "single" else RECORDS[key[0]])(src, as_of, group) for key, group in shared.items()
+        (_record_kpis if key[0] else _single_kpis)(src, as_of, group) for key, group in shared.items()
     ]
     return reduce(DataFrame.unionByName, frames)
 

@@ -6,11 +6,12 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from fleetgauge.functions.time import AsOf
 from fleetgauge.plans import campaigns, compliance, counts, os_mix, quality, support
-from fleetgauge.plans.kpi import Kpi
-from fleetgauge.schemas import conform
+from fleetgauge.plans.kpi import REPORT, Kpi
+from fleetgauge.schemas import KPI_RESULT, conform
 from fleetgauge.sources import sql_kpis
 from fleetgauge.sources.tables import Sources
 
@@ -29,6 +30,8 @@ FAMILIES = {
 KPIS: list[Kpi] = [*compliance.KPIS, *counts.KPIS, *quality.KPIS, *support.KPIS, *os_mix.KPIS, *campaigns.KPIS]
 BY_NAME: dict[str, Kpi] = {k.name: k for k in [*KPIS, *quality.PARITY_KPIS]}
 
+_WITH_REPORT = T.StructType([*KPI_RESULT.fields, T.StructField(REPORT, T.StringType())])
+
 
 def reports() -> list[str]:
     """Report ids in the order they are run."""
@@ -43,15 +46,20 @@ def kpis_of(report: str) -> list[Kpi]:
     return found
 
 
-def compute(src: Sources, as_of: AsOf, kpis: Iterable[Kpi]) -> DataFrame:
-    """Result rows of ``kpis``; KPIs of one family share a plan."""
+def compute_with_report(src: Sources, as_of: AsOf, kpis: Iterable[Kpi]) -> DataFrame:
+    """Result rows of ``kpis`` and their report. KPIs of one family share a plan, across reports."""
     families: dict[str, list[Kpi]] = {}
     for k in kpis:
         families.setdefault(k.family, []).append(k)
-    frames = [conform(FAMILIES[f](src, as_of, group)) for f, group in families.items()]
+    frames = [conform(FAMILIES[f](src, as_of, group), _WITH_REPORT) for f, group in families.items()]
     return reduce(DataFrame.unionByName, frames)
 
 
+def compute(src: Sources, as_of: AsOf, kpis: Iterable[Kpi]) -> DataFrame:
+    """Result rows of ``kpis`` in the result contract."""
+    return conform(compute_with_report(src, as_of, kpis))
+
+
 def compute_one(src: Sources, as_of: AsOf, name: str) -> DataFrame:
     return compute(src, as_of, [BY_NAME[name]])
 

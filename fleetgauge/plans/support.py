@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.time import AsOf, elapsed_days
 from fleetgauge.operators.org import org_dimension, org_weights, with_paths
-from fleetgauge.plans.kpi import Kpi, one_row_per_kpi
+from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
 FAMILY, REPORT = "support", "R031"
@@ -70,11 +70,9 @@ def support_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     wide = located.groupBy("maille").agg(
         *[F.sum(F.col(f"v_{i}") * F.col("org_rows")).alias(f"v_{i}") for i in range(len(kpis))]
     )
-    measures = [
-        (F.lit(k.indicateur), F.lit(k.indicateur_parent), F.col(f"v_{i}"), F.col(f"v_{i}") > 0)
-        for i, k in enumerate(kpis)
-    ]
-    return one_row_per_kpi(wide, fv.UNIT_GROUP_6, measures)
+    return result_rows(
+        wide, fv.UNIT_GROUP_6, [Measure(k, F.col(f"v_{i}"), F.col(f"v_{i}") > 0) for i, k in enumerate(kpis)]
+    )
 
 
 # Indicator labels

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.time import AsOf
-from fleetgauge.plans.kpi import DAY, MONTH, Kpi
+from fleetgauge.plans.kpi import DAY, MONTH, REPORT, Kpi
 from fleetgauge.schemas import conform
 from fleetgauge.sources.tables import Sources
 
@@ -61,8 +62,5 @@ def report_from_directory(spark: SparkSession, directory: str) -> list[Kpi]:
 
 def sql_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     """Result rows of KPIs written as SQL; surplus columns are dropped."""
-    frames = [conform(run_sql(src, k.spec, as_of)) for k in kpis]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    frames = [conform(run_sql(src, k.spec, as_of)).withColumn(REPORT, F.lit(k.report)) for k in kpis]
+    return reduce(DataFrame.unionByName, frames)

@@ -8,12 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Sources:
-    """Lazily resolved input tables: ``sources.assets`` or ``sources["assets"]``."""
+    """Lazily resolved input tables: ``sources.assets`` or ``sources["assets"]``.
+
+    ``sources.block`` gives frames derived from them that many KPIs use. A plan of a few KPIs
+    derives them in place; a job over all of them sets ``keep`` to have each written once.
+    """
 
     def __init__(self, spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]]):
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
+        self._keep: Callable[[DataFrame, str], DataFrame] | None = None
+        self._blocks: dict[str, DataFrame] = {}
+
+    def sharing(self, keep: Callable[[DataFrame, str], DataFrame]) -> Sources:
+        """The same tables, with every block kept by ``keep`` when it is first used."""
+        shared = Sources(self.spark, {n: (lambda n=n: self[n]) for n in self._loaders})
+        shared._keep = keep
+        return shared
+
+    def block(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived frame under a name that tells its parameters."""
+        if name not in self._blocks:
+            frame = build()
+            self._blocks[name] = frame if self._keep is None else self._keep(frame, name)
+        return self._blocks[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
