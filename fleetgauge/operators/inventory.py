@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,25 +15,41 @@ from fleetgauge.operators.dedupe import latest_per_key, newest_first, tie_break
 from fleetgauge.sources.tables import Sources
 
 
-def agent_latest(src: Sources) -> DataFrame:
-    """Latest agent record per host with the derived columns the comparisons use."""
-    return src.block("agent_latest", lambda: _agent_latest(src))
+# derived column -> agent columns it is made of
+AGENT_COLUMNS = {
+    "manufacturer": "manufacturer",
+    "description": "description",
+    "os": "os",
+    "last_scan": "last_scan",
+    "top_user": "top_user",
+    "top_user_or_excluded": "top_user",
+    "is_virtual": "host",
+    "mac_list": "macs",
+}
 
 
-def _agent_latest(src: Sources) -> DataFrame:
-    latest = latest_per_key(src.agent_inventory, ["host"], "last_scan")
+def agent_latest(src: Sources, columns: Iterable[str] = tuple(AGENT_COLUMNS)) -> DataFrame:
+    """Latest agent record per host with the derived ``columns``.
+
+    Only what they are made of is read and sorted, and breaks ties between records of one
+    scan. A kept block has all columns, to serve every KPI.
+    """
+    columns = tuple(AGENT_COLUMNS) if src.keeps_blocks else tuple(sorted(set(columns)))
+    return src.block(f"agent_latest_{'_'.join(columns)}", lambda: _agent_latest(src, columns))
+
+
+def _agent_latest(src: Sources, columns: tuple[str, ...]) -> DataFrame:
+    sequence = [c for c in ("seq", "seq2") if c in src.agent_inventory.columns]
+    raw = dict.fromkeys(["host", "last_scan", *sequence, *(AGENT_COLUMNS[c] for c in columns)])
+    latest = latest_per_key(src.agent_inventory.select(*raw), ["host"], "last_scan")
     user = F.upper(key_part("top_user", "-", 1))
-    return latest.select(
-        "host",
-        "manufacturer",
-        "description",
-        "os",
-        "last_scan",
-        user.alias("top_user"),
-        account_or_excluded(user).alias("top_user_or_excluded"),
-        F.coalesce(F.col("host").contains("-"), F.lit(False)).alias("is_virtual"),
-        joined_list("macs").alias("mac_list"),
-    )
+    derived = {
+        "top_user": user,
+        "top_user_or_excluded": account_or_excluded(user),
+        "is_virtual": F.coalesce(F.col("host").contains("-"), F.lit(False)),
+        "mac_list": joined_list("macs"),
+    }
+    return latest.select("host", *[derived.get(c, F.col(c)).alias(c) for c in columns])
 
 
 def unit_by_id(org: DataFrame) -> DataFrame:
@@ -49,12 +66,8 @@ def agent_latest_um(src: Sources, org: DataFrame) -> DataFrame:
 
 def directory_latest(src: Sources) -> DataFrame:
     """OS of the latest logon per directory computer."""
-
-    def build() -> DataFrame:
-        latest = latest_per_key(src.directory_computer, ["computer"], "last_logon")
-        return latest.select("computer", F.col("os").alias("directory_os"))
-
-    return src.block("directory_latest", build)
+    latest = latest_per_key(src.directory_computer, ["computer"], "last_logon")
+    return latest.select("computer", F.col("os").alias("directory_os"))
 
 
 def scans_by_host(src: Sources, as_of: AsOf) -> DataFrame:
@@ -101,31 +114,33 @@ def latest_by_selection(
 ) -> DataFrame:
     """Latest register record per normalised tag: one row per tag, one struct per selection.
 
-    Scan and model belong to the raw tag, so records are first reduced to one per raw tag:
-    the joins that follow meet each tag once however often it was copied, and reuse that
-    partitioning. The reduction per normalised tag is an aggregate with partial results on
-    the map side; all selections share its shuffle.
+    Scan and model belong to the raw tag. Where they are needed, records are first reduced to
+    one per raw tag: the joins then meet each tag once however often it was copied, and reuse
+    that partitioning. The reduction per normalised tag is an aggregate with partial results
+    on the map side; all selections share its shuffle.
     """
     sequence = [c for c in ("seq", "seq2") if c in src.assets.columns]
     rows = src.assets.select("tag", "updated_on", *dict.fromkeys(columns), *sequence)
     ties = tie_break(rows, exclude=["updated_on"])
-    rows = latest_per_key(rows, ["tag"], "updated_on", ties)
     payload = ["tag", *dict.fromkeys(columns)]
-    if any(s.model for s in selections):
-        models = models_by_tag(src)
-        how = "inner" if all(s.model for s in selections) else "left"
-        rows = rows.join(models, rows.tag == models.model_tag, how)
+    models, windows = [s.model for s in selections], [s.window for s in selections]
+    with_scan = with_scan or any(windows)
+    if any(models) or with_scan:
+        rows = latest_per_key(rows, ["tag"], "updated_on", ties)
+    if any(models):
+        known = models_by_tag(src)
+        rows = rows.join(known, rows.tag == known.model_tag, "inner" if all(models) else "left")
         payload.append("model_number")
-    if with_scan or any(s.window for s in selections):
+    if with_scan:
         scans = scans_by_host(src, as_of)
-        if all(s.window for s in selections):
+        if all(windows):
             rows = rows.join(scans.filter("window_scans > 0"), rows.tag == scans.scan_host, "inner")
         else:
             rows = rows.join(scans, rows.tag == scans.scan_host, "left")
         payload.append("lastscan")
     record = F.struct(
         newest_first(rows, "updated_on").alias("age"),
-        F.struct(*[c for c in ties if c in (*sequence, "tag")]).alias("ties"),
+        F.struct(*[c for c in ties if c in sequence or c == "tag"]).alias("ties"),
         F.struct(*payload).alias("asset"),
     )
     latest = [F.min(F.when(s.condition(), record)).alias(s.label) for s in selections]

@@ -45,18 +45,24 @@ def _sound(src: Sources, as_of: AsOf, kpis: list[Kpi], summary: RunSummary) -> l
     return good
 
 
-def register_labels(store: HistoryStore, rows: DataFrame, reports: list[str]) -> None:
+def _reports_with_new_labels(store: HistoryStore, rows: DataFrame) -> list[str]:
+    """Reports that bring a unit or KPI label for the first time; on most days none does."""
+    units = history.new_labels(rows.select("report", "maille").distinct(), store.read(st.UNITS), "maille")
+    kpis = history.new_labels(rows.select("report", "indicateur").distinct(), store.read(st.KPIS), "indicateur")
+    found = units.select("report").unionByName(kpis.select("report")).distinct()
+    return sorted(r.report for r in found.collect())
+
+
+def register_labels(store: HistoryStore, rows: DataFrame) -> None:
     """Append new unit and KPI labels, report by report in alphabetical order.
 
     The first report that brings a label keeps it. Each step reads the tables the step
     before has written; appended labels are known to a re-run, so it adds nothing twice.
     """
-    for report in sorted(reports):
+    for report in _reports_with_new_labels(store, rows):
         labels = rows.filter(F.col("report") == report)
-        units = labels.select("maille", "maille_parent").distinct()
-        store.insert(st.UNITS, history.unit_upsert(store.read(st.UNITS), units))
-        kpis = labels.select("indicateur", "indicateur_parent", "maille_parent").distinct()
-        store.insert(st.KPIS, history.kpi_upsert(store.read(st.KPIS), store.read(st.UNITS), kpis, report))
+        store.insert(st.UNITS, history.unit_upsert(store.read(st.UNITS), labels))
+        store.insert(st.KPIS, history.kpi_upsert(store.read(st.KPIS), store.read(st.UNITS), labels, report))
 
 
 def _other_rows(store: HistoryStore, as_of: AsOf, fact: DataFrame) -> DataFrame:
@@ -80,7 +86,6 @@ def run_day(
     """
     store.create()
     store.purge(as_of, st.DAILY)
-    src = src.sharing(written)
     summary = RunSummary()
     wanted = [k for k in (registry.KPIS if kpis is None else kpis) if k.grain == DAY]
     if use_ledger:
@@ -90,13 +95,13 @@ def run_day(
     rows = None
     if wanted:
         try:
-            rows = registry.compute_with_report(src, as_of, wanted)
+            rows = registry.run_reports(src, as_of, wanted)
         except (ContractError, AnalysisException):
             wanted = _sound(src, as_of, wanted, summary)
-            rows = registry.compute_with_report(src, as_of, wanted) if wanted else None
+            rows = registry.run_reports(src, as_of, wanted) if wanted else None
     if rows is not None:
         rows = written(rows, "day")
-        register_labels(store, rows, sorted({k.report for k in wanted}))
+        register_labels(store, rows)
         fact = history.daily_fact(rows, store.read(st.KPIS), store.read(st.UNITS), as_of.day)
         if as_of.day in store.dates(st.DAILY):
             fact = written(fact.unionByName(_other_rows(store, as_of, fact)), "fact")

@@ -56,7 +56,8 @@ class QualitySpec:
 
 
 # ---- one row per asset (manufacturer, model, MAC, virtual, user, all of them) ---------------
-_AGENT_COLUMNS = {
+# agent column -> its name beside the register's columns
+_AGENT_ALIASES = {
     "manufacturer": "agent_manufacturer",
     "description": "agent_description",
     "is_virtual": "agent_virtual",
@@ -68,19 +69,28 @@ _AGENT_COLUMNS = {
 
 @dataclass(frozen=True)
 class _Single:
+    """An attribute: register columns, agent columns and the code that compares them."""
+
     columns: tuple[str, ...]
+    agent: tuple[str, ...]
     code: Callable[[], Column]
     model: bool = False
 
 
 SINGLE = {
     "manufacturer": _Single(
-        ("manufacturer",), lambda: acc.text_code(F.col("agent_manufacturer"), F.col("manufacturer"))
+        ("manufacturer",), ("manufacturer",), lambda: acc.text_code(F.col("agent_manufacturer"), F.col("manufacturer"))
+    ),
+    "model": _Single(
+        (), ("description",), lambda: acc.text_code(F.col("agent_description"), F.col("model_number")), model=True
+    ),
+    "mac": _Single(("mac",), ("mac_list",), lambda: acc.list_code(F.col("agent_macs"), F.col("mac"))),
+    "virtual": _Single(
+        ("is_virtual",), ("is_virtual",), lambda: acc.virtual_code(F.col("agent_virtual"), F.col("is_virtual"))
+    ),
+    "user": _Single(
+        (), ("top_user_or_excluded",), lambda: acc.user_code(F.col("agent_account"), account_or_excluded("owner_id"))
     ),
-    "model": _Single((), lambda: acc.text_code(F.col("agent_description"), F.col("model_number")), model=True),
-    "mac": _Single(("mac",), lambda: acc.list_code(F.col("agent_macs"), F.col("mac"))),
-    "virtual": _Single(("is_virtual",), lambda: acc.virtual_code(F.col("agent_virtual"), F.col("is_virtual"))),
-    "user": _Single((), lambda: acc.user_code(F.col("agent_account"), account_or_excluded("owner_id"))),
 }
 # all of these, plus the user entity, make an asset fresh as a whole
 COMPOSITE = ("model", "manufacturer", "virtual")
@@ -103,7 +113,10 @@ def compared_assets(src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> Data
     selections = sorted({_selection(s) for s in specs})
     with_scan = any(s.fresh_days for s in specs)
     assets = latest_by_selection(src, as_of, columns, selections, with_scan)
-    agent = agent_latest(src).select("host", *[F.col(c).alias(a) for c, a in _AGENT_COLUMNS.items()])
+    wanted = {c for a in attributes for c in SINGLE[a].agent}
+    if any(s.attribute == "all" for s in specs):
+        wanted.add("top_user")
+    agent = agent_latest(src, wanted).select("host", *[F.col(c).alias(_AGENT_ALIASES[c]) for c in sorted(wanted)])
     joined = assets.join(agent, assets.tag_key == agent.host, "left").drop("host")
     return per_selection(joined, selections)
 
@@ -120,18 +133,28 @@ def _single_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
         rows = rows.join(old, rows.tag_key == old.old_host, "inner")
         times = F.col("old_scans")
 
+    attributes = sorted({p for s in specs for p in _parts(s.attribute)})
+    days = sorted({s.fresh_days for s in specs if s.fresh_days is not None})
+    age = day_age("lastscan", as_of)
+    flags = {f"equal_{a}": SINGLE[a].code() == fv.CODE_EQUAL for a in attributes}
+    flags |= {f"seen_{d}": F.coalesce(age < d, F.lit(False)) for d in days}
+    if any(s.connected for s in specs):
+        flags["connected"] = is_connected("network")
+    rows = rows.withColumns(flags)
+
     composite = any(s.attribute == "all" for s in specs)
     keys = ["owner_key", "agent_user"] if composite else ["owner_key"]
     aggregates = []
     for i, s in enumerate(specs):
-        selected = F.col("selection") == _selection(s).label
-        if s.connected:
-            selected = selected & is_connected("network")
-        equal = [SINGLE[p].code() == fv.CODE_EQUAL for p in _parts(s.attribute)]
+        selected = [F.col("selection") == _selection(s).label] + ([F.col("connected")] if s.connected else [])
+        equal = [F.col(f"equal_{p}") for p in _parts(s.attribute)]
         if s.fresh_days is not None:
-            equal.append(F.coalesce(day_age("lastscan", as_of) < s.fresh_days, F.lit(False)))
-        hit = reduce(lambda a, b: a & b, [selected, *equal])
-        aggregates += [F.sum(F.when(hit, times).otherwise(0)).alias(f"v_{i}"), F.bool_or(selected).alias(f"p_{i}")]
+            equal.append(F.col(f"seen_{s.fresh_days}"))
+        hit = reduce(Column.__and__, [*selected, *equal])
+        aggregates += [
+            F.sum(F.when(hit, times).otherwise(0)).alias(f"v_{i}"),
+            F.bool_or(reduce(Column.__and__, selected)).alias(f"p_{i}"),
+        ]
     grouped = rows.groupBy(*keys).agg(*aggregates)
 
     org = org_dimension(src)
@@ -141,20 +164,17 @@ def _single_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
         grouped = grouped.join(units, grouped.agent_user == units.um_id, "left")
         same_entity = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
     located = with_paths(grouped, org_single(org, F.upper("id")), "owner_key")
-    conditions = {i: same_entity if s.attribute == "all" else F.lit(True) for i, s in enumerate(specs)}
-    return _per_unit(located, kpis, conditions)
+    located = located.withColumn("org_rows_all", F.when(same_entity, F.col("org_rows")).otherwise(0))
+    return _per_unit(located, kpis, ["org_rows_all" if s.attribute == "all" else "org_rows" for s in specs])
 
 
-def _per_unit(located: DataFrame, kpis: list[Kpi], conditions: dict[int, Column]) -> DataFrame:
-    """Sum the KPIs numbered in ``conditions`` per path; each directory row counts the owner's assets."""
+def _per_unit(located: DataFrame, kpis: list[Kpi], factors: list[str]) -> DataFrame:
+    """Sum the KPIs' values per path, each times the directory rows in its factor column."""
     wide = located.groupBy("maille").agg(
-        *[
-            F.sum(F.when(c, F.col(f"v_{i}") * F.col("org_rows")).otherwise(0)).alias(f"v_{i}")
-            for i, c in conditions.items()
-        ],
-        *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in conditions],
+        *[F.sum(F.col(f"v_{i}") * F.col(factor)).alias(f"v_{i}") for i, factor in enumerate(factors)],
+        *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in range(len(kpis))],
     )
-    measures = [Measure(kpis[i], F.col(f"v_{i}"), F.col(f"p_{i}")) for i in conditions]
+    measures = [Measure(k, F.col(f"v_{i}"), F.col(f"p_{i}")) for i, k in enumerate(kpis)]
     return result_rows(wide, fv.UNIT_GROUP_6, measures)
 
 
@@ -204,7 +224,7 @@ def compared_records(src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> Dat
         directory = directory_latest(src)
         rows = rows.join(directory, rows.tag_key == directory.computer, "left")
     if "entity" in attributes:
-        agent = agent_latest(src).select("host", F.col("top_user").alias("agent_user"))
+        agent = agent_latest(src, ["top_user"]).select("host", F.col("top_user").alias("agent_user"))
         rows = rows.join(agent, rows.tag_key == agent.host, "left")
     return rows
 
@@ -212,31 +232,30 @@ def compared_records(src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> Dat
 def _equal_rows(attribute: str) -> Column:
     """How many equal comparisons a register record enters; those on directory columns come later."""
     if attribute == "os":
-        return F.when(acc.os_code(F.col("directory_os"), F.col("os")) == fv.CODE_EQUAL, 1).otherwise(0)
+        return F.when(acc.os_code(F.col("directory_os"), F.col("os")) == fv.CODE_EQUAL, F.col("records")).otherwise(0)
     if attribute in _LOCATION_TABLES:
-        return F.coalesce(f"right_{attribute}", F.lit(0))
-    return F.lit(1)
+        return F.col("records") * F.coalesce(f"right_{attribute}", F.lit(0))
+    return F.col("records")
 
 
-def _record_sums(specs: list[QualitySpec]) -> list[Column]:
+def _record_sums(rows: DataFrame, specs: list[QualitySpec], keys: list[str]) -> DataFrame:
     """Records with an equal comparison, times their scan rows, and presence per spec."""
-    window = F.coalesce("window_scans", F.lit(0))
+    scanned = {c: F.coalesce(c, F.lit(0)) for c in ("fresh_scans", "window_scans") if c in rows.columns}
+    attributes = sorted({s.attribute for s in specs})
+    rows = rows.withColumns(scanned).withColumns({f"n_{a}": _equal_rows(a) for a in attributes})
     out = []
     for i, s in enumerate(specs):
-        selected = F.col("connected") if s.connected else F.lit(True)
-        n = F.col("records") * _equal_rows(s.attribute)
+        n, selected = F.col(f"n_{s.attribute}"), []
         if s.fresh_days is not None:
-            n = n * F.coalesce("fresh_scans", F.lit(0))
+            n = n * F.col("fresh_scans")
         if s.within_window:
-            n = n * window
-            selected = selected & (window > 0)
-        out += [F.sum(F.when(selected, n).otherwise(0)).alias(f"v_{i}"), F.bool_or(selected).alias(f"p_{i}")]
-    return out
-
-
-def _regroup(sums: DataFrame, keys: list[str], chosen: list[int]) -> DataFrame:
-    values = [F.sum(f"v_{i}").alias(f"v_{i}") for i in chosen]
-    return sums.groupBy(*keys).agg(*values, *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in chosen])
+            n = n * F.col("window_scans")
+            selected.append(F.col("window_scans") > 0)
+        if s.connected:
+            selected.append(F.col("connected"))
+        present = reduce(Column.__and__, selected, F.lit(True))
+        out += [F.sum(F.when(present, n).otherwise(0)).alias(f"v_{i}"), F.bool_or(present).alias(f"p_{i}")]
+    return rows.groupBy(*keys).agg(*out)
 
 
 def _record_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
@@ -246,39 +265,28 @@ def _record_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     keys = ["owner_key"]
     keys += ["agent_user"] if "entity" in attributes else []
     keys += ["resp_key", "personal"] if "responsible" in attributes else []
-    name = f"record_sums_{as_of.day}_{'_'.join(sorted(attributes))}_{len(kpis)}"
-
-    def build() -> DataFrame:
-        return compared_records(src, as_of, specs).groupBy(*keys).agg(*_record_sums(specs))
+    sums = _record_sums(compared_records(src, as_of, specs), specs, keys)
 
-    by_resp = [i for i, s in enumerate(specs) if s.attribute == "responsible"]
-    others = [i for i in range(len(specs)) if i not in by_resp]
-    # two directory joins start from these sums when there are KPIs of both kinds
-    sums = src.block(name, build) if by_resp and others else build()
     org = org_dimension(src)
-    frames = []
-    if others:
-        part = _regroup(sums, [k for k in keys if k in ("owner_key", "agent_user")], others)
-        same_entity = F.lit(True)
-        if "entity" in attributes:
-            units = unit_by_id(org)
-            part = part.join(units, part.agent_user == units.um_id, "left")
-            same_entity = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
-        located = with_paths(part, org_weights(org, F.upper("id"), keep=("um",)), "owner_key")
-        conditions = {i: same_entity if specs[i].attribute == "entity" else F.lit(True) for i in others}
-        frames.append(_per_unit(located, kpis, conditions))
-    if by_resp:
-        part = _regroup(sums, ["owner_key", "resp_key", "personal"], by_resp)
-        resp_dum = key_part(key_part("dum", "(", 2), ")", 1) if specs[by_resp[0]].reparse_code else F.col("dum")
-        resp = org.groupBy(F.upper("id").alias("resp_id_key"), resp_dum.alias("resp_dum")).agg(
+    located = with_paths(sums, org_weights(org, F.upper("id"), keep=("um", "dum")), "owner_key")
+    equal: dict[str, Column] = {}
+    if "entity" in attributes:
+        units = unit_by_id(org)
+        located = located.join(units, located.agent_user == units.um_id, "left")
+        equal["entity"] = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
+    if "responsible" in attributes:
+        # joined on the sub-unit too: directory rows of the responsible that agree, as a count
+        resp_dum = key_part(key_part("dum", "(", 2), ")", 1) if specs[0].reparse_code else F.col("dum")
+        resp = org.groupBy(F.upper("id").alias("resp_id"), resp_dum.alias("resp_dum")).agg(
             F.count(F.lit(1)).alias("resp_rows")
         )
-        part = part.join(resp, part.resp_key == resp.resp_id_key, "left")
-        located = with_paths(part, org_weights(org, F.upper("id"), keep=("dum",)), "owner_key")
-        located = located.withColumn("org_rows", F.col("org_rows") * F.coalesce("resp_rows", F.lit(1)))
-        same = acc.responsible_code(F.col("personal"), F.col("dum"), F.col("resp_dum")) == fv.CODE_EQUAL
-        frames.append(_per_unit(located, kpis, dict.fromkeys(by_resp, same)))
-    return reduce(DataFrame.unionByName, frames)
+        located = located.join(resp, (located.resp_key == resp.resp_id) & (located.dum == resp.resp_dum), "left")
+        equal["responsible"] = acc.responsible_code(F.col("personal"), F.col("dum"), F.col("resp_dum")) == fv.CODE_EQUAL
+    factors = {"responsible": F.col("org_rows") * F.col("resp_rows")}
+    located = located.withColumns(
+        {f"rows_{a}": F.when(equal.get(a, F.lit(True)), factors.get(a, F.col("org_rows"))).otherwise(0) for a in attributes}
+    )
+    return _per_unit(located, kpis, [f"rows_{s.attribute}" for s in specs])
 
 
 def quality_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
@@ -292,6 +300,13 @@ def quality_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def shared_blocks(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> list[Callable[[], DataFrame]]:
+    """Blocks that both passes read, when both are needed."""
+    if len({k.spec.attribute in RECORDS for k in kpis}) < 2:
+        return []
+    return [lambda: agent_latest(src), lambda: scans_by_host(src, as_of), lambda: org_dimension(src)]
+
+
 # ---- registry -------------------------------------------------------------------------------
 # Attribute -> word used in its indicator labels
 ATTRIBUTE_LABELS = {

@@ -12,6 +12,7 @@ from fleetgauge.functions.time import AsOf
 from fleetgauge.plans import campaigns, compliance, counts, os_mix, quality, support
 from fleetgauge.plans.kpi import REPORT, Kpi
 from fleetgauge.schemas import KPI_RESULT, conform
+from fleetgauge.session import written
 from fleetgauge.sources import sql_kpis
 from fleetgauge.sources.tables import Sources
 
@@ -64,6 +65,17 @@ def compute_one(src: Sources, as_of: AsOf, name: str) -> DataFrame:
     return compute(src, as_of, [BY_NAME[name]])
 
 
+def run_reports(src: Sources, as_of: AsOf, kpis: Iterable[Kpi]) -> DataFrame:
+    """Result rows and report of many KPIs. Blocks that several of them read are written once."""
+    kpis = list(kpis)
+    shared = src.sharing(written)
+    blocks = quality.shared_blocks(shared, as_of, [k for k in kpis if k.family == quality.FAMILY])
+    if not blocks:
+        return compute_with_report(src, as_of, kpis)
+    shared.prepare(blocks)
+    return compute_with_report(shared, as_of, kpis)
+
+
 def run_report(src: Sources, as_of: AsOf, report: str) -> DataFrame:
     """All daily KPIs of one report."""
-    return compute(src, as_of, kpis_of(report))
+    return conform(run_reports(src, as_of, kpis_of(report)))

@@ -20,6 +20,7 @@ def local_session(cpus: str = "*", app: str = "fleetgauge", **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fleetgauge-wh-"))
         .config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="fleetgauge-ck-"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,8 +162,18 @@ def dependencies(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
 
+_OPEN: weakref.WeakKeyDictionary[SparkSession, dict[str, Sources]] = weakref.WeakKeyDictionary()
+
+
 def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """Inventory tables over the parquet files in ``sf_dir``."""
+    """Inventory tables over the parquet files in ``sf_dir``, resolved once per session."""
+    opened = _OPEN.setdefault(spark, {})
+    if sf_dir not in opened:
+        opened[sf_dir] = _open(spark, sf_dir)
+    return opened[sf_dir]
+
+
+def _open(spark: SparkSession, sf_dir: str) -> Sources:
     loaders = {t: (lambda t=t: spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in BASE_TABLES}
 
     def fixture(name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,10 @@ class Sources:
         shared._keep = keep
         return shared
 
+    @property
+    def keeps_blocks(self) -> bool:
+        return self._keep is not None
+
     def block(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A derived frame under a name that tells its parameters."""
         if name not in self._blocks:
@@ -62,6 +67,13 @@ class Sources:
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Sources:
         return cls(spark, {n: (lambda f=f: f) for n, f in frames.items()})
 
+    def prepare(self, blocks: list[Callable[[], DataFrame]]) -> None:
+        """Have several blocks kept at once: their jobs run side by side."""
+        if blocks:
+            with ThreadPoolExecutor(len(blocks)) as pool:
+                for result in [pool.submit(block) for block in blocks]:
+                    result.result()
+
 
 def scan_table(sources: Sources, name: str) -> DataFrame:
     """Every row and column of one source table."""
