@@ -105,9 +105,12 @@ FROM os_version""",
 }
 
 
-def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
-    """Prefix ``sql`` with the views it needs, each after those it uses itself."""
-    known = VIEWS | (extra or {})
+def with_views(sql: str, extra: dict[str, str] | None = None, tables: tuple[str, ...] = ()) -> str:
+    """Prefix ``sql`` with the views it needs, each after those it uses itself.
+
+    ``tables``: names that exist as tables and need no view.
+    """
+    known = {n: v for n, v in (VIEWS | (extra or {})).items() if n not in tables}
     ordered: list[str] = []
 
     def visit(text: str) -> None:
