@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetgauge.operators.ids import assign_ids, max_id
 from fleetgauge.schemas import KPI_DEF, KPI_FACT, ORG_UNIT
 from fleetgauge.session import written
+from fleetgauge.sources.tables import Keep
 
 PARENT_PHASE, CHILD_PHASE = 1, 2
 
@@ -31,13 +32,15 @@ def dedupe_first(rows: DataFrame, label: str, others: list[str]) -> DataFrame:
     return rows.filter(F.col(label).isNotNull()).groupBy(label).agg(first).select(label, "first.*")
 
 
-def unregistered(incoming: DataFrame, existing: DataFrame, label: str, others: list[str]) -> DataFrame:
+def unregistered(
+    incoming: DataFrame, existing: DataFrame, label: str, others: list[str], keep: Keep = written
+) -> DataFrame:
     """One row per label that is not registered yet.
 
     Written once: the steps that follow read these few rows several times, and the KPI rows
     they come from only once.
     """
-    return written(new_labels(dedupe_first(incoming, label, others), existing, label), f"new_{label}")
+    return keep(new_labels(dedupe_first(incoming, label, others), existing, label), f"new_{label}")
 
 
 def _phases(fresh: DataFrame, existing: DataFrame, label: str, parent: str, extra: list[str]) -> DataFrame:
@@ -67,20 +70,22 @@ def _with_parent_ids(numbered: DataFrame, existing: DataFrame, id_column: str) -
     return joined.withColumn("id_parent", F.coalesce("id_parent", F.lit(0)).cast("long"))
 
 
-def unit_upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+def unit_upsert(existing: DataFrame, incoming: DataFrame, keep: Keep = written) -> DataFrame:
     """Unit rows to append for the ``maille`` / ``maille_parent`` labels of a KPI result."""
-    fresh = unregistered(incoming, existing, "maille", ["maille_parent"])
+    fresh = unregistered(incoming, existing, "maille", ["maille_parent"], keep)
     labels = _phases(fresh, existing, "maille", "maille_parent", [])
     numbered = assign_ids(labels, "id_maille", max_id(existing, "id_maille"))
     return _with_parent_ids(numbered, existing, "id_maille").select(*ORG_UNIT.names)
 
 
-def kpi_upsert(existing: DataFrame, units: DataFrame, incoming: DataFrame, report: str | Column) -> DataFrame:
+def kpi_upsert(
+    existing: DataFrame, units: DataFrame, incoming: DataFrame, report: str | Column, keep: Keep = written
+) -> DataFrame:
     """KPI rows to append for the ``indicateur`` / ``indicateur_parent`` labels of a KPI result.
 
     A label that is already registered keeps its report; ``units`` gives the unit group's id.
     """
-    fresh = unregistered(incoming, existing, "indicateur", ["indicateur_parent", "maille_parent"])
+    fresh = unregistered(incoming, existing, "indicateur", ["indicateur_parent", "maille_parent"], keep)
     labels = _phases(fresh, existing, "indicateur", "indicateur_parent", ["maille_parent"])
     numbered = assign_ids(labels, "id_calc", max_id(existing, "id_calc"))
     with_parents = _with_parent_ids(numbered, existing, "id_calc")

@@ -15,10 +15,10 @@ from fleetgauge.operators.maintenance import ledger_period
 from fleetgauge.plans import registry
 from fleetgauge.plans.kpi import DAY, MONTH, Kpi
 from fleetgauge.schemas import ContractError
-from fleetgauge.session import written
+from fleetgauge.session import JOB_SETTINGS, Staging, settings, written
 from fleetgauge.sources import store as st
 from fleetgauge.sources.store import HistoryStore
-from fleetgauge.sources.tables import Sources
+from fleetgauge.sources.tables import Keep, Sources
 
 log = logging.getLogger(__name__)
 
@@ -53,7 +53,7 @@ def _reports_with_new_labels(store: HistoryStore, rows: DataFrame) -> list[str]:
     return sorted(r.report for r in found.collect())
 
 
-def register_labels(store: HistoryStore, rows: DataFrame) -> None:
+def register_labels(store: HistoryStore, rows: DataFrame, keep: Keep = written) -> None:
     """Append new unit and KPI labels, report by report in alphabetical order.
 
     The first report that brings a label keeps it. Each step reads the tables the step
@@ -61,8 +61,8 @@ def register_labels(store: HistoryStore, rows: DataFrame) -> None:
     """
     for report in _reports_with_new_labels(store, rows):
         labels = rows.filter(F.col("report") == report)
-        store.insert(st.UNITS, history.unit_upsert(store.read(st.UNITS), labels))
-        store.insert(st.KPIS, history.kpi_upsert(store.read(st.KPIS), store.read(st.UNITS), labels, report))
+        store.insert(st.UNITS, history.unit_upsert(store.read(st.UNITS), labels, keep))
+        store.insert(st.KPIS, history.kpi_upsert(store.read(st.KPIS), store.read(st.UNITS), labels, report, keep))
 
 
 def _other_rows(store: HistoryStore, as_of: AsOf, fact: DataFrame) -> DataFrame:
@@ -88,27 +88,23 @@ def run_day(
     store.purge(as_of, st.DAILY)
     summary = RunSummary()
     wanted = [k for k in (registry.KPIS if kpis is None else kpis) if k.grain == DAY]
+    by_name = {k.name: k for k in wanted}
     if use_ledger:
         done = store.done(DAY, as_of.day)
         summary.skipped = [k.name for k in wanted if (k.report, k.name) in done]
         wanted = [k for k in wanted if (k.report, k.name) not in done]
-    rows = None
-    if wanted:
-        try:
-            rows = registry.run_reports(src, as_of, wanted)
-        except (ContractError, AnalysisException):
-            wanted = _sound(src, as_of, wanted, summary)
-            rows = registry.run_reports(src, as_of, wanted) if wanted else None
-    if rows is not None:
-        rows = written(rows, "day")
-        register_labels(store, rows)
-        fact = history.daily_fact(rows, store.read(st.KPIS), store.read(st.UNITS), as_of.day)
-        if as_of.day in store.dates(st.DAILY):
-            fact = written(fact.unionByName(_other_rows(store, as_of, fact)), "fact")
-        store.replace_date(st.DAILY, as_of.day, fact)
-        summary.done = [k.name for k in wanted]
+    with settings(src.spark, JOB_SETTINGS), Staging() as staging:
+        rows = None
+        if wanted:
+            try:
+                rows = registry.run_reports(src, as_of, wanted, staging.keep)
+            except (ContractError, AnalysisException):
+                wanted = _sound(src, as_of, wanted, summary)
+                rows = registry.run_reports(src, as_of, wanted, staging.keep) if wanted else None
+        if rows is not None:
+            _write_day(store, as_of, staging.keep(rows, "day"), staging.keep)
+            summary.done = [k.name for k in wanted]
     period = ledger_period(as_of, DAY)
-    by_name = {k.name: k for k in (registry.KPIS if kpis is None else kpis)}
     store.record_runs(
         [(by_name[n].report, n, DAY, "done", period) for n in summary.done]
         + [(by_name[n].report, n, DAY, "failed", period) for n in summary.failed]
@@ -116,6 +112,14 @@ def run_day(
     return summary
 
 
+def _write_day(store: HistoryStore, as_of: AsOf, rows: DataFrame, keep: Keep) -> None:
+    register_labels(store, rows, keep)
+    fact = history.daily_fact(rows, store.read(st.KPIS), store.read(st.UNITS), as_of.day)
+    if as_of.day in store.dates(st.DAILY):
+        fact = keep(fact.unionByName(_other_rows(store, as_of, fact)), "fact")
+    store.replace_date(st.DAILY, as_of.day, fact)
+
+
 def run_one_report(src: Sources, store: HistoryStore, as_of: AsOf, report: str) -> RunSummary:
     """All daily KPIs of one report, for the run day."""
     return run_day(src, store, as_of, registry.kpis_of(report))
@@ -156,8 +160,11 @@ def run_month(store: HistoryStore, as_of: AsOf, reports: list[str] | None = None
         if month in store.dates(st.MONTHLY):
             kept = store.read(st.MONTHLY).filter(F.col("date") == F.lit(month))
             kept = kept.join(chosen.select("id_calc"), "id_calc", "left_anti")
-            averages = written(averages.select(*kept.columns).unionByName(kept), "month")
-        store.replace_date(st.MONTHLY, month, averages)
+            with Staging() as staging:
+                merged = averages.select(*kept.columns).unionByName(kept)
+                store.replace_date(st.MONTHLY, month, staging.keep(merged, "month"))
+        else:
+            store.replace_date(st.MONTHLY, month, averages)
         summary.done = wanted
     store.record_runs([(r, r, MONTH, "done", as_of.this_month) for r in summary.done])
     return summary

@@ -14,7 +14,7 @@ from fleetgauge.plans.kpi import REPORT, Kpi
 from fleetgauge.schemas import KPI_RESULT, conform
 from fleetgauge.session import written
 from fleetgauge.sources import sql_kpis
-from fleetgauge.sources.tables import Sources
+from fleetgauge.sources.tables import Keep, Sources
 
 FAMILIES = {
     counts.FAMILY: counts.asset_counts,
@@ -65,10 +65,10 @@ def compute_one(src: Sources, as_of: AsOf, name: str) -> DataFrame:
     return compute(src, as_of, [BY_NAME[name]])
 
 
-def run_reports(src: Sources, as_of: AsOf, kpis: Iterable[Kpi]) -> DataFrame:
-    """Result rows and report of many KPIs. Blocks that several of them read are written once."""
+def run_reports(src: Sources, as_of: AsOf, kpis: Iterable[Kpi], keep: Keep = written) -> DataFrame:
+    """Result rows and report of many KPIs. Blocks that several of them read are kept by ``keep``."""
     kpis = list(kpis)
-    shared = src.sharing(written)
+    shared = src.sharing(keep)
     blocks = quality.shared_blocks(shared, as_of, [k for k in kpis if k.family == quality.FAMILY])
     if not blocks:
         return compute_with_report(src, as_of, kpis)

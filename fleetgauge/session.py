@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +49,55 @@ def written(df: DataFrame, name: str) -> DataFrame:
     The lineage ends at the written files, so several jobs can use the frame and a lost
     executor costs a re-read, not a recomputation.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/fleetgauge/{name}-{uuid.uuid4().hex}"
+    return _write(df, _path(df.sparkSession, name))
+
+
+def _path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/fleetgauge/{name}-{uuid.uuid4().hex}"
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Frames written for one job. When the job is over, their files make way for empty ones."""
+
+    def __init__(self) -> None:
+        self._kept: list[tuple[str, DataFrame]] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = _path(df.sparkSession, name)
+        kept = _write(df, path)
+        self._kept.append((path, kept))
+        return kept
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path, frame in self._kept:
+            empty = frame.sparkSession.createDataFrame([], frame.schema).coalesce(1)
+            empty.write.mode("overwrite").parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a job."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+# Split the reduce task of a hot join key even where that costs another shuffle.
+JOB_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}

@@ -8,6 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 
+# writes a frame under a name and gives it back without its lineage
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
 class Sources:
     """Lazily resolved input tables: ``sources.assets`` or ``sources["assets"]``.
 
@@ -19,10 +23,10 @@ class Sources:
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
-        self._keep: Callable[[DataFrame, str], DataFrame] | None = None
+        self._keep: Keep | None = None
         self._blocks: dict[str, DataFrame] = {}
 
-    def sharing(self, keep: Callable[[DataFrame, str], DataFrame]) -> Sources:
+    def sharing(self, keep: Keep) -> Sources:
         """The same tables, with every block kept by ``keep`` when it is first used."""
         shared = Sources(self.spark, {n: (lambda n=n: self[n]) for n in self._loaders})
         shared._keep = keep
