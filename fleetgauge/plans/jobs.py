@@ -138,8 +138,8 @@ def recompute_day(src: Sources, store: HistoryStore, as_of: AsOf, kpis: list[Kpi
     return run_day(src, store, as_of, kpis, use_ledger=False)
 
 
-def recompute_yesterday(src: Sources, store: HistoryStore, as_of: AsOf) -> RunSummary:
-    return recompute_day(src, store, as_of.yesterday)
+def recompute_yesterday(src: Sources, store: HistoryStore, as_of: AsOf, kpis: list[Kpi] | None = None) -> RunSummary:
+    return recompute_day(src, store, as_of.yesterday, kpis)
 
 
 def run_month(store: HistoryStore, as_of: AsOf, reports: list[str] | None = None, use_ledger: bool = True) -> RunSummary:

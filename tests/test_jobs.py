@@ -72,6 +72,14 @@ def test_a_run_of_one_report_keeps_the_others(spark, src, store):
     assert content(store, st.DAILY) == both
 
 
+def test_yesterday_and_one_report(spark, src, store):
+    jobs.recompute_yesterday(src, store, AS_OF, KPIS[2:3])
+    assert store.dates(st.DAILY) == [AS_OF.yesterday.day]
+    summary = jobs.run_one_report(src, store, AS_OF, "r035")
+    assert sorted(summary.done) == ["os_licence", "os_ltsc", "os_name", "os_support_class"]
+    assert store.dates(st.DAILY) == [AS_OF.yesterday.day, AS_OF.day]
+
+
 def test_a_broken_kpi_does_not_stop_the_report(spark, src, store):
     broken = Kpi("broken", "R026", "", "", sql_kpis.FAMILY, "SELECT 1 AS valeur")
     summary = jobs.run_day(src, store, AS_OF, [KPIS[0], broken])

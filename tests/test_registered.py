@@ -11,6 +11,7 @@ from fleetgauge.plans.registry import BY_NAME
 from fleetgauge.sources import fixtures
 from tests.conftest import SF_DIR
 
+# plans that write shared frames first
 SLOW = {"run_report", "run_report_r026"}
 # One per shape; `python -m checks.compare` runs them all.
 SAMPLE = [
@@ -40,10 +41,6 @@ def test_every_query_has_a_counterpart():
     assert set(queries()) == set(oracle_sql()) == set(BY_NAME) | set(QUERIES)
 
 
-# KPIs of one family differ in their parameters only
-PLANNED = [n for n in SAMPLE if n in BY_NAME] + [n for n in QUERIES if n not in SLOW]
-
-
 @pytest.fixture(scope="module")
 def without_broadcasts(spark):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -54,7 +51,7 @@ def without_broadcasts(spark):
     fixtures._OPEN.pop(spark, None)
 
 
-@pytest.mark.parametrize("name", PLANNED)
+@pytest.mark.parametrize("name", [n for n in SAMPLE if n not in SLOW])
 def test_plan_stays_distributed(without_broadcasts, name):
     """Without broadcasts, as with large tables: no cross or nested-loop join, no Python."""
     plan = queries()[name](without_broadcasts, SF_DIR)._jdf.queryExecution().executedPlan().toString()
