@@ -92,8 +92,9 @@ def run_rows(
         )
 
 
-#: Run groups with more different bodies than this are compared through a shuffle of single windows, not in one task.
-GROUP_BODIES = 256
+#: Run groups with more different bodies than a task compares in some 50 MB are compared through a shuffle of their
+#: windows instead.
+GROUP_BODIES = 8192
 
 
 def bodies_of(
