@@ -7,11 +7,13 @@ number of shingles agree in a coordinate with the probability of their Jaccard s
 independent ones. Bands of coordinates are bucket keys: at 32 bands of 4, a pair at 0.8 meets in no bucket with
 probability 5e-8; at 26 bands of 5, a pair at 0.85 with 3e-7.
 
-Texts of equal shingle sets are one class and enter once. Within a bucket, classes are compared with a few centers,
-chosen by hash; a link is confirmed on the full sets. Only pairs of different components can still matter, so the next
-round looks only at buckets that hold several, with 16 times as many centers, compared with the classes of other
-components only, until each bucket is one component or all of its classes were centers. So no pair of different
-components that shares a bucket goes unchecked, and a bucket of one group costs one comparison a class.
+Texts of equal shingle sets are one class and enter once. First each class of a bucket is compared with the bucket's
+first one, on the full sets; in a group of near copies that links nearly all. What is left to find are links between
+classes that share a bucket but are not connected yet. Classes that buckets connect, linked or not, are a group; a
+group of several components is compared within itself, in cells of two blocks of ``BLOCK`` classes, so that a class
+travels once for every block of its group and no pair is a row. In a cell, pairs of different components whose sketches
+agree in enough coordinates (``MARGIN`` standard deviations below the similarity asked for: one true pair in ten
+million falls short) are checked on the full sets, until they are connected. So the components are those of all links.
 
 Defined cases: a null or blank text has no shingles, links with nothing and is kept; with fewer words than a shingle
 the whole sequence is the one shingle; a row without id belongs to the component of the texts it links with and is
@@ -30,14 +32,16 @@ from pyspark.sql import functions as F
 from .arrays import BYTE_VALUES, LOWER, SPACED_WORDS, Rolling, Texts, mix, record_batch, split_words, text_chunks
 from .components import components
 from .scratch import Scratch
-from .windows import keyed
+from .windows import keyed, whole_groups
 
 SHINGLE = 5
 SIMILARITY = 80
 BANDS = 32
 ROWS = 4
-#: How many times as many centers a bucket gets in the next round.
-MORE_CENTERS = 16
+BLOCK = 1024
+MARGIN = 5.5
+#: Pairs checked before a cell looks again at which are still unconnected.
+PAIRS = 4096
 
 SKETCH_SCHEMA = "k1 long, k2 int, doc_id long, n long, node binary, bands array<long>"
 _SKETCH = pa.schema(
@@ -155,12 +159,18 @@ def _resolved(docs, id_col, text_col, shingle, similarity, bands, rows) -> DataF
         "classes",
     )
     every = classes.select(F.explode("bands").alias("key"), "node", "n")
-    shared = every.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = scratch.keep(every.join(shared, "key"), "buckets")
-    nodes = buckets.select("node").distinct().join(classes.select("node", "one.k1", "one.k2"), "node")
-    sets = scratch.keep(_sets(texts, nodes, shingle), "sets")
-
-    links = _linked(buckets, sets, similarity, scratch)
+    first = every.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("size"))
+    pairs = every.join(first.where("size > 1"), "key").where("node != c.node")
+    pairs = pairs.select("node", "n", F.col("c.node").alias("other"), F.col("c.n").alias("m")).distinct()
+    pairs = scratch.keep(pairs, "pairs")
+    nodes = pairs.select("node").unionByName(pairs.select(F.col("other").alias("node"))).distinct()
+    sets = _sets(texts, nodes.join(classes.select("node", "one.k1", "one.k2"), "node"), shingle)
+    sets = scratch.keep(sets, "sets")
+    links = scratch.keep(_checked(pairs, sets, similarity), "links")
+    found = scratch.keep(components(links, scratch, "first"), "components")
+    groups = components(pairs.select(F.col("node").alias("a"), F.col("other").alias("b")), scratch, "groups")
+    more = _within_groups(scratch.keep(groups, "groups"), found, sets, similarity, bands * rows)
+    links = scratch.keep(links.unionByName(more), "all-links")
     found = components(links, scratch, "last")
     named = (
         all_rows.where("n > 0")
@@ -197,59 +207,92 @@ def _sets(texts: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return asked.mapInArrow(run, "node binary, shingles binary").dropDuplicates(["node"])
 
 
-def _linked(buckets: DataFrame, sets: DataFrame, similarity: int, scratch: Scratch) -> DataFrame:
-    """Links that connect all classes which links between classes of one bucket connect."""
-    first = buckets.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c"))
-    pairs = buckets.join(first, "key").select("node", "n", F.col("c.node").alias("other"), F.col("c.n").alias("m"))
-    tested = scratch.keep(_checked(pairs, sets, similarity), "tested-0")
-    centers, turn = 1, 0
-    while True:
-        turn += 1
-        centers *= MORE_CENTERS
-        links = tested.where("linked").select("a", "b")
-        found = components(links, scratch, f"components-{turn}")
-        rows = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = (
-            rows.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low != high")
-            .select("key")
-        )
-        rows = scratch.keep(rows.join(several, "key"), f"open-{turn}")
-        most = rows.agg(F.max("size")).first()[0]
-        if most is None:
-            return links
-        step = F.greatest(F.lit(1), F.floor(F.col("size") / centers))
-        chosen = rows.where(F.pmod(F.xxhash64("node"), step) == 0)
-        chosen = chosen.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("o"))
-        pairs = rows.join(chosen, "key").where("component != o").select("node", "n", "other", "m")
-        pairs = _checked(pairs, sets, similarity, tested.select("a", "b"))
-        tested = scratch.keep(tested.unionByName(pairs), f"tested-{turn}")
-        scratch.drop(f"tested-{turn - 1}")
-        if centers >= most:
-            return tested.where("linked").select("a", "b")
-
-
-def _checked(pairs: DataFrame, sets: DataFrame, similarity: int, before: DataFrame | None = None) -> DataFrame:
-    """(a, b, linked) of the pairs (node, n, other, m) that sizes allow, each once, without those checked before."""
-    possible = 100 * F.least("n", "m") >= similarity * F.greatest("n", "m")
-    pairs = pairs.where((F.col("node") != F.col("other")) & possible)
-    pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-    if before is not None:
-        pairs = pairs.join(before, ["a", "b"], "left_anti")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("linked", pa.bool_())])
+def _checked(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (node, n, other, m) that are linked, as a and b."""
+    pairs = pairs.where(100 * F.least("n", "m") >= similarity * F.greatest("n", "m"))
+    left = sets.select("node", F.col("shingles").alias("x"))
+    right = sets.select(F.col("node").alias("other"), F.col("shingles").alias("y"))
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
-                linked.append(100 * both >= similarity * (len(x) + len(y) - both))
-            yield record_batch(schema, [batch.column(0), batch.column(1), pa.array(linked, type=pa.bool_())])
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
-        run, "a binary, b binary, linked boolean"
+            linked = [
+                _linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), similarity)
+                for x, y in zip(batch.column(2), batch.column(3), strict=True)
+            ]
+            kept = pa.array(linked, type=pa.bool_())
+            yield record_batch(schema, [batch.column(0).filter(kept), batch.column(1).filter(kept)])
+
+    joined = pairs.join(left, "node").join(right, "other").select("node", "other", "x", "y")
+    return joined.mapInArrow(run, "a binary, b binary")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
+    """Whether two sets, as ascending hashes, are similar enough."""
+    both = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x)
+    return bool(100 * both >= similarity * (len(x) + len(y) - both))
+
+
+def _within_groups(groups: DataFrame, found: DataFrame, sets: DataFrame, similarity: int, size: int) -> DataFrame:
+    """Links (a, b) between the components of each group (node, component), enough to connect what all would."""
+    members = groups.withColumnRenamed("component", "grp").join(found, "node", "left")
+    members = members.withColumn("component", F.coalesce("component", "node"))
+    open_ = members.groupBy("grp").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
     )
+    members = members.join(open_.where("low != high").select("grp", "blocks"), "grp")
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    at = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at")
+    cell = F.xxhash64("grp", F.least("block", "at"), F.greatest("block", "at")).alias("cell")
+    cells = members.select("node", "component", "block", "grp", at).select("node", "component", "block", cell)
+    cells = cells.join(sets, "node").repartition("cell").sortWithinPartitions("cell")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches):
+        for batch in whole_groups(batches, "cell"):
+            cell = batch.column(0).to_numpy()
+            heads = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            for lo, hi in zip(heads.tolist(), np.append(heads[1:], len(cell)).tolist(), strict=True):
+                part = batch.slice(lo, hi - lo)
+                left, right = _links_in(part, similarity, size)
+                node = part.column(1)
+                yield record_batch(schema, [node.take(pa.array(left, pa.int64())), node.take(pa.array(right, pa.int64()))])
+
+    return cells.select("cell", "node", "component", "block", "shingles").mapInArrow(run, "a binary, b binary")
+
+
+def _links_in(part: pa.RecordBatch, similarity: int, size: int) -> tuple[list[int], list[int]]:
+    """Links between members of a cell (cell, node, component, block, shingles) that connect components."""
+    raw = [x.as_buffer() for x in part.column(4)]
+    sets = [np.frombuffer(x, np.uint64) for x in raw]
+    n = np.array([len(x) for x in sets])
+    marks = sketches(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]), size).astype(np.uint8)
+    block = part.column(3).to_numpy()
+    several = block.min() != block.max()
+    root = np.unique(np.array(part.column(2).to_pylist(), dtype=object), return_inverse=True)[1]
+    share = similarity / 100
+    least = size * (share - MARGIN * np.sqrt(share * (1 - share) / size))
+    rows, columns = [], []
+    for i in range(len(n)):
+        later = slice(i + 1, None)
+        good = (root[later] != root[i]) & (100 * np.minimum(n[later], n[i]) >= similarity * np.maximum(n[later], n[i]))
+        if several:
+            good &= block[later] != block[i]  # pairs of one block have a cell of their own
+        j = np.flatnonzero(good) + i + 1
+        j = j[(marks[j] == marks[i]).sum(axis=1) >= least]
+        rows.append(np.full(len(j), i))
+        columns.append(j)
+    rows, columns = np.concatenate(rows), np.concatenate(columns)
+    left, right = [], []
+    while len(rows):
+        for i, j in zip(rows[:PAIRS].tolist(), columns[:PAIRS].tolist(), strict=True):
+            if root[i] != root[j] and _linked(sets[i], sets[j], similarity):
+                left.append(i)
+                right.append(j)
+                root[root == root[j]] = root[i]
+        rows, columns = rows[PAIRS:], columns[PAIRS:]
+        still = root[rows] != root[columns]
+        rows, columns = rows[still], columns[still]
+    return left, right
