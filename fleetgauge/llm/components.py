@@ -16,19 +16,18 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     the number of rounds grows with the logarithm of a component's extent. Ends when a round changes no edge.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    edges = scratch.keep(edges, f"{name}-0")
+    edges = scratch.keep(edges, f"{name}-0", free=False)
     state = _state(edges)
     turn = 0
-    while True:
+    while state[0]:
         turn += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        hooked = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        hooked = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = hooked.groupBy("a").agg(F.min("b").alias("m"))
-        joined = hooked.join(least, "a")
-        down = joined.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        down = hooked.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         hooked = down.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = scratch.keep(hooked, f"{name}-{turn}")
+        edges = scratch.keep(hooked, f"{name}-{turn}", free=False)
         scratch.drop(f"{name}-{turn - 1}")
         before, state = state, _state(edges)
         if state == before:

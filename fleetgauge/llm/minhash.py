@@ -167,11 +167,12 @@ def _resolved(docs, id_col, text_col, shingle, similarity, bands, rows) -> DataF
     sets = _sets(texts, nodes.join(classes.select("node", "one.k1", "one.k2"), "node"), shingle)
     sets = scratch.keep(sets, "sets")
     links = scratch.keep(_checked(pairs, sets, similarity), "links")
-    found = scratch.keep(components(links, scratch, "first"), "components")
+    found = scratch.keep(components(links, scratch, "first"), "components", free=False)
     groups = components(pairs.select(F.col("node").alias("a"), F.col("other").alias("b")), scratch, "groups")
-    more = _within_groups(scratch.keep(groups, "groups"), found, sets, similarity, bands * rows)
-    links = scratch.keep(links.unionByName(more), "all-links")
-    found = components(links, scratch, "last")
+    groups = scratch.keep(groups, "groups", free=False)
+    more = _within_groups(groups, found, sets, similarity, bands * rows)
+    joined = found.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = components(joined.unionByName(more), scratch, "last")
     named = (
         all_rows.where("n > 0")
         .groupBy("node")

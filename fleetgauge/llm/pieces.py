@@ -4,7 +4,7 @@ A text is encoded as SentencePiece does it: a space goes in front, and pieces of
 text; a character that no piece covers becomes byte pieces. Pieces weigh by their rank in the vocabulary, as 1 / rank;
 models whose scores are log probabilities keep these. All segmentations of a text form a lattice. No piece has a space
 but in front, so the lattice of a text is the lattices of its words one after another, and these are built once for
-equal words of a pass; a task keeps those of the first words it sees.
+equal words of a pass; a worker keeps those of the first words it sees.
 
 The ``k`` samples are what an A-star search over the lattice, perturbed by Gumbel noise, emits first. The search space
 is split as it goes: the segmentation emitted, and for each of its words the set of those that agree with it before
@@ -40,7 +40,7 @@ K = 2
 #: Text bytes of one pass; its lattices and samples are some hundred times that.
 PASS_BYTES = 1 << 17
 #: Characters of the words whose lattices a task keeps; the other words' are built for each pass.
-KEPT_CHARS = 1 << 20
+KEPT_CHARS = 3 << 19
 SPACE_MARK = "▁".encode()
 #: What a byte piece weighs, as a share of the last piece of the vocabulary.
 BYTE_SHARE = 0.1
@@ -377,6 +377,12 @@ def _parts(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return group, np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
 
 
+@lru_cache(maxsize=1)
+def _kept(model_file: str) -> Lattices:
+    """The lattices that a worker process keeps for all its tasks."""
+    return Lattices(load(model_file))
+
+
 class Sampler:
     """Samples of the segmentations of some texts."""
 
@@ -589,7 +595,7 @@ def encode(
     texts = texts.select("doc_id", F.xxhash64("doc_id", F.lit(seed)).alias("seed"), "text")
 
     def run(batches):
-        lattices = Lattices(load(model_file))
+        lattices = _kept(model_file)
         for chunk in text_chunks(batches, limit=PASS_BYTES):
             yield from sampled(chunk, lattices, k)
 

@@ -32,13 +32,14 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back; the shuffle files of what led to it can go."""
+    def keep(self, df: DataFrame, name: str, free: bool = True) -> DataFrame:
+        """Write ``df`` and read it back; with ``free``, the shuffle files of what led to it go."""
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         schema = df.schema
         del df
-        free_shuffles(self.spark)
+        if free:
+            free_shuffles(self.spark)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:
