@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .arrays import BYTE_VALUES, Rolling, Texts, mix, record_batch, text_chunks
 
@@ -641,7 +642,7 @@ def sampled(chunk: Texts, lattices: Lattices, k: int):
 
 def decode(rows: DataFrame, model_file: str, pieces_col: str = "pieces") -> DataFrame:
     """``rows`` with the column ``decoded``; null pieces give an empty text, invalid bytes the replacement character."""
-    schema = rows.schema.add("decoded", "string")
+    schema = StructType([*rows.schema.fields, StructField("decoded", StringType())])
 
     def run(batches):
         vocab = load(model_file)

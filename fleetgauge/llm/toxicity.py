@@ -166,15 +166,17 @@ def _train(texts, labelled, max_training, trees, depth, scratch) -> Model:
     # at most about max_training rows of two numbers
     rows = texts.join(F.broadcast(sampled), "doc_id").groupBy("doc_id", F.xxhash64("text").alias("key"))
     rows = scratch.keep(rows.agg(F.first("text").alias("text"), F.max("y").alias("y")), "training")
-    sizes = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    half = F.pmod(fold(F.col("doc_id")), F.lit(2))
+    counts = rows.groupBy(half.alias("half"), "y").agg(F.count("*").alias("n")).collect()  # four rows at most
+    by_half = [{r.y: r.n for r in counts if r.half == i} for i in (0, 1)]
+    sizes = {y: sum(part.get(y, 0) for part in by_half) for y in {r.y for r in counts}}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
     empty = Lexicon(np.zeros(0, np.uint64), np.zeros(0))
     if len(sizes) < 2:
         return Model(empty, None, None, share)
-    half = F.pmod(fold(F.col("doc_id")), F.lit(2))
-    halves = [rows.where(half == i).drop("half") for i in (0, 1)]
+    halves = [rows.where(half == i) for i in (0, 1)]
     marked = scratch.keep(entries(rows.withColumn("half", half)), "entries")
-    lexicons = [_lexicon(marked.where(F.col("half") == 1 - i)) for i in (0, 1)]
+    lexicons = [_lexicon(marked.where(F.col("half") == 1 - i), by_half[1 - i]) for i in (0, 1)]
     seen = [features(part, lexicon) for part, lexicon in zip(halves, lexicons, strict=True)]
     known = scratch.keep(seen[0].unionByName(seen[1]).select("doc_id", "x", F.col("y").cast("double").alias("y")), "features")
     for_calibration = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(4)) == 0
@@ -189,7 +191,7 @@ def _train(texts, labelled, max_training, trees, depth, scratch) -> Model:
         calibration = IsotonicRegression(
             featuresCol="raw", labelCol="y", predictionCol="calibrated", isotonic=True
         ).fit(_raw(fit, held).select("raw", "y"))
-    return Model(_lexicon(marked), fit, calibration, share)
+    return Model(_lexicon(marked, sizes), fit, calibration, share)
 
 
 _ENTRIES = pa.schema([("entry", pa.int64()), ("half", pa.int64()), ("y", pa.int64()), ("n", pa.int64())])
@@ -215,20 +217,19 @@ def entries(rows: DataFrame) -> DataFrame:
             yield record_batch(_ENTRIES, [found, half, y, np.ones(len(found), np.int64)])
 
     each = rows.select("half", "y", "text").mapInArrow(run, "entry long, half long, y long, n long")
-    sums = each.groupBy("entry", "half").agg(F.sum("y").alias("toxic"), F.sum("n").alias("n"))
-    sizes = rows.groupBy("half").agg(F.sum("y").alias("all_toxic"), F.count("*").alias("all_n"))
-    return sums.where("toxic > 1").join(F.broadcast(sizes), "half")  # two rows
+    return each.groupBy("entry", "half").agg(F.sum("y").alias("toxic"), F.sum("n").alias("n")).where("toxic > 1")
+
 
+def _lexicon(marked: DataFrame, sizes: dict[int, int]) -> Lexicon:
+    """At most ``LEXICON_SIZE`` entries, those that speak for toxic texts most often and most clearly.
 
-def _lexicon(marked: DataFrame) -> Lexicon:
-    """At most ``LEXICON_SIZE`` entries, those that speak for toxic texts most often and most clearly."""
+    ``sizes`` has the number of training rows of each label.
+    """
     sums = marked.groupBy("entry").agg(*(F.sum(c).alias(c) for c in ("toxic", "n")))
-    sizes = marked.select("half", "all_toxic", "all_n").distinct().agg(F.sum("all_toxic").alias("p"), F.sum("all_n").alias("t"))
     other = F.col("n") - F.col("toxic")
-    weight = F.log((F.col("toxic") + 0.5) / (F.col("p") + 1)) - F.log((other + 0.5) / (F.col("t") - F.col("p") + 1))
+    weight = F.log((F.col("toxic") + 0.5) / (sizes.get(1, 0) + 1)) - F.log((other + 0.5) / (sizes.get(0, 0) + 1))
     best = (
-        sums.join(F.broadcast(sizes))  # one row
-        .withColumn("weight", weight)
+        sums.withColumn("weight", weight)
         .where((F.col("weight") >= LEXICON_WEIGHT) & (F.col("toxic") >= LEXICON_ROWS))
         .orderBy(F.desc(F.col("weight") * F.col("toxic")), "entry")
         .limit(LEXICON_SIZE)
