@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that a task looks at together; one longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -95,6 +95,7 @@ def text_chunks(batches: Iterable[pa.RecordBatch], name: str = "text", limit: in
             part = offsets[lo : hi + 1]
             yield Texts(rest.slice(lo, hi - lo), data[part[0] : part[-1]], part - part[0])
             lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def byte_table(in_word) -> np.ndarray:

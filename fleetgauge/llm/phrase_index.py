@@ -1,6 +1,6 @@
 """Benchmark decontamination: exact phrases and proximity matches from a distributed positional inverted index.
 
-The index is a written table. Its rows are blocks of neighbouring documents (about a megabyte of text); a block has its
+The index is a written table. Its rows are blocks of neighbouring documents (about half a megabyte of text); a block has its
 documents' ids and lengths and, for each term of the test items, the ascending list of places where the term stands.
 Term frequencies over the whole corpus come from the index. A test window is looked up in a block from its rarest term
 on: the list of places, less the term's offset in the window, gives candidate starts; the lists of the other terms,

@@ -19,14 +19,14 @@ from . import (
     toxicity,
     warc,
 )
-from .scratch import Scratch, importable
+from .scratch import Scratch, prepare
 
 #: Where the tokenizer's files lie on every machine.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -56,8 +56,13 @@ def free_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where the driver has it."""
+#: Rows that travel to a Python worker together; whole texts make larger batches a matter of memory.
+ARROW_ROWS = "1000"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound what a Python worker gets at once, and let workers on this machine import the package."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
