@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.time import AsOf
@@ -65,10 +67,45 @@ def register_labels(store: HistoryStore, rows: DataFrame, keep: Keep = written)
         store.insert(st.KPIS, history.kpi_upsert(store.read(st.KPIS), store.read(st.UNITS), labels, report, keep))
 
 
-def _other_rows(store: HistoryStore, as_of: AsOf, fact: DataFrame) -> DataFrame:
-    """Rows of the day whose KPI is not part of ``fact``."""
+def _other_rows(store: HistoryStore, as_of: AsOf, fact: DataFrame, reports: list[str]) -> DataFrame:
+    """Rows of the day that belong neither to ``fact`` nor to a report that was run as a whole."""
     today = store.read(st.DAILY).filter(F.col("date") == as_of.today)
-    return today.join(fact.select("id_calc").distinct(), "id_calc", "left_anti")
+    theirs = store.read(st.KPIS).filter(F.arrays_overlap("rapports", _names(reports))).select("id_calc")
+    gone = fact.select("id_calc").unionByName(theirs).distinct()
+    return today.join(gone, "id_calc", "left_anti")
+
+
+def _names(reports: list[str]) -> Column:
+    return F.array(*[F.lit(r) for r in reports]).cast("array<string>")
+
+
+def _computed(src: Sources, as_of: AsOf, wanted: list[Kpi], summary: RunSummary, keep: Keep) -> DataFrame | None:
+    """The written rows of ``wanted``; KPIs that fail, when planned or when run, are reported and left out."""
+    try:
+        return keep(registry.run_reports(src, as_of, wanted, keep), "day")
+    except (ContractError, AnalysisException):
+        wanted[:] = _sound(src, as_of, wanted, summary)
+    except (PySparkException, Py4JJavaError) as error:
+        log.error("a KPI failed while running, each is run alone: %s", str(error)[:500])
+    if wanted and not summary.failed:
+        return _one_by_one(src, as_of, wanted, summary, keep)
+    try:
+        return keep(registry.run_reports(src, as_of, wanted, keep), "day") if wanted else None
+    except (PySparkException, Py4JJavaError):
+        return _one_by_one(src, as_of, wanted, summary, keep)
+
+
+def _one_by_one(src: Sources, as_of: AsOf, wanted: list[Kpi], summary: RunSummary, keep: Keep) -> DataFrame | None:
+    """Each KPI by itself, so that one that fails at run time takes no other with it."""
+    frames = []
+    for k in list(wanted):
+        try:
+            frames.append(keep(registry.run_reports(src, as_of, [k], keep), f"day_{k.name}"))
+        except (ContractError, PySparkException, Py4JJavaError) as error:
+            log.error("KPI %s of %s: %s", k.name, k.report, str(error)[:500])
+            summary.failed[k.name] = str(error)
+            wanted.remove(k)
+    return reduce(DataFrame.unionByName, frames) if frames else None
 
 
 def run_day(
@@ -80,30 +117,31 @@ def run_day(
 ) -> RunSummary:
     """Compute the day's KPIs, register their labels and write the day's fact.
 
-    KPI rows are written once to the shared folder; labels and fact are taken from there.
-    The day's partition is overwritten with the new rows and those of KPIs not in this run,
-    so running a day again leaves the same fact.
+    KPI rows are written once to the shared folder; labels and fact are taken from there. The day's partition is
+    overwritten: a report of which every KPI given is run loses all rows it had, of the others only the rows of labels
+    that are computed again are replaced. A report that gives no row is not noted as done, so that a source that fills
+    up later is still computed.
     """
     store.create()
     store.purge(as_of, st.DAILY)
     summary = RunSummary()
-    wanted = [k for k in (registry.KPIS if kpis is None else kpis) if k.grain == DAY]
-    by_name = {k.name: k for k in wanted}
+    given = [k for k in (registry.KPIS if kpis is None else kpis) if k.grain == DAY]
+    wanted = list(given)
+    by_name = {k.name: k for k in given}
     if use_ledger:
         done = store.done(DAY, as_of.day)
-        summary.skipped = [k.name for k in wanted if (k.report, k.name) in done]
-        wanted = [k for k in wanted if (k.report, k.name) not in done]
-    with settings(src.spark, JOB_SETTINGS), Staging() as staging:
-        rows = None
-        if wanted:
-            try:
-                rows = registry.run_reports(src, as_of, wanted, staging.keep)
-            except (ContractError, AnalysisException):
-                wanted = _sound(src, as_of, wanted, summary)
-                rows = registry.run_reports(src, as_of, wanted, staging.keep) if wanted else None
-        if rows is not None:
-            _write_day(store, as_of, staging.keep(rows, "day"), staging.keep)
-            summary.done = [k.name for k in wanted]
+        summary.skipped = [k.name for k in given if (k.report, k.name) in done]
+        wanted = [k for k in given if (k.report, k.name) not in done]
+    partly = {by_name[n].report for n in summary.skipped}
+    if wanted:
+        with settings(src.spark, JOB_SETTINGS), Staging() as staging:
+            whole = sorted({k.report for k in wanted} - partly)
+            rows = _computed(src, as_of, wanted, summary, staging.keep)
+            if rows is None:
+                rows = src.spark.createDataFrame([], registry.WITH_REPORT)
+            filled = {r.report for r in rows.select("report").distinct().collect()}  # at most one a report
+            _write_day(store, as_of, rows, whole, staging.keep)
+            summary.done = [k.name for k in wanted if k.report in filled]
     period = ledger_period(as_of, DAY)
     store.record_runs(
         [(by_name[n].report, n, DAY, "done", period) for n in summary.done]
@@ -112,11 +150,11 @@ def run_day(
     return summary
 
 
-def _write_day(store: HistoryStore, as_of: AsOf, rows: DataFrame, keep: Keep) -> None:
+def _write_day(store: HistoryStore, as_of: AsOf, rows: DataFrame, whole: list[str], keep: Keep) -> None:
     register_labels(store, rows, keep)
     fact = history.daily_fact(rows, store.read(st.KPIS), store.read(st.UNITS), as_of.day)
     if as_of.day in store.dates(st.DAILY):
-        fact = keep(fact.unionByName(_other_rows(store, as_of, fact)), "fact")
+        fact = keep(fact.unionByName(_other_rows(store, as_of, fact, whole)), "fact")
     store.replace_date(st.DAILY, as_of.day, fact)
 
 
@@ -133,8 +171,10 @@ def purge_day(store: HistoryStore, as_of: AsOf) -> None:
 
 
 def recompute_day(src: Sources, store: HistoryStore, as_of: AsOf, kpis: list[Kpi] | None = None) -> RunSummary:
-    """Delete a day and compute it again; the ledger does not hold it back."""
-    purge_day(store, as_of)
+    """Compute a day again for the reports of ``kpis``: their rows go, those of other reports stay."""
+    store.create()
+    chosen = registry.KPIS if kpis is None else kpis
+    store.clear_runs(DAY, as_of.day, {k.report for k in chosen})
     return run_day(src, store, as_of, kpis, use_ledger=False)
 
 
@@ -142,18 +182,24 @@ def recompute_yesterday(src: Sources, store: HistoryStore, as_of: AsOf, kpis: li
     return recompute_day(src, store, as_of.yesterday, kpis)
 
 
+def known_reports(store: HistoryStore) -> list[str]:
+    """The built-in reports and all that have registered labels, such as reports of SQL files."""
+    stored = store.read(st.KPIS).select(F.explode("rapports").alias("report")).distinct().collect()
+    return sorted({*registry.reports(), *(r.report for r in stored)})
+
+
 def run_month(store: HistoryStore, as_of: AsOf, reports: list[str] | None = None, use_ledger: bool = True) -> RunSummary:
-    """Average the previous month for the reports and write it under its first day."""
+    """Average the previous month and write it under its first day; for all known reports unless some are given."""
     store.create()
     store.purge(as_of, st.MONTHLY)
     summary = RunSummary()
-    wanted = sorted(registry.reports() if reports is None else reports)
+    wanted = sorted(known_reports(store) if reports is None else reports)
     if use_ledger:
         done = store.done(MONTH, as_of.this_month)
         summary.skipped = [r for r in wanted if (r, r) in done]
         wanted = [r for r in wanted if (r, r) not in done]
     if wanted:
-        mine = F.arrays_overlap("rapports", F.array(*[F.lit(r) for r in wanted]))
+        mine = F.arrays_overlap("rapports", _names(wanted))
         chosen = store.read(st.KPIS).filter(mine)
         averages = rollup.monthly_of(store.read(st.DAILY), chosen, as_of)
         month = as_of.previous_month
@@ -171,7 +217,7 @@ def run_month(store: HistoryStore, as_of: AsOf, reports: list[str] | None = None
 
 
 def recompute_month(store: HistoryStore, as_of: AsOf) -> RunSummary:
-    """Delete the previous month and average it again for every report."""
+    """Delete the previous month and average it again for every known report."""
     store.create()
     month = as_of.previous_month
     store.delete_month(st.MONTHLY, month.year, month.month)

@@ -31,7 +31,7 @@ FAMILIES = {
 KPIS: list[Kpi] = [*compliance.KPIS, *counts.KPIS, *quality.KPIS, *support.KPIS, *os_mix.KPIS, *campaigns.KPIS]
 BY_NAME: dict[str, Kpi] = {k.name: k for k in [*KPIS, *quality.PARITY_KPIS]}
 
-_WITH_REPORT = T.StructType([*KPI_RESULT.fields, T.StructField(REPORT, T.StringType())])
+WITH_REPORT = T.StructType([*KPI_RESULT.fields, T.StructField(REPORT, T.StringType())])
 
 
 def reports() -> list[str]:
@@ -52,7 +52,7 @@ def compute_with_report(src: Sources, as_of: AsOf, kpis: Iterable[Kpi]) -> DataF
     families: dict[str, list[Kpi]] = {}
     for k in kpis:
         families.setdefault(k.family, []).append(k)
-    frames = [conform(FAMILIES[f](src, as_of, group), _WITH_REPORT) for f, group in families.items()]
+    frames = [conform(FAMILIES[f](src, as_of, group), WITH_REPORT) for f, group in families.items()]
     return reduce(DataFrame.unionByName, frames)
 
 

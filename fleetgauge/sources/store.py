@@ -30,9 +30,17 @@ _TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
 class HistoryStore:
     """Reads and maintains the history tables of ``database``."""
 
-    def __init__(self, spark: SparkSession, database: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str,
+        daily_months: int = fv.DAILY_RETENTION_MONTHS,
+        monthly_months: int = fv.MONTHLY_RETENTION_MONTHS,
+    ):
+        """``daily_months`` and ``monthly_months`` say how long each fact is kept."""
         self.spark = spark
         self.database = database
+        self.retention = {DAILY: daily_months, MONTHLY: monthly_months}
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -84,8 +92,7 @@ class HistoryStore:
 
     def purge(self, as_of: AsOf, table: str) -> None:
         """Drop the partitions older than the table's retention."""
-        months = fv.DAILY_RETENTION_MONTHS if table == DAILY else fv.MONTHLY_RETENTION_MONTHS
-        first_kept = months_before(as_of.day, months)
+        first_kept = months_before(as_of.day, self.retention[table])
         for day in self.dates(table):
             if day < first_kept:
                 self.delete_day(table, day)
@@ -101,7 +108,11 @@ class HistoryStore:
         runs = self.read(RUNS).filter((F.col("grain") == grain) & (F.col("period") == F.lit(period)))
         return {(r.report, r.kpi) for r in runs.filter(F.col("status") == "done").distinct().collect()}
 
-    def clear_runs(self, grain: str, period: dt.date) -> None:
+    def clear_runs(self, grain: str, period: dt.date, reports: set[str] | None = None) -> None:
+        """Forget a period's runs, of some reports or of all."""
+        runs = self.read(RUNS).filter((F.col("grain") == grain) & (F.col("period") == F.lit(period)))
+        others = [] if reports is None else [tuple(r[c] for c in KPI_RUN.names) for r in runs.collect() if r.report not in reports]
         self.spark.sql(
             f"ALTER TABLE {self.name(RUNS)} DROP IF EXISTS PARTITION (grain = '{grain}', period = DATE '{period}')"
         )
+        self.record_runs(others)  # at most a few rows for each KPI

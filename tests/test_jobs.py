@@ -89,6 +89,54 @@ def test_a_broken_kpi_does_not_stop_the_report(spark, src, store):
     assert jobs.run_day(src, store, AS_OF, [KPIS[0], broken]).skipped == ["kpi_assets"]
 
 
+def sql_kpi(name, report, labels, value="1.0", where="true"):
+    rows = " UNION ALL ".join(
+        f"SELECT '{x}' AS indicateur, '' AS indicateur_parent, tag AS maille, :as_of AS lastdate, '' AS maille_parent, "
+        f"CAST({value} AS double) AS valeur FROM assets WHERE {where}"
+        for x in labels
+    )
+    return Kpi(name, report, "", "", sql_kpis.FAMILY, rows)
+
+
+def labels_of(store):
+    named = store.read(st.DAILY).join(store.read(st.KPIS), "id_calc")
+    return {r.label for r in named.select("label").distinct().collect()}
+
+
+def test_a_label_that_is_no_longer_computed_goes(src, store):
+    jobs.run_day(src, store, AS_OF, [sql_kpi("x", "R098", ["K a", "K b"]), sql_kpi("y", "R099", ["L"])])
+    assert labels_of(store) == {"K a", "K b", "L"}
+    jobs.run_day(src, store, AS_OF, [sql_kpi("x", "R098", ["K a"])], use_ledger=False)
+    assert labels_of(store) == {"K a", "L"}
+
+
+def test_recomputing_leaves_other_reports(src, store):
+    jobs.run_day(src, store, AS_OF, [sql_kpi("x", "R098", ["K"]), sql_kpi("y", "R099", ["L"])])
+    jobs.recompute_day(src, store, AS_OF, [sql_kpi("x", "R098", ["M"])])
+    assert labels_of(store) == {"M", "L"}
+    assert store.done("day", AS_OF.day) == {("R098", "x"), ("R099", "y")}
+
+
+def test_an_empty_report_is_computed_again(src, store):
+    empty = sql_kpi("x", "R098", ["K"], where="false")
+    assert jobs.run_day(src, store, AS_OF, [empty]).done == []
+    assert jobs.run_day(src, store, AS_OF, [sql_kpi("x", "R098", ["K"])]).done == ["x"]
+
+
+def test_a_kpi_that_fails_while_running_takes_no_other_with_it(src, store):
+    bad = sql_kpi("bad", "R098", ["B"], "1 / (length(tag) - length(tag))")
+    summary = jobs.run_day(src, store, AS_OF, [sql_kpi("x", "R099", ["K"]), bad])
+    assert summary.done == ["x"] and list(summary.failed) == ["bad"]
+    assert labels_of(store) == {"K"}
+
+
+def test_retention_is_a_parameter(spark, store):
+    store.insert(st.DAILY, fact(spark, [(1, 1, 1.0, dt.date(2024, m, 1)) for m in (1, 2, 3)]))
+    store.retention[st.DAILY] = 1
+    store.purge(AsOf(dt.date(2024, 3, 2)), st.DAILY)
+    assert dt.date(2024, 1, 1) not in store.dates(st.DAILY) and dt.date(2024, 3, 1) in store.dates(st.DAILY)
+
+
 def fact(spark, data):
     return spark.createDataFrame(data, KPI_FACT)
 
@@ -123,8 +171,8 @@ def test_month_is_averaged_once_per_report(spark, store):
     summary = jobs.run_month(store, as_of, ["R014", "OTHER"])
     assert summary.skipped == ["R014"] and summary.done == ["OTHER"]
     assert store.read(st.MONTHLY).count() == 3
-    assert jobs.recompute_month(store, as_of).done == reports()
-    assert {r.id_calc for r in store.read(st.MONTHLY).collect()} == {1, 2}
+    assert jobs.recompute_month(store, as_of).done == sorted([*reports(), "OTHER"])
+    assert {r.id_calc for r in store.read(st.MONTHLY).collect()} == {1, 2, 3}
 
 
 def test_month_reads_only_its_partitions(spark, store):
