@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -50,10 +51,11 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of frames that are no longer referenced."""
+def free_shuffles(spark: SparkSession, wait: float = 0.0) -> None:
+    """Let Spark's cleaner, which works beside the job, remove the shuffle files of frames no longer referenced."""
     gc.collect()
     spark._jvm.System.gc()
+    time.sleep(wait)
 
 
 #: Rows that travel to a Python worker together; whole texts make larger batches a matter of memory.

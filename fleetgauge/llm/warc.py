@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, free_shuffles
 
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -71,7 +71,11 @@ def write(
         "headers",
     )
     once = pages.select("sha1", "sha256", "payload").groupBy("sha1", "sha256").agg(F.first("payload").alias("payload"))
-    return Archive(headers, scratch.keep(once, "payloads"))
+    archive = Archive(headers, scratch.keep(once, "payloads"))
+    del pages, rows, groups, once
+    for _ in range(2):  # whoever reads the archive shuffles payloads again; those of the writing should be gone
+        free_shuffles(scratch.spark, wait=0.7)
+    return archive
 
 
 def _record_id(page_id: Column, sha1: Column) -> Column:
