@@ -1 +1,95 @@
-ORACLE_SQL: dict[str, str] = {}
+"""SQL counterparts of the corpus queries that SQL can express."""
+
+from __future__ import annotations
+
+from .shards import HASH_BITS, LIMIT_BYTES
+from .warc import _BASE32
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+_DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+sized AS (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS words
+    FROM sized, unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS words
+    FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n
+),
+found AS (SELECT p.doc_id, p.i, p.n, x.item_id FROM places p JOIN windows x ON x.words = p.words AND x.n = p.n),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM found, unnest(range(i, i + n)) AS t(k) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(listed, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_SUBSTRING = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS words
+    FROM d, unnest(range(1, len(w) - 48)) AS t(i) WHERE len(w) >= 50
+),
+first AS (SELECT words, min(doc_id) AS least FROM windows GROUP BY words),
+gone AS (
+    SELECT DISTINCT doc_id, k FROM windows JOIN first USING (words), unnest(range(i, i + 50)) AS t(k)
+    WHERE least < doc_id
+),
+words AS (SELECT doc_id, k, w[k] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(k)),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS left_over
+    FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(left_over, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+_SHARDS = f"""
+WITH r AS (
+    SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+    FROM documents
+),
+e AS (SELECT r.*, d::INTEGER AS d, h >> ({HASH_BITS} - d)::INTEGER AS prefix FROM r, unnest(range(0, {HASH_BITS + 1})) AS t(d)),
+buckets AS (SELECT d, prefix, sum(n_bytes)::BIGINT AS shard_bytes FROM e GROUP BY d, prefix),
+fitting AS (
+    SELECT e.*, shard_bytes FROM e JOIN buckets USING (d, prefix) WHERE shard_bytes <= {LIMIT_BYTES}
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d) = 1
+)
+SELECT doc_id, n_bytes, CASE WHEN d = 0 THEN '' ELSE lpad(bin(prefix), d, '0') END AS shard, shard_bytes,
+    shard_bytes <= {LIMIT_BYTES} AS fits
+FROM fitting
+"""
+
+_GROUPS = " || ".join(
+    f"substr('{_BASE32}', ((('0x' || substr(hex, {i}, 5))::INTEGER >> {shift}) & 31) + 1, 1)"
+    for i in range(1, 41, 5)
+    for shift in (15, 10, 5, 0)
+)
+
+_WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT payload, min(page_id) AS first_id FROM p GROUP BY payload)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_GROUPS} AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, TRUE AS verified
+FROM p JOIN f USING (payload)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": _DECONTAMINATION,
+    "op4_substring_dedup": _SUBSTRING,
+    "op6_sharding": _SHARDS,
+    "op9_warc": _WARC,
+}
