@@ -28,11 +28,15 @@ AGENT_COLUMNS = {
 }
 
 
+# register columns that KPIs read, in the order in which they break ties
+REGISTER_COLUMNS = ("owner_id", "resp_id", "network", "manufacturer", "mac", "os", "is_virtual")
+
+
 def agent_latest(src: Sources, columns: Iterable[str] = tuple(AGENT_COLUMNS)) -> DataFrame:
     """Latest agent record per host with the derived ``columns``.
 
-    Only what they are made of is read and sorted, and breaks ties between records of one
-    scan. A kept block has all columns, to serve every KPI.
+    Ties between records of one scan are broken by all agent columns, whichever are asked for,
+    so that a KPI has one value alone and in company. A kept block has all columns.
     """
     columns = tuple(AGENT_COLUMNS) if src.keeps_blocks else tuple(sorted(set(columns)))
     return src.block(f"agent_latest_{'_'.join(columns)}", lambda: _agent_latest(src, columns))
@@ -40,7 +44,8 @@ def agent_latest(src: Sources, columns: Iterable[str] = tuple(AGENT_COLUMNS)) ->
 
 def _agent_latest(src: Sources, columns: tuple[str, ...]) -> DataFrame:
     sequence = [c for c in ("seq", "seq2") if c in src.agent_inventory.columns]
-    raw = dict.fromkeys(["host", "last_scan", *sequence, *(AGENT_COLUMNS[c] for c in columns)])
+    known = [c for c in AGENT_COLUMNS.values() if c in src.agent_inventory.columns]
+    raw = dict.fromkeys(["host", "last_scan", *sequence, *known])
     latest = latest_per_key(src.agent_inventory.select(*raw), ["host"], "last_scan")
     user = F.upper(key_part("top_user", "-", 1))
     derived = {
@@ -117,12 +122,14 @@ def latest_by_selection(
     Scan and model belong to the raw tag. Where they are needed, records are first reduced to
     one per raw tag: the joins then meet each tag once however often it was copied, and reuse
     that partitioning. The reduction per normalised tag is an aggregate with partial results
-    on the map side; all selections share its shuffle.
+    on the map side; all selections share its shuffle. Ties are broken by all register
+    columns, whichever are asked for.
     """
     sequence = [c for c in ("seq", "seq2") if c in src.assets.columns]
-    rows = src.assets.select("tag", "updated_on", *dict.fromkeys(columns), *sequence)
+    known = [c for c in REGISTER_COLUMNS if c in src.assets.columns]
+    rows = src.assets.select(*dict.fromkeys(["tag", "updated_on", *known, *columns, *sequence]))
     ties = tie_break(rows, exclude=["updated_on"])
-    payload = ["tag", *dict.fromkeys(columns)]
+    of_tag = []
     models, windows = [s.model for s in selections], [s.window for s in selections]
     with_scan = with_scan or any(windows)
     if any(models) or with_scan:
@@ -130,22 +137,24 @@ def latest_by_selection(
     if any(models):
         known = models_by_tag(src)
         rows = rows.join(known, rows.tag == known.model_tag, "inner" if all(models) else "left")
-        payload.append("model_number")
+        of_tag.append("model_number")
     if with_scan:
         scans = scans_by_host(src, as_of)
         if all(windows):
             rows = rows.join(scans.filter("window_scans > 0"), rows.tag == scans.scan_host, "inner")
         else:
             rows = rows.join(scans, rows.tag == scans.scan_host, "left")
-        payload.append("lastscan")
-    record = F.struct(
-        newest_first(rows, "updated_on").alias("age"),
-        F.struct(*[c for c in ties if c in sequence or c == "tag"]).alias("ties"),
-        F.struct(*payload).alias("asset"),
-    )
+        of_tag.append("lastscan")
+    record = F.struct(newest_first(rows, "updated_on").alias("age"), F.struct(*ties, *of_tag).alias("asset"))
+    payload = list(dict.fromkeys(["tag", *columns, *of_tag]))
     latest = [F.min(F.when(s.condition(), record)).alias(s.label) for s in selections]
     grouped = rows.groupBy(norm_key("tag").alias("tag_key")).agg(*latest)
-    return grouped.select("tag_key", *[F.col(f"`{s.label}`.asset").alias(s.label) for s in selections])
+
+    def asset(s: Selection) -> Column:
+        found = F.col(f"`{s.label}`.asset")
+        return F.when(found.isNotNull(), F.struct(*[found[c].alias(c) for c in payload])).alias(s.label)
+
+    return grouped.select("tag_key", *[asset(s) for s in selections])
 
 
 def per_selection(rows: DataFrame, selections: list[Selection]) -> DataFrame:

@@ -74,6 +74,10 @@ def campaign_membership(src: Sources, as_of: AsOf) -> DataFrame:
     )
 
 
+# parts into which the hosts of one campaign are split where campaigns are attached to them
+_CAMPAIGN_SPREAD = 256
+
+
 def _reported_campaigns(src: Sources, as_of: AsOf) -> DataFrame:
     """Campaigns per (group, type) and milestone, without those between two milestones."""
     between = [mark for mark, _ in fv.CAMPAIGN_MILESTONES]
@@ -92,13 +96,20 @@ def _org(src: Sources) -> DataFrame:
 def _members(src: Sources, as_of: AsOf, aggregates: list[Column]) -> tuple[DataFrame, DataFrame]:
     """Campaign hosts and register records, each counted per host, hosts restricted to recent scans.
 
-    Only hosts of reported campaigns are kept: the (group, type) join would drop the rest.
+    Hosts are reduced while the host still deals them out, and come with the label of every
+    reported campaign they are in. A campaign may hold the whole fleet: its hosts are split by a
+    second join key, for which the short list of campaigns is repeated.
     """
+    spread = F.sequence(F.lit(0).cast("long"), F.lit(_CAMPAIGN_SPREAD - 1).cast("long"))
+    reported = _reported_campaigns(src, as_of).withColumn("part", F.explode(spread))
     hosts = (
         src.campaign_hosts.filter(F.col("kind") == fv.CAMPAIGN_KIND)
-        .join(_reported_campaigns(src, as_of), ["grp", "type"], "left_semi")
         .groupBy("host", "grp", "type")
         .agg(*aggregates)
+        .withColumn("part", F.pmod(F.xxhash64("host"), F.lit(_CAMPAIGN_SPREAD)))
+        .join(reported, ["grp", "type", "part"], "inner")
+        .withColumn("campaign", F.concat("grp", F.lit(" - "), "type"))
+        .drop("grp", "type", "part")
     )
     assets = src.assets_os.groupBy(
         "tag", owner_or_department().alias("owner"), is_connected("network").alias("connected")
@@ -109,7 +120,7 @@ def _members(src: Sources, as_of: AsOf, aggregates: list[Column]) -> tuple[DataF
 
 def _label(suffix: str) -> Column:
     """'group - type - milestone' and a suffix."""
-    return F.concat("grp", F.lit(" - "), "type", F.lit(" - "), "milestone", F.lit(suffix))
+    return F.concat("campaign", F.lit(" - "), "milestone", F.lit(suffix))
 
 
 def campaign_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
@@ -125,14 +136,13 @@ def campaign_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     for i, s in enumerate(specs):
         selected = F.col("connected") if s.connected else F.lit(True)
         sums += [
-            F.sum(F.when(selected, F.col(f"h_{i}") * F.col("records")).otherwise(0)).alias(f"v_{i}"),
+            F.sum(F.when(selected, F.col(f"h_{i}") * F.col("records") * F.col("campaign_rows")).otherwise(0)).alias(f"v_{i}"),
             F.bool_or(selected).alias(f"p_{i}"),
         ]
-    per_owner = joined.groupBy("owner", "grp", "type").agg(*sums)
-    reported = per_owner.join(_reported_campaigns(src, as_of), ["grp", "type"], "inner")
-    located = with_paths(reported, _org(src), "owner", how="inner")
-    wide = located.groupBy("maille", "grp", "type", "milestone").agg(
-        *[F.sum(F.col(f"v_{i}") * F.col("campaign_rows") * F.col("org_rows")).alias(f"v_{i}") for i in range(len(kpis))],
+    per_owner = joined.groupBy("owner", "campaign", "milestone").agg(*sums)
+    located = with_paths(per_owner, _org(src), "owner", how="inner")
+    wide = located.groupBy("maille", "campaign", "milestone").agg(
+        *[F.sum(F.col(f"v_{i}") * F.col("org_rows")).alias(f"v_{i}") for i in range(len(kpis))],
         *[F.bool_or(f"p_{i}").alias(f"p_{i}") for i in range(len(kpis))],
     )
     measures = [
@@ -145,10 +155,9 @@ def campaign_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
 def targeted_kpi(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     """Distinct hosts per campaign milestone and unit."""
     hosts, assets = _members(src, as_of, [F.lit(True).alias("targeted")])
-    joined = hosts.join(assets, hosts.host == assets.tag, "inner").select("host", "owner", "grp", "type").distinct()
-    reported = joined.join(_reported_campaigns(src, as_of).drop("campaign_rows"), ["grp", "type"], "inner")
-    located = with_paths(reported, _org(src).drop("org_rows"), "owner", how="inner")
-    counts = located.groupBy("maille", "grp", "type", "milestone").agg(F.countDistinct("host").alias("n"))
+    joined = hosts.join(assets, hosts.host == assets.tag, "inner").select("host", "owner", "campaign", "milestone").distinct()
+    located = with_paths(joined, _org(src).drop("org_rows"), "owner", how="inner")
+    counts = located.groupBy("maille", "campaign", "milestone").agg(F.countDistinct("host").alias("n"))
     return result_rows(counts, fv.UNIT_GROUP_6, [Measure(k, F.col("n"), indicateur=_label(k.indicateur)) for k in kpis])
 
 

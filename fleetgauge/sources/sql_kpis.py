@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import threading
 from functools import reduce
 from pathlib import Path
 
@@ -23,14 +24,31 @@ FAMILY = "sql"
 # File name prefixes that tell the grain
 MONTHLY_PREFIX = "indic_mois"
 
+_VIEWS = threading.Lock()
+
 
 def run_sql(src: Sources, text: str, as_of: AsOf) -> DataFrame:
-    """Result of a KPI query. Only the source tables it mentions are registered."""
+    """Result of a KPI query. Only the source tables it mentions are registered.
+
+    The query is resolved when its frame is made, so the views go at once, and views of the
+    session that have the same names are put back.
+    """
     words = set(re.findall(r"\w+", text))
-    for name in src.names:
-        if name in words:
-            src[name].createOrReplaceTempView(name)
-    return src.spark.sql(text, args={"as_of": as_of.day, "now": dt.datetime.combine(as_of.day, as_of.time)})
+    names = [name for name in src.names if name in words]
+    frames = {name: src[name] for name in names}
+    args = {"as_of": as_of.day, "now": dt.datetime.combine(as_of.day, as_of.time)}
+    with _VIEWS:
+        views = {t.name for t in src.spark.catalog.listTables() if t.isTemporary}
+        before = {name: src.spark.table(name) for name in names if name in views}
+        try:
+            for name, frame in frames.items():
+                frame.createOrReplaceTempView(name)
+            return src.spark.sql(text, args=args)
+        finally:
+            for name in names:
+                src.spark.catalog.dropTempView(name)
+            for name, frame in before.items():
+                frame.createOrReplaceTempView(name)
 
 
 def read_sql_file(spark: SparkSession, path: str) -> str:

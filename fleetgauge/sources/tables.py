@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -75,7 +76,7 @@ class Sources:
         """Have several blocks kept at once: their jobs run side by side."""
         if blocks:
             with ThreadPoolExecutor(len(blocks)) as pool:
-                for result in [pool.submit(block) for block in blocks]:
+                for result in [pool.submit(inheritable_thread_target(self.spark)(block)) for block in blocks]:
                     result.result()
 
 

@@ -12,11 +12,12 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from checks.compare import rows_of
 from checks.kpi_sql import kpi_sql
 from checks.sql_text import with_views
-from fleetgauge.plans.registry import BY_NAME, compute
+from fleetgauge.plans.registry import BY_NAME, compute, kpis_of, run_reports
 from fleetgauge.sources.fixtures import AS_OF
 from fleetgauge.sources.tables import Sources
 
@@ -168,3 +169,41 @@ def test_repeated_keys(spark, seed, names):
 def test_latest_records(spark, seed):
     names = [n for n in SINGLES if not n.endswith("parity")]
     check(spark, seed, names, unique_scans=True)
+
+
+def tied(spark):
+    """Register and agent records of equal age, without a sequence to tell them apart."""
+    frames = {}
+    for name, data in inventory(6, unique_scans=True).items():
+        df = spark.createDataFrame(data, SCHEMAS[name])
+        if name == "assets":
+            df = df.withColumn("updated_on", F.lit(TODAY).cast("timestamp_ntz"))
+        if name == "agent_inventory":
+            df = df.withColumn("last_scan", F.lit(TODAY).cast("timestamp_ntz"))
+        frames[name] = df.drop("seq", "seq2")
+    return Sources.from_frames(spark, frames)
+
+
+def test_a_kpi_has_one_value_alone_and_in_company(spark):
+    src = tied(spark)
+    together = run_reports(src, AS_OF, kpis_of("R026")).collect()
+    for name in ("acc_manufacturer", "acc_mac", "fresh_virtual", "acc_user", "acc30_model", "acc_entity", "fresh_all"):
+        kpi = BY_NAME[name]
+        alone = sorted((r.maille, r.valeur) for r in compute(src, AS_OF, [kpi]).collect())
+        assert alone == sorted((r.maille, r.valeur) for r in together if r.indicateur == kpi.indicateur), name
+        assert alone
+
+
+def test_campaigns_of_one_label_count_together(spark):
+    """Group and type that give the same label from other parts."""
+    frames = {n: spark.createDataFrame(d, SCHEMAS[n]) for n, d in inventory(7, unique_scans=True).items()}
+    day = TODAY.date() - dt.timedelta(days=42)
+    frames["campaigns"] = spark.createDataFrame(
+        [("G2 - b", "c", "P", day), ("G2", "b - c", "P", day)], SCHEMAS["campaigns"]
+    )
+    frames["campaign_hosts"] = spark.createDataFrame(
+        [(f"WS{i}", *pair, "P", 3) for i in range(1, 25) for pair in (("G2 - b", "c"), ("G2", "b - c"))], SCHEMAS["campaign_hosts"]
+    )
+    src = Sources.from_frames(spark, frames)
+    rows = compute(src, AS_OF, [BY_NAME["patch_success"]]).collect()
+    assert rows and len({(r.indicateur, r.maille) for r in rows}) == len(rows)

@@ -59,3 +59,35 @@ def test_sums_join_one_row_per_owner(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
     last_join = plan.index("Join LeftOuter")
     assert "Aggregate [owner_id" in plan[last_join:]
+
+
+def test_a_campaign_of_the_whole_fleet_is_spread(spark):
+    """Hosts are reduced by host and split by a second key before campaigns are attached to them."""
+    with settings(spark, SMALL):
+        src, n = inventory(spark, 60_000)
+        hosts = src.assets.select(F.col("tag").alias("host"), F.right(F.concat("tag", F.lit("G2")), F.lit(2)).alias("grp"), F.lit("T").alias("type"), F.lit("P").alias("kind"), F.lit(3).alias("state"))
+        start = F.date_sub(AS_OF.today, 42).alias("start_date")
+        campaigns = spark.range(1).select(F.concat(F.lit("G"), F.col("id") + 2).alias("grp"), F.lit("T").alias("type"), F.lit("P").alias("kind"), start)
+        register = src.assets.select("tag", F.coalesce("owner_id", F.lit("P2")).alias("owner_id"), F.lit(None).cast("string").alias("dept_id"), "network")
+        frames = {t: src[t] for t in ("people", "departments", "last_seen")}
+        src = Sources.from_frames(spark, frames | {"campaign_hosts": hosts, "campaigns": campaigns, "assets_os": register})
+        df = compute(src, AS_OF, [BY_NAME["patch_success"]])
+        assert sum(r.valeur for r in df.collect()) == n
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(host" in plan
+    keys = [line for line in plan.splitlines() if "hashpartitioning(grp" in line]
+    assert keys and all("part" in line for line in keys)
+
+
+def test_sql_kpis_leave_the_session_as_it_was(spark):
+    from fleetgauge.sources.sql_kpis import run_sql
+
+    spark.range(7).createOrReplaceTempView("people")
+    try:
+        src, _ = inventory(spark, 30)
+        df = run_sql(src, "SELECT count(*) AS n FROM people JOIN assets ON people.id = owner_id", AS_OF)
+        assert spark.table("people").count() == 7
+        assert not spark.catalog.tableExists("assets")
+        assert df.first().n > 0
+    finally:
+        spark.catalog.dropTempView("people")
