@@ -91,19 +91,18 @@ def _single(k: Kpi) -> str:
 
 
 _OS = "trim(upper(d.os))"
+_SPELLINGS = [
+    f"'{fv.OS_VENDOR_PREFIX}' || replace({_OS}, '{old}', '{new}')" for old, new in (fv.OS_SPELLINGS, fv.OS_SPELLINGS[::-1])
+]
 OS_CODE = _rated(
     "d.os",
     "a.os",
-    f"{_OS} = trim(upper(a.os)) OR concat('MICROSOFT ', replace({_OS}, 'ENTREPRISE', 'ENTERPRISE')) = trim(upper(a.os)) "
-    f"OR concat('MICROSOFT ', replace({_OS}, 'ENTERPRISE', 'ENTREPRISE')) = trim(upper(a.os))",
+    f"trim(upper(a.os)) IN ({', '.join([_OS, *_SPELLINGS])})",
 )
 
 
 def responsible_code(dum: str) -> str:
-    return (
-        "CASE WHEN length(a.owner_id) = 6 OR length(a.owner_id) = 8 THEN 4 "
-        f"WHEN u.dum IS NULL OR trim(u.dum) = '' OR {dum} IS NULL OR trim({dum}) = '' THEN 3 WHEN u.dum = {dum} THEN 1 ELSE 2 END"
-    )
+    return f"if(length(a.owner_id) IN {fv.PERSONAL_ACCOUNT_LENGTHS}, {fv.CODE_NOT_APPLICABLE}, {_rated('u.dum', dum, f'u.dum = {dum}')})"
 
 
 def _records(k: Kpi) -> str:
@@ -163,11 +162,8 @@ def _compliance(k: Kpi) -> str:
     elif k.spec == "ko":
         table = "(SELECT * FROM elements WHERE status LIKE 'noncompliant')"
     else:
-        table = (
-            "(SELECT element, host, count(CASE WHEN status = 'error' THEN item END) + count(CASE WHEN status = 'notapplicable' THEN host END) "
-            "+ count(CASE WHEN status = 'notdetected' THEN item END) AS n FROM elements GROUP BY element, host)"
-        )
-        valeur = "sum(e.n)"
+        # a failed check without an item counts only where nothing applies
+        valeur = f"count(*) FILTER (WHERE e.status IN {fv.STATUS_FAILED} AND (e.item IS NOT NULL OR e.status = 'notapplicable'))"
     rest = f"FROM {table} e {_MANAGED} GROUP BY e.element, {PATH5}"
     return result(f"e.element || {_q(k.indicateur)}", parent, PATH5, fv.UNIT_GROUP_5, valeur, rest)
 

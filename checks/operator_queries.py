@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import fleetgauge
 from checks.kpi_sql import OS_CODE, PATH3, asset_latest as asset_latest_sql, kpi_sql
-from checks.sql_text import PATH5, PATH6, TODAY, account, age, code, elapsed, path
+from checks.sql_text import PATH5, PATH6, TODAY, account, age, code, elapsed, element, path
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions import accuracy, text, time
 from fleetgauge.functions.time import AsOf
@@ -277,9 +277,7 @@ def _(src):
 
 @register(
     "classify_like",
-    """SELECT host, item, status, CASE WHEN item LIKE '%Chiffrement%' THEN 'Chiffrement' WHEN item LIKE '%Compte et groupe%' THEN 'Compte de groupe'
-  WHEN item LIKE '%Antivirus%' THEN 'Antivirus' WHEN item LIKE '%Poste%' THEN 'Poste' WHEN item LIKE '%Réseau%' THEN 'Réseau'
-  WHEN item LIKE '%WSUS%' THEN 'WSUS' WHEN item LIKE '%SCCM%' THEN 'SCCM' ELSE item END AS element FROM compliance""",
+    f"SELECT host, item, status, {element('item')} AS element FROM compliance",
 )
 def _(src):
     return src.compliance.withColumn("element", text.compliance_element("item"))
@@ -561,10 +559,16 @@ def _(src):
 
 
 _FULL_OS = "concat('Microsoft® Édition ', os_name, ' 2016 [', os_build, ']')"
-_CLEAN_OS = (
-    f"regexp_replace(regexp_replace(regexp_replace({_FULL_OS}, '(Entreprise)', 'Enterprise', 'g'), "
-    r"'[^\p{L}\p{N}_\s\.]', '', 'g'), '(Microsoft|Ã¢â€žÂ¢|Ã‚Â®|2016)', '', 'g')"
-)
+
+
+def _duck_pattern(pattern: str) -> str:
+    """The same pattern where word characters are ASCII only."""
+    return pattern.removeprefix("(?U)").replace(r"[^\w", r"[^\p{L}\p{N}_")
+
+
+_CLEAN_OS = _FULL_OS
+for _pattern, _replacement in fv.OS_NAME_CLEANING:
+    _CLEAN_OS = f"regexp_replace({_CLEAN_OS}, '{_duck_pattern(_pattern)}', '{_replacement}', 'g')"
 
 
 def full_os() -> Column:
@@ -576,7 +580,7 @@ def _(src):
     return src.assets_os.select("tag", text.clean_os_name(full_os()).alias("cleaned"))
 
 
-_PARTS = r"(\S+)\s+(\S+)\s+(\S+)\s*(\S*)$"
+_PARTS = _duck_pattern(fv.OS_NAME_PARTS)
 
 
 @register(

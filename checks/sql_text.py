@@ -56,6 +56,28 @@ def account(column: str) -> str:
     return f"CASE WHEN {_GENERIC.format(c=column)} THEN 'Exclu' ELSE upper({column}) END"
 
 
+def first_of(rules: list[tuple[str, str]], default: str) -> str:
+    """The value of the first condition that holds."""
+    return "coalesce(" + "".join(f"if({condition}, '{value}', NULL), " for condition, value in rules) + f"{default})"
+
+
+def element(item: str) -> str:
+    return first_of([(f"contains({item}, '{mark}')", label) for mark, label in fv.COMPLIANCE_ELEMENTS], item)
+
+
+def _milestone() -> str:
+    """Steps that less than a day separates from now, then the bare group."""
+    rules = []
+    for mark, steps in fv.CAMPAIGN_MILESTONES:
+        group = f"contains(grp, '{mark}')"
+        near = "abs(epoch({now}) - epoch(start_date + INTERVAL {days} DAY)) < 86400"
+        rules += [(f"{group} AND {near.format(now=NOW, days=days)}", label) for days, label in steps]
+        rules.append((group, mark))
+    return first_of(rules, "''")
+
+
+_EXTENDED = ", ".join(f"('{product}', '{suffix}')" for product, suffix in fv.EXTENDED_SUPPORT.items())
+
 _TOP_USER = "upper(split_part(top_user, '-', 1))"
 
 VIEWS: dict[str, str] = {name: _plain(sql) for name, sql in FIXTURE_SQL.items()} | {
@@ -75,33 +97,20 @@ QUALIFY row_number() OVER (PARTITION BY host ORDER BY last_scan DESC NULLS FIRST
     "directory_last": """
 SELECT computer, os FROM directory_computer
 QUALIFY row_number() OVER (PARTITION BY computer ORDER BY last_logon DESC NULLS FIRST, seq, seq2, os) = 1""",
-    "elements": """
-SELECT DISTINCT CASE WHEN item LIKE '%Chiffrement%' THEN 'Chiffrement' WHEN item LIKE '%Compte et groupe%' THEN 'Compte de groupe'
-  WHEN item LIKE '%Antivirus%' THEN 'Antivirus' WHEN item LIKE '%Poste%' THEN 'Poste' WHEN item LIKE '%Réseau%' THEN 'Réseau'
-  WHEN item LIKE '%WSUS%' THEN 'WSUS' WHEN item LIKE '%SCCM%' THEN 'SCCM' ELSE item END AS element, item, host, status
-FROM compliance""",
+    "elements": f"SELECT DISTINCT {element('item')} AS element, item, host, status FROM compliance",
     "campaign_milestones": f"""
-SELECT grp, type, start_date, kind,
-  CASE WHEN grp LIKE '%G2%' THEN CASE WHEN date_part('day', {NOW} - (start_date + INTERVAL 56 DAY)) = 0 THEN 'G2 8'
-                                      WHEN date_part('day', {NOW} - (start_date + INTERVAL 42 DAY)) = 0 THEN 'G2 6' ELSE 'G2' END
-       WHEN grp LIKE '%G3%' THEN CASE WHEN date_part('day', {NOW} - (start_date + INTERVAL 28 DAY)) = 0 THEN 'G3 4'
-                                      WHEN date_part('day', {NOW} - (start_date + INTERVAL 21 DAY)) = 0 THEN 'G3 3' ELSE 'G3' END
-       ELSE '' END AS milestone
-FROM campaigns WHERE kind = 'P' AND start_date >= {TODAY} - INTERVAL 60 DAY""",
+SELECT grp, type, start_date, kind, {_milestone()} AS milestone
+FROM campaigns WHERE kind = '{fv.CAMPAIGN_KIND}' AND {age('start_date')} <= {fv.CAMPAIGN_WINDOW_DAYS}""",
     "members": f"""
-SELECT r.grp || ' - ' || r.type AS campaign, r.host, r.state, coalesce(w.owner_id, w.dept_id) AS owner, w.network, c.milestone
-FROM campaign_hosts r JOIN assets_os w ON r.host = w.tag JOIN campaign_milestones c ON c.grp = r.grp AND c.type = r.type
-WHERE r.kind = 'P' AND EXISTS (SELECT 1 FROM last_seen s WHERE s.hostname = w.tag AND CAST(s.lastscan AS DATE) >= {TODAY} - INTERVAL 30 DAY)""",
-    "os_versions": r"""
-SELECT *, CASE groupid
-  WHEN 'AF126CAE-171C-4329-B1AB-D70F55CA7EEA' THEN commercial_name || ' ESU Year 1'
-  WHEN '5BE7EFCD-462C-4B18-9FEA-B6F7A4B7B71A' THEN commercial_name || ' ESU Year 2'
-  WHEN 'C62D695A-19F2-42DB-B732-5BFB503BDEC0' THEN commercial_name || ' ESU Year 3'
-  WHEN '66678789-058A-4DDF-B658-1698405CA5B2' THEN commercial_name || ' ESU Year 1'
-  WHEN '0110AA20-8307-4A4A-A91C-A8EB790714FF' THEN commercial_name || ' ESU Year 2'
-  WHEN 'A016C6E2-83F4-4086-9CD4-82FAB8418F7E' THEN commercial_name || ' ESU Year 3'
-  ELSE regexp_replace(commercial_name, 'Microsoft.? ', '') || ' ' || technical_version END AS os_key
-FROM os_version""",
+SELECT concat(grp, ' - ', type) AS campaign, host, state, owner, network, milestone
+FROM (SELECT host, grp, type, state FROM campaign_hosts WHERE kind = '{fv.CAMPAIGN_KIND}') AS targeted
+JOIN campaign_milestones USING (grp, type)
+JOIN (SELECT tag AS host, coalesce(owner_id, dept_id) AS owner, network FROM assets_os) AS registered USING (host)
+SEMI JOIN (SELECT hostname AS host FROM last_seen WHERE {age('lastscan')} <= {fv.CAMPAIGN_SCAN_DAYS}) AS recent USING (host)""",
+    "os_versions": f"""
+SELECT os_version.*, coalesce(commercial_name || suffix,
+         regexp_replace(commercial_name, '{fv.OS_VENDOR_IN_NAME}', '') || ' ' || technical_version) AS os_key
+FROM os_version LEFT JOIN (VALUES {_EXTENDED}) AS extended(product, suffix) ON product = groupid""",
 }
 
 

@@ -115,7 +115,9 @@ SELECT concat('WS', CAST(o_orderkey AS STRING)) AS tag, concat('P', CAST(o_custk
        CASE o_custkey % 4 WHEN 0 THEN DATE '2001-01-01' WHEN 1 THEN DATE '2001-11-05' WHEN 2 THEN NULL ELSE DATE '2003-01-01' END AS support_end
 FROM {orders}""",
     "patch_state": """
-SELECT concat('WS', CAST(o_orderkey AS STRING)) AS host, CAST(2 + o_orderkey % 7 AS INT) AS state FROM {orders} WHERE o_orderpriority <> '3-MEDIUM'""",
+SELECT concat(CASE o_orderpriority WHEN '3-MEDIUM' THEN 'XX' ELSE 'WS' END, CAST(o_orderkey AS STRING)) AS host,
+       CAST(2 + o_orderkey % 7 AS INT) AS state
+FROM {orders}""",
     "assets_os": f"""
 SELECT concat('WS', CAST(o_orderkey AS STRING)) AS tag, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE concat('P', CAST(o_custkey AS STRING)) END AS owner_id,
        concat('P', CAST((o_custkey + 1) AS STRING)) AS resp_id,
