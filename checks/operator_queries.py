@@ -345,7 +345,7 @@ def _(src):
 def _(src):
     rows = src.assets.select("tag", F.upper("owner_id").alias("owner_key"))
     weights = org.org_weights(org.org_dimension(src), F.upper("id"))
-    located = org.with_paths(rows, weights, "owner_key", spread_by="tag")
+    located = org.with_paths(rows, weights, "owner_key", spread_by=["tag"])
     return located.groupBy("tag", "owner_key", "maille").agg(F.sum("org_rows").cast("long").alias("org_rows"))
 
 
@@ -681,7 +681,7 @@ def _(src):
     columns = ["owner_id", "manufacturer", "mac", "is_virtual"]
     rows = inventory.asset_latest(src, AS_OF, columns, inventory.Selection(model=True, window=True), with_scan=True)
     rows = rows.withColumn("owner_key", F.upper("owner_id"))
-    located = org.with_paths(rows, org.org_single(org.org_dimension(src), F.upper("id")), "owner_key", spread_by="tag")
+    located = org.with_paths(rows, org.org_single(org.org_dimension(src), F.upper("id")), "owner_key", spread_by=["tag"])
     return located.select(
         "tag_key", "tag", "owner_id", "manufacturer", "mac", "is_virtual", "model_number",
         iso("lastscan").alias("lastscan"), "um", "dum", "maille",

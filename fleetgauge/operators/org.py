@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,27 +64,36 @@ def org_single(org: DataFrame, key: Column, levels: tuple[str, ...] = fv.ORG_LEV
 _NULL_SPREAD = 256
 
 
+def left_join_spread(rows: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: Sequence[str]) -> DataFrame:
+    """Left join on one key, without its right column.
+
+    Rows without a key never match, yet would all hash to one task. A second join key, taken
+    from the columns ``spread_by`` for them and 0 for everybody else, spreads them.
+    """
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(_NULL_SPREAD)))
+    rows = rows.withColumn("_spread", F.coalesce(spread, F.lit(0)))
+    right = right.withColumn("_zero", F.pmod(F.xxhash64(right_key), F.lit(1)))
+    on = (F.col(key) == F.col(right_key)) & (F.col("_spread") == F.col("_zero"))
+    return rows.join(right, on, "left").drop(right_key, "_spread", "_zero")
+
+
 def with_paths(
     rows: DataFrame,
     org: DataFrame,
     owner: str,
     levels: tuple[str, ...] = fv.ORG_LEVELS_6,
     how: str = "left",
-    spread_by: str | None = None,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Join owner keys to paths; with a left join, unknown owners go to the empty path.
 
-    ``spread_by``: rows without an owner never match, yet would all hash to one task.
-    A second join key, taken from that column for them and 0 for everybody else, spreads
-    them. Frames already aggregated per owner do not need it.
+    ``spread_by``: columns that spread the rows without an owner. Frames already aggregated
+    per owner do not need it.
     """
-    on = F.col(owner) == F.col("org_key")
-    if how == "left" and spread_by is not None:
-        spread = F.when(F.col(owner).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(_NULL_SPREAD)))
-        rows = rows.withColumn("_spread", F.coalesce(spread, F.lit(0)))
-        org = org.withColumn("_zero", F.pmod(F.xxhash64("org_key"), F.lit(1)))
-        on = on & (F.col("_spread") == F.col("_zero"))
-    joined = rows.join(org, on, how).drop("org_key", "_spread", "_zero")
+    if how == "left" and spread_by:
+        joined = left_join_spread(rows, org, owner, "org_key", spread_by)
+    else:
+        joined = rows.join(org, F.col(owner) == F.col("org_key"), how).drop("org_key")
     if how == "left":
         joined = joined.withColumn("maille", F.coalesce("maille", F.lit(empty_path(levels))))
         if "org_rows" in org.columns:

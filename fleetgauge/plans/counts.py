@@ -72,7 +72,7 @@ def asset_counts(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     rows = rows.filter(any_hit).select("tag", "owner_key", *flags)
 
     org = org_weights(org_dimension(src), F.upper("id")).drop("org_rows")
-    located = with_paths(rows, org, "owner_key", spread_by="tag")
+    located = with_paths(rows, org, "owner_key", spread_by=["tag"])
     per_tag = located.groupBy("maille", "tag").agg(*[F.bool_or(f).alias(f) for f in flags])
     wide = per_tag.groupBy("maille").agg(
         *[F.count_if(F.col(f) & F.col("tag").isNotNull()).alias(f"n_{f}") for f in flags],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +50,7 @@ def register_os(src: Sources) -> DataFrame:
 def with_raw_units(rows: DataFrame, src: Sources) -> DataFrame:
     """Attach the owner's raw units; the id compares case-sensitively, unknown owners stay."""
     units = raw_units(src).withColumn("maille", F.lit(None).cast("string"))
-    return with_paths(rows, units, "owner_id", fv.ORG_LEVELS_3, spread_by="tag").drop("maille")
+    return with_paths(rows, units, "owner_id", fv.ORG_LEVELS_3, spread_by=["tag"]).drop("maille")
 
 
 def with_os_reference(rows: DataFrame, src: Sources) -> DataFrame:
@@ -82,41 +84,69 @@ def with_support_class(rows: DataFrame, src: Sources) -> DataFrame:
     return rows.join(classes, key == classes.support_key, "left")
 
 
-def _count(rows: DataFrame, kpi: Kpi, label: Column, distinct: list[str]) -> DataFrame:
-    """Distinct tuples per label and unit: one host counts once per tuple it occurs in."""
-    tuples = rows.select(*distinct, *fv.ORG_LEVELS_3).distinct()
-    grouped = tuples.select(F.trim(label).alias("label"), org_path3().alias("maille"))
-    counts = grouped.groupBy("label", "maille").agg(F.count(F.lit(1)).alias("n"))
-    return result_rows(counts, fv.UNIT_GROUP_3, [Measure(kpi, F.col("n"), indicateur=F.col("label"))])
-
-
-def _labelled(kpi: Kpi, column: str) -> Column:
-    return F.concat(F.lit(kpi.indicateur), default_label(column))
+# parts into which the hosts of one OS are split where its attributes are attached to them
+_OS_SPREAD = 256
+_REFERENCE, _SUPPORT = "reference", "support"
+
+
+def with_os_attributes(rows: DataFrame, src: Sources, kinds: list[str]) -> DataFrame:
+    """One row per entry of the OS reference and per support class, told apart by ``kind``.
+
+    The few pairs of OS name and build are looked up, not the register; one OS may be on most
+    hosts, so its hosts are split by a second join key, for which the pairs are repeated.
+    """
+    pairs = src.assets_os.select("os_name", "os_build").distinct()
+    null = F.lit(None).cast("string")
+    found = {
+        _REFERENCE: lambda: with_os_reference(pairs, src).withColumn("support", null),
+        _SUPPORT: lambda: with_support_class(pairs, src).withColumns(
+            {c: null for c in ("name", "edition", "commercial_version")}
+        ),
+    }
+    columns = ["name", "edition", "commercial_version", "support"]
+    keys = [F.col("os_name").alias("pair_name"), F.col("os_build").alias("pair_build")]
+    parts = [found[k]().select(*keys, F.lit(k).alias("kind"), *columns) for k in kinds]
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_OS_SPREAD - 1).cast("long")))
+    attributes = reduce(DataFrame.unionByName, parts).withColumn("pair_part", spread)
+    part = F.pmod(F.xxhash64("tag", "owner_id"), F.lit(_OS_SPREAD))
+    same = F.col("os_name").eqNullSafe(F.col("pair_name")) & F.col("os_build").eqNullSafe(F.col("pair_build"))
+    joined = rows.withColumn("part", part).join(attributes, same & (F.col("part") == F.col("pair_part")), "inner")
+    return joined.drop("part", "pair_part", "pair_name", "pair_build")
+
+
+def _label(kpi: Kpi, value: Column) -> Column:
+    return F.trim(F.concat(F.lit(kpi.indicateur), default_label(value)))
+
+
+def _tuple(i: int, kpi: Kpi) -> Column:
+    """What a KPI counts once: the tag with up to two attributes, its label, and whether the row is one."""
+    kind = F.col("kind") == (_SUPPORT if kpi.spec == "support" else _REFERENCE)
+    tag, name, edition, support = (F.col(c) for c in ("tag", "name", "edition", "support"))
+    tag, first, second, label, keep = {
+        "name": (F.trim(tag), F.trim(name), F.lit(None), _label(kpi, F.trim(name)), kind),
+        "licence": (tag, name, edition, _label(kpi, edition), kind),
+        "ltsc": (tag, name, edition, F.trim(F.lit(kpi.indicateur)), kind & F.col("commercial_version").contains(fv.LTSC_MARK)),
+        "support": (tag, F.col("os_name"), support, _label(kpi, support), kind),
+    }[kpi.spec]
+    return F.struct(
+        F.lit(i).alias("kpi"),
+        tag.alias("tag"),
+        first.cast("string").alias("first"),
+        second.cast("string").alias("second"),
+        label.alias("label"),
+        F.coalesce(keep, F.lit(False)).alias("keep"),
+    )
 
 
 def os_mix_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    """Requested OS counts; each counts its own distinct tuples."""
-    frames = []
-    for k in kpis:
-        if k.spec == "support":
-            rows = with_raw_units(with_support_class(register_os(src), src), src)
-            frames.append(_count(rows, k, _labelled(k, "support"), ["tag", "os_name", "support"]))
-            continue
-        rows = with_os_reference(register_os(src), src)
-        if k.spec == "name":
-            rows = rows.withColumn("tag", F.trim("tag")).withColumn("name", F.trim("name"))
-            rows = with_raw_units(rows, src)
-            frames.append(_count(rows, k, _labelled(k, "name"), ["tag", "name"]))
-        elif k.spec == "licence":
-            rows = with_raw_units(rows, src)
-            frames.append(_count(rows, k, _labelled(k, "edition"), ["tag", "name", "edition"]))
-        else:
-            rows = with_raw_units(rows.filter(F.col("commercial_version").contains(fv.LTSC_MARK)), src)
-            frames.append(_count(rows, k, F.lit(k.indicateur), ["tag", "name", "edition"]))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Requested OS counts in one pass; each counts its own distinct tuples."""
+    kinds = sorted({_SUPPORT if k.spec == "support" else _REFERENCE for k in kpis})
+    rows = with_raw_units(with_os_attributes(register_os(src), src, kinds), src)
+    entries = F.inline(F.array(*[_tuple(i, k) for i, k in enumerate(kpis)]))
+    tuples = rows.select(*fv.ORG_LEVELS_3, entries).filter("keep").distinct()
+    counts = tuples.groupBy("kpi", "label", org_path3().alias("maille")).agg(F.count(F.lit(1)).alias("n"))
+    measures = [Measure(k, F.col("n"), F.col("kpi") == i, indicateur=F.col("label")) for i, k in enumerate(kpis)]
+    return result_rows(counts, fv.UNIT_GROUP_3, measures)
 
 
 KPIS = [

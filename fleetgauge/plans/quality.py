@@ -6,6 +6,8 @@ recently. Variants restrict to assets scanned in the 30-day window, or to connec
 Owner and unit columns come from the directories, which list an owner several times. All
 sums are therefore taken per owner before the directories are joined: the joins move one
 row per owner, not one per asset, and an owner of very many assets is reduced map-side.
+Where the agent's user or the responsible is compared too, it is one row per owner and
+such person; rows without an owner or user are then spread over tasks.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from fleetgauge.operators.inventory import (
     scans_by_host,
     unit_by_id,
 )
-from fleetgauge.operators.org import org_dimension, org_single, org_weights, with_paths
+from fleetgauge.operators.org import left_join_spread, org_dimension, org_single, org_weights, with_paths
 from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
@@ -161,9 +163,9 @@ def _single_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     same_entity = F.lit(True)
     if composite:
         units = unit_by_id(org)
-        grouped = grouped.join(units, grouped.agent_user == units.um_id, "left")
+        grouped = left_join_spread(grouped, units, "agent_user", "um_id", ["owner_key"])
         same_entity = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
-    located = with_paths(grouped, org_single(org, F.upper("id")), "owner_key")
+    located = with_paths(grouped, org_single(org, F.upper("id")), "owner_key", spread_by=keys[1:])
     located = located.withColumn("org_rows_all", F.when(same_entity, F.col("org_rows")).otherwise(0))
     return _per_unit(located, kpis, ["org_rows_all" if s.attribute == "all" else "org_rows" for s in specs])
 
@@ -268,11 +270,11 @@ def _record_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     sums = _record_sums(compared_records(src, as_of, specs), specs, keys)
 
     org = org_dimension(src)
-    located = with_paths(sums, org_weights(org, F.upper("id"), keep=("um", "dum")), "owner_key")
+    located = with_paths(sums, org_weights(org, F.upper("id"), keep=("um", "dum")), "owner_key", spread_by=keys[1:])
     equal: dict[str, Column] = {}
     if "entity" in attributes:
         units = unit_by_id(org)
-        located = located.join(units, located.agent_user == units.um_id, "left")
+        located = left_join_spread(located, units, "agent_user", "um_id", ["owner_key", "maille"])
         equal["entity"] = acc.entity_code(F.col("top_um"), F.col("um")) == fv.CODE_EQUAL
     if "responsible" in attributes:
         # joined on the sub-unit too: directory rows of the responsible that agree, as a count

@@ -174,6 +174,6 @@ def test_paths_for_missing_and_repeated_owners(spark):
     levels = ("um", "dum", "code_moa")
     weights = org.org_weights(directory, F.upper("id"), levels)
     owners = spark.createDataFrame([(f"t{i}", o) for i, o in enumerate(["A", None, None, "zz"])], "tag string, owner_key string")
-    got = org.with_paths(owners, weights, "owner_key", levels, spread_by="tag").select("tag", "maille", "org_rows")
+    got = org.with_paths(owners, weights, "owner_key", levels, spread_by=["tag"]).select("tag", "maille", "org_rows")
     assert rows(got) == [("t0", "d1/x/", 2), ("t0", "d2/x/", 1), ("t1", "//", 1), ("t2", "//", 1), ("t3", "//", 1)]
     assert org.with_paths(owners, weights, "owner_key", levels, how="inner").count() == 2
