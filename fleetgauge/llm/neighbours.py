@@ -3,8 +3,9 @@
 Vectors of one label are compared by cosine in double precision. Equal vectors are one class and enter once.
 
 1. Start: ``TREES`` times, the classes of a label are dealt to leaves by the signs of random projections, as many as
-   bring a leaf to ``LEAF`` classes; a larger leaf, such as one of near copies, is split by hash. Within a part of a
-   leaf each class gets its ``k`` best neighbours.
+   bring a leaf to ``LEAF`` classes; a larger leaf, such as one of near copies, is split by a hash that differs between
+   trees, searches and rounds. Within a part of a leaf each class gets its ``k`` best neighbours, and beside them the
+   links of a spanning forest of the part: a list full of nearer ones hides no link between groups.
 2. Rounds: around every class, its neighbours and the classes that have it as theirs are compared with each other, in
    parts of about ``LEAF``, and each keeps its best ``k``. Lists hold neighbours within twice the threshold's angle:
    what is linked to one end of a link is that near to the other. Ends when few entries are new.
@@ -45,8 +46,8 @@ BLOCK = 512
 #: What a further entry of a saturated list would have to beat: the list is enlarged in the end.
 SATURATED = 2.0
 
-EDGE_SCHEMA = "node long, other long, sim double"
-_EDGES = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("sim", pa.float64())])
+EDGE_SCHEMA = "node long, other long, sim double, joins boolean"
+_EDGES = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("sim", pa.float64()), ("joins", pa.bool_())])
 
 
 def near_duplicates(
@@ -128,10 +129,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(len(column), -1)
 
 
-def _by_part(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """Rows with the column ``part``: rows of equal keys have few values of it, ``size`` rows or so to each."""
+def _by_part(rows: DataFrame, keys: list[str], size: int, search: int, turn: int) -> DataFrame:
+    """Rows with the column ``part``: rows of equal keys have few values of it, ``size`` rows or so to each.
+
+    Nodes that one key, search or turn parts meet in others.
+    """
     sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / size).alias("parts"))
-    part = F.xxhash64(*keys, F.pmod(F.xxhash64("node"), F.col("parts")))
+    dealt = F.xxhash64(F.lit(search), F.lit(turn), *keys, "node")
+    part = F.xxhash64(*keys, F.pmod(dealt, F.col("parts")))
     return rows.join(sizes, keys).withColumn("part", part)
 
 
@@ -143,26 +148,27 @@ def _each_part(rows: DataFrame, columns: list[str], work) -> DataFrame:
             part = batch.column(0).to_numpy()
             heads = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             for a, b in zip(heads.tolist(), np.append(heads[1:], len(part)).tolist(), strict=True):
-                node, other, sim = work(*batch.slice(a, b - a).columns[1:])
-                if len(node):
-                    yield record_batch(_EDGES, [node, other, sim])
+                edges = work(*batch.slice(a, b - a).columns[1:])
+                if len(edges[0]):
+                    yield record_batch(_EDGES, [*edges])
 
     ordered = rows.repartition("part").sortWithinPartitions("part").select("part", *columns)
     return ordered.mapInArrow(run, EDGE_SCHEMA)
 
 
 def _best(edges: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best entries of each list."""
+    """The ``k`` best entries of each list, and those that join groups."""
     order = W.partitionBy("node").orderBy(F.desc("sim"), "other")
-    once = edges.groupBy("node", "other").agg(F.max("sim").alias("sim"))
-    return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    once = edges.groupBy("node", "other").agg(F.max("sim").alias("sim"), F.max("joins").alias("joins"))
+    return once.withColumn("place", F.row_number().over(order)).where((F.col("place") <= k) | F.col("joins"))
 
 
 def _searched(classes, graph, search, k, leaf, threshold, scratch) -> DataFrame:
-    """The graph after a start from new trees and its rounds: node, other, sim, place."""
+    """The graph after a start from new trees and its rounds: node, other, sim, joins, place."""
     near = 2 * threshold * threshold - 1  # the cosine of twice the angle
-    start = _each_part(_by_part(_leaves(classes, search, leaf), ["leaf"], leaf), ["node", "v"], _neighbours_in(k, near))
-    entries = ["node", "other", "sim"]
+    leaves = _by_part(_leaves(classes, search, leaf), ["leaf"], leaf, search, 0)
+    start = _each_part(leaves, ["node", "v"], _neighbours_in(k, near, threshold))
+    entries = ["node", "other", "sim", "joins"]
     graph = start if graph is None else start.unionByName(graph.select(*entries))
     graph = scratch.keep(_best(graph, k), f"graph{search}-0")
     for turn in range(1, ROUNDS + 1):
@@ -172,7 +178,8 @@ def _searched(classes, graph, search, k, leaf, threshold, scratch) -> DataFrame:
         least = F.when(F.min("sim") >= threshold, SATURATED).otherwise(F.min("sim"))
         worst = graph.groupBy("node").agg(F.when(F.count("*") >= k, least).otherwise(near).alias("worst"))
         members = members.join(worst, "node", "left").fillna(near, ["worst"]).join(classes.select("node", "v"), "node")
-        better = _each_part(_by_part(members, ["center"], leaf), ["node", "v", "worst"], _better_in(k, near))
+        around = _by_part(members, ["center"], leaf, search, turn)
+        better = _each_part(around, ["node", "v", "worst"], _better_in(k, near))
         old = graph
         graph = scratch.keep(_best(old.select(*entries).unionByName(better), k), f"graph{search}-{turn}")
         new = graph.join(old, ["node", "other"], "left_anti").count()
@@ -226,12 +233,32 @@ def _top(sims: np.ndarray, k: int, least: np.ndarray | float) -> tuple[np.ndarra
     return row[good], column[good]
 
 
-def _neighbours_in(k: int, near: float):
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of links that connect all that the symmetric matrix of links does; each row at most once."""
+    rest = linked.any(axis=1)
+    row, column = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while rest.any():
+        front = np.array([rest.argmax()])
+        rest[front] = False
+        while len(front):
+            reached = linked[front] & rest
+            new = np.flatnonzero(reached.any(axis=0))
+            row.append(new)
+            column.append(front[reached[:, new].argmax(axis=0)])
+            rest[new] = False
+            front = new
+    return np.concatenate(row), np.concatenate(column)
+
+
+def _neighbours_in(k: int, near: float, threshold: float):
     def work(node, v):
         node, x = node.to_numpy(), _matrix(v)
         sims = x @ x.T
         row, column = _top(sims, k, near)
-        return node[row], node[column], sims[row, column]
+        to, parent = _forest(sims >= threshold)
+        joins = np.arange(len(row) + len(to)) >= len(row)
+        row, column = np.append(row, to), np.append(column, parent)
+        return node[row], node[column], sims[row, column], joins
 
     return work
 
@@ -241,7 +268,7 @@ def _better_in(k: int, near: float):
         node, x, worst = node.to_numpy(), _matrix(v), worst.to_numpy()
         sims = x @ x.T
         row, column = _top(sims, k, np.maximum(worst, near))
-        return node[row], node[column], sims[row, column]
+        return node[row], node[column], sims[row, column], np.zeros(len(row), dtype=bool)
 
     return work
 
@@ -263,7 +290,8 @@ def _audit_links(classes: DataFrame, threshold: float) -> DataFrame:
                     other = batch.column(0).to_numpy()[rows]
                     good = (sims >= threshold) & (other != node)
                     if good.any():
-                        yield record_batch(_EDGES, [np.full(good.sum(), node), other[good], sims[good]])
+                        n = good.sum()
+                        yield record_batch(_EDGES, [np.full(n, node), other[good], sims[good], np.zeros(n, dtype=bool)])
 
     return classes.select("node", "label", "v").mapInArrow(run, EDGE_SCHEMA)
 
@@ -280,7 +308,8 @@ def _counted(members: DataFrame, threshold: float) -> DataFrame:
     def work(node, v, copies, asks):
         asks, x, node = asks.to_numpy(zero_copy_only=False), _matrix(v), node.to_numpy()
         linked = (x[asks] @ x[~asks].T >= threshold) & (node[asks][:, None] != node[~asks])
-        return node[asks], node[asks], linked @ copies.to_numpy()[~asks].astype(np.float64)
+        n = linked @ copies.to_numpy()[~asks].astype(np.float64)
+        return node[asks], node[asks], n, np.zeros(len(n), dtype=bool)
 
     found = _each_part(asking.unionByName(asked), ["node", "v", "copies", "asks"], work)
     return found.groupBy("node").agg(F.sum("sim").cast("long").alias("others"))

@@ -140,6 +140,26 @@ def test_vectors(spark):
     assert neighbours.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_vectors_of_one_dense_cluster(spark):
+    """More near copies than a leaf holds, and tight groups whose lists hold none but their own."""
+    rng = np.random.default_rng(4)
+    base, side = rng.standard_normal(16), rng.standard_normal(16)
+    rows = [(base + 1e-6 * rng.standard_normal(16)).tolist() for _ in range(150)]
+    rows += [(base + 0.03 * side + 1e-6 * rng.standard_normal(16)).tolist() for _ in range(40)]
+    rows += rng.standard_normal((60, 16)).tolist()
+    table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = neighbours.near_duplicates(table.withColumn("label", F.lit(0)), leaf=32).collect()
+    unit = np.array([np.array(v) / np.linalg.norm(v) for v in rows])
+    linked = (unit @ unit.T >= 0.98) & ~np.eye(len(rows), dtype=bool)
+    least = np.arange(len(rows))
+    for _ in rows:
+        least = np.minimum(least, np.where(linked, least, len(rows)).min(axis=1))
+    assert linked[:190, :190].sum() == 190 * 189
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+        (i, linked[i].sum(), least[i], least[i] == i) for i in range(len(rows))
+    ]
+
+
 def test_archive(spark):
     rows = [(3, "http://a/", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (5, "u", ""), (None, "u", "only"), (9, "u", "é" * 50000)]
     rows += [(None, "u", "<p>é</p>"), (1, None, "<p>é</p>")]
