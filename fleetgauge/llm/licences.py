@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
 A block is a stretch of ``BLOCK_WORDS`` words of a line, every half stretch; a shorter line is one block. A template
-is found in a block that has at least ``threshold`` of the template's different words. The join looks at few blocks:
+is found in a block that has at least ``threshold`` of the template's different words and all its names: words that
+stand consecutively and tell its license from others of like wording, each name in one of its forms. A name belongs to
+the block that has its first word. The join looks at few blocks:
 
 * words are ordered by their frequency in the whole corpus, rare ones first;
 * prefix filter: a block and a template of ``size`` words, ``need`` of them asked for, share a word among the
@@ -32,23 +34,39 @@ from .arrays import ALNUM_WORDS, BYTE_VALUES, LOWER, Rolling, record_batch, spli
 BLOCK_WORDS = 100
 THRESHOLD = 0.8
 
-# Phrases and templates, each with its label.
+# Phrases and templates, each with its label; after a template's text its names, each as a list of forms.
 PHRASES = (
     ("under the mit license", "mit"),
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 )
 TEMPLATES = (
-    ("mit", "Released under the MIT License"),
+    ("mit", "Released under the MIT License", ("mit license",)),
     (
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction",
+        ("deal in the software",),
+    ),
+    (
+        "apache-2",
+        "Licensed under the Apache License, Version 2.0",
+        ("apache license",),
+        ("version 2", "license 2", "v 2", "v2"),
+    ),
+    (
+        "gpl-3",
+        "This work is licensed under the GNU General Public License, version 3",
+        ("gnu general public license",),
+        ("version 3", "license 3", "v 3", "v3"),
+    ),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc",)),
+    (
+        "mpl-2",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        ("mozilla public license",),
+        ("version 2", "license 2", "v 2", "v2"),
     ),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     (
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -85,7 +103,7 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     phrases: Sequence[tuple[str, str]] = PHRASES,
-    templates: Sequence[tuple[str, str]] = TEMPLATES,
+    templates: Sequence[tuple] = TEMPLATES,
     threshold: float = THRESHOLD,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
@@ -96,27 +114,37 @@ def scan(
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
-    sets = [(label, sorted(set(split(text)))) for label, text in templates]
-    sets = [(label, words) for label, words in sets if words]
-    vocabulary = sorted({w for _, words in sets for w in words})
+    sets = [
+        (label, sorted(set(split(text))), [[tuple(split(form)) for form in name] for name in names])
+        for label, text, *names in templates
+    ]
+    sets = [x for x in sets if x[1]]
+    vocabulary = sorted({w for _, words, _ in sets for w in words})
+    forms = sorted({form for *_, names in sets for name in names for form in name})
     rank = _ranks(texts, vocabulary)
+    rank_of_form = {form: len(vocabulary) + i for i, form in enumerate(forms)}
     rows = []
-    for t, (label, words) in enumerate(sets):
+    for t, (label, words, names) in enumerate(sets):
         ranks = sorted(rank[w] for w in words)
         need = math.ceil(threshold * len(ranks) - 1e-9)
-        rows += [(r, t, label, i, len(ranks), need, ranks) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
-    index = spark.createDataFrame(rows, "rank int, t int, label string, i int, size int, need int, ranks array<int>")
+        named = [[rank_of_form[form] for form in name] for name in names]
+        prefix = enumerate(ranks[: len(ranks) - need + 1])
+        rows += [(r, t, label, i, len(ranks), need, ranks, named) for i, r in prefix]
+    index = spark.createDataFrame(
+        rows, "rank int, t int, label string, i int, size int, need int, ranks array<int>, names array<array<int>>"
+    )
 
     least = min((r[5] for r in rows), default=0)
     first_ranks = np.array(sorted({r[0] for r in rows}), dtype=np.int64)
     order = np.array([rank[w] for w in vocabulary], dtype=np.int64)
-    found = _scanned(texts, phrases, vocabulary, order, first_ranks, least, block_words)
+    found = _scanned(texts, phrases, vocabulary, forms, order, first_ranks, least, block_words)
 
     blocks = found.where("size(blocks) > 0").select("doc_id", "key", F.explode("blocks").alias("block"))
     starts = F.slice("block", F.lit(1), F.size("block") - F.lit(least - 1))
     pairs = blocks.select("doc_id", "key", "block", F.posexplode(starts).alias("j", "rank")).join(index, "rank")
     behind = F.least(F.col("size") - 1 - F.col("i"), F.size("block") - 1 - F.col("j"))
     pairs = pairs.where((F.size("block") >= F.col("need")) & (behind + 1 >= F.col("need")))
+    pairs = pairs.where(F.forall("names", lambda forms: F.arrays_overlap("block", forms)))
     shared = F.size(F.array_intersect("block", "ranks"))
     pairs = pairs.select("doc_id", "key", "label", "size", "need", shared.alias("shared")).where("shared >= need")
     matches = pairs.groupBy("doc_id", "key").agg(
@@ -167,14 +195,30 @@ def _ranks(texts: DataFrame, vocabulary: list[bytes]) -> dict[bytes, int]:
     return {vocabulary[i]: place for place, i in enumerate(ordered_words)}
 
 
-def _scanned(texts, phrases, vocabulary, ranks, first_ranks, least, block_words) -> DataFrame:
+def _places(seen: np.ndarray, first: np.ndarray, phrases: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the phrases stand whole in a text, in order, and which phrase it is."""
+    where, which = [], []
+    for p, phrase in enumerate(phrases):
+        at = np.flatnonzero(seen[: max(0, len(seen) - len(phrase) + 1)] == phrase[0])
+        for k in range(1, len(phrase)):
+            at = at[seen[at + k] == phrase[k]]
+        text = np.searchsorted(first, at, side="right") - 1
+        where.append(at[at + len(phrase) <= first[text + 1]])
+        which.append(np.full(len(where[-1]), p))
+    where, which = np.concatenate([*where, []]).astype(np.int64), np.concatenate([*which, []]).astype(np.int64)
+    by_place = np.argsort(where, kind="stable")
+    return where[by_place], which[by_place]
+
+
+def _scanned(texts, phrases, vocabulary, forms, ranks, first_ranks, least, block_words) -> DataFrame:
     """Phrase places of every text, and the blocks that pass the filters on a block alone."""
     by_hash = np.argsort(hash_words(vocabulary))
     hashes, ranks = hash_words(vocabulary)[by_hash], ranks[by_hash]
     n_ranks, half = len(vocabulary), block_words // 2
-    starts_here = np.zeros(n_ranks + 1, dtype=bool)
+    starts_here = np.zeros(n_ranks + len(forms) + 1, dtype=bool)
     starts_here[first_ranks] = True
     phrase_hashes = [hash_words(split(phrase)) for phrase, _ in phrases]
+    form_hashes = [hash_words(form) for form in forms]
 
     def rows(batches):
         for chunk in text_chunks(batches):
@@ -182,17 +226,7 @@ def _scanned(texts, phrases, vocabulary, ranks, first_ranks, least, block_words)
             seen = Rolling(BYTE_VALUES[LOWER[chunk.data]]).slices(words.start, words.end)
             n = len(chunk)
             # phrases
-            where, which = [], []
-            for p, phrase in enumerate(phrase_hashes):
-                at = np.flatnonzero(seen[: max(0, len(seen) - len(phrase) + 1)] == phrase[0])
-                for k in range(1, len(phrase)):
-                    at = at[seen[at + k] == phrase[k]]
-                text = np.searchsorted(words.first, at, side="right") - 1
-                where.append(at[at + len(phrase) <= words.first[text + 1]])
-                which.append(np.full(len(where[-1]), p))
-            where, which = np.concatenate([*where, []]).astype(np.int64), np.concatenate([*which, []]).astype(np.int64)
-            by_place = np.argsort(where, kind="stable")
-            where, which = where[by_place], which[by_place]
+            where, which = _places(seen, words.first, phrase_hashes)
             cut = np.searchsorted(where, words.first)
             some = cut[1:] > cut[:-1]
             first, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -201,12 +235,14 @@ def _scanned(texts, phrases, vocabulary, ranks, first_ranks, least, block_words)
             # blocks: (text, line, stretch) with the ranks of its words
             slot = np.minimum(np.searchsorted(hashes, seen), max(0, len(hashes) - 1))
             known = np.flatnonzero(hashes[slot] == seen) if len(hashes) else np.zeros(0, np.int64)
+            word_rank = ranks[slot[known]]
+            at, form = _places(seen, words.first, form_hashes)
+            known, word_rank = np.append(known, at), np.append(word_rank, n_ranks + form)
             text = np.searchsorted(words.first, known, side="right") - 1
             breaks = np.flatnonzero(chunk.data == 0x0A)
             line = np.searchsorted(breaks, words.start[known])
             line_start = np.maximum(np.append(-1, breaks)[line] + 1, chunk.offsets[text])
             stretch = (known - np.searchsorted(words.start, line_start)) // half
-            word_rank = ranks[slot[known]]
             both = [np.append(x, x[stretch > 0]) for x in (text, line, word_rank)]
             block = np.append(stretch, stretch[stretch > 0] - 1)
             order = np.lexsort((both[2], block, both[1], both[0]))

@@ -121,6 +121,31 @@ def test_licences(docs_of):
     assert (by_id[28].n_words, by_id[28].labels) == (0, [])
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Released under the BSD License", []),
+        ("Licensed under the Mozilla Public License, Version 2.0", []),
+        ("Licensed under the Apache License, Version 1.0", []),
+        ("Licensed under CC BY 4.0", []),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1", []),
+        ("This work is licensed under the GNU Lesser General Public License, version 3", []),
+        ("This work is licensed under the GNU General Public License, version 2", []),
+        ("This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0", []),
+        ("MIT released the results under the terms of a license", []),
+        ("Released under MIT License", ["mit"]),
+        ("Licensed under the Apache License 2.0", ["apache-2"]),
+        ("This is licensed under the GNU General Public License, version 3", ["gpl-3"]),
+        ("This is free software: modify it under the terms of the GNU General Public License, either version 3", ["gpl-3"]),
+        ("Licensed under the Apache License, v. 2.0", ["apache-2"]),
+        ("Licensed under CC BY-NC 4.0", ["cc-by-nc"]),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0", ["mpl-2"]),
+    ],
+)
+def test_other_licences_have_no_label(docs_of, text, labels):
+    assert [r.labels for r in licences.scan(docs_of([(1, f"x\n{text}\ny")])).collect()] == [labels]
+
+
 def similar(rows, size, percent):
     sets = []
     for _, t in rows:
