@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a stretch of ``BLOCK_WORDS`` words of a line, every half stretch; a shorter line is one block. A template
+A block is a stretch of ``BLOCK_WORDS`` words of a text, every half stretch, across line breaks: so every half stretch
+of words in a row is within a block, such as a notice wrapped over several lines. A template
 is found in a block that has at least ``threshold`` of the template's different words and all its names: words that
 stand consecutively and tell its license from others of like wording, each name in one of its forms. A name belongs to
 the block that has its first word. The join looks at few blocks:
@@ -232,22 +233,19 @@ def _scanned(texts, phrases, vocabulary, forms, ranks, first_ranks, least, block
             first, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
             first[some] = where[cut[:-1][some]] - words.first[:-1][some]
             last[some] = where[cut[1:][some] - 1] - words.first[:-1][some]
-            # blocks: (text, line, stretch) with the ranks of its words
+            # blocks: (text, stretch) with the ranks of its words
             slot = np.minimum(np.searchsorted(hashes, seen), max(0, len(hashes) - 1))
             known = np.flatnonzero(hashes[slot] == seen) if len(hashes) else np.zeros(0, np.int64)
             word_rank = ranks[slot[known]]
             at, form = _places(seen, words.first, form_hashes)
             known, word_rank = np.append(known, at), np.append(word_rank, n_ranks + form)
             text = np.searchsorted(words.first, known, side="right") - 1
-            breaks = np.flatnonzero(chunk.data == 0x0A)
-            line = np.searchsorted(breaks, words.start[known])
-            line_start = np.maximum(np.append(-1, breaks)[line] + 1, chunk.offsets[text])
-            stretch = (known - np.searchsorted(words.start, line_start)) // half
-            both = [np.append(x, x[stretch > 0]) for x in (text, line, word_rank)]
+            stretch = (known - words.first[text]) // half
+            both = [np.append(x, x[stretch > 0]) for x in (text, word_rank)]
             block = np.append(stretch, stretch[stretch > 0] - 1)
-            order = np.lexsort((both[2], block, both[1], both[0]))
-            text, line, word_rank, block = both[0][order], both[1][order], both[2][order], block[order]
-            new = np.append(True, (np.diff(text) != 0) | (np.diff(line) != 0) | (np.diff(block) != 0))[: len(text)]
+            order = np.lexsort((both[1], block, both[0]))
+            text, word_rank, block = both[0][order], both[1][order], block[order]
+            new = np.append(True, (np.diff(text) != 0) | (np.diff(block) != 0))[: len(text)]
             once = new | np.append(True, np.diff(word_rank) != 0)[: len(text)]
             text, word_rank, new = text[once], word_rank[once], new[once]
             head = np.flatnonzero(new)

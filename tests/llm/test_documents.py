@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -146,6 +147,15 @@ def test_other_licences_have_no_label(docs_of, text, labels):
     assert [r.labels for r in licences.scan(docs_of([(1, f"x\n{text}\ny")])).collect()] == [labels]
 
 
+@pytest.mark.parametrize("words_before", [0, 43, 90, 999])
+def test_licences_wrapped_over_lines(docs_of, words_before):
+    wrapped = [(k, textwrap.fill(text, 40).replace("\n", "\n * ")) for k, (_, text, *_) in enumerate(licences.TEMPLATES)]
+    assert sum("\n" in text for _, text in wrapped) == 5
+    rows = [(k, "word\n" * words_before + text + "\nword" * 60) for k, text in wrapped]
+    got = {r.doc_id: (r.labels, r.score) for r in licences.scan(docs_of(rows)).collect()}
+    assert got == {k: ([label], 1.0) for k, (label, *_) in enumerate(licences.TEMPLATES)}
+
+
 def similar(rows, size, percent):
     sets = []
     for _, t in rows:
