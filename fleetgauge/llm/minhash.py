@@ -43,9 +43,9 @@ MARGIN = 5.5
 #: Pairs checked before a cell looks again at which are still unconnected.
 PAIRS = 4096
 
-SKETCH_SCHEMA = "k1 long, k2 int, doc_id long, n long, node binary, bands array<long>"
+SKETCH_SCHEMA = "k1 long, k2 binary, doc_id long, n long, node binary, bands array<long>"
 _SKETCH = pa.schema(
-    [("k1", pa.int64()), ("k2", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary())]
+    [("k1", pa.int64()), ("k2", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.binary())]
     + [("bands", pa.list_(pa.int64()))]
 )
 
@@ -127,7 +127,7 @@ def near_duplicates(
 
     Texts are linked if 100 times the intersection is at least ``similarity`` times the union of their shingle sets.
     """
-    return _resolved(docs, id_col, text_col, shingle, similarity, bands, rows).drop("k1", "k2")
+    return _resolved(docs, id_col, text_col, shingle, similarity, bands, rows).drop("k1", "k2", "one")
 
 
 def keep_first(
@@ -139,9 +139,13 @@ def keep_first(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns; of rows of equal id and text, one."""
+    """The rows of ``docs`` that are kept, all columns; of rows of equal id and text, one.
+
+    Of a component without ids, the row whose text has the smallest digest is kept.
+    """
     found = _resolved(docs, id_col, text_col, shingle, similarity, bands, rows)
-    gone = found.where(~F.col("kept")).select("k1", "k2").distinct()
+    nameless = F.col("component_id").isNull() & (F.col("k2") != F.col("one.k2"))
+    gone = found.where(~F.col("kept") | nameless).select("k1", "k2").distinct()
     key = keyed(docs, id_col, text_col, all_columns=True)
     return key.dropDuplicates(["k1", "k2"]).join(gone, ["k1", "k2"], "left_anti").select("row.*")
 
@@ -176,16 +180,17 @@ def _resolved(docs, id_col, text_col, shingle, similarity, bands, rows) -> DataF
     named = (
         all_rows.where("n > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("least"))
+        .agg(F.min("doc_id").alias("least"), F.min(F.struct("k1", "k2")).alias("one"))
         .join(found.withColumnRenamed("component", "root"), "node", "left")
     )
-    named = named.select("node", F.coalesce("root", "node").alias("root"), "least")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("node", "component_id")
+    named = named.select("node", F.coalesce("root", "node").alias("root"), "least", "one")
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("one").alias("one"))
+    named = named.drop("one").join(ids, "root").select("node", "component_id", "one")
     return all_rows.join(named, "node", "left").select(
         "k1",
         "k2",
         "doc_id",
+        "one",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("component_id").eqNullSafe(F.col("doc_id"))).otherwise(True).alias("kept"),

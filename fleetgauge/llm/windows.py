@@ -22,22 +22,24 @@ from .arrays import Texts, anchored_runs, merged, record_batch, text_chunks
 #: A text without id has this key; it is no smaller than any other.
 NO_ID = (1 << 63) - 1
 
-RUN_SCHEMA = "gram long, body long, k1 long, k2 int, at int, n int, lead int, times int, more binary"
+RUN_SCHEMA = "gram long, body long, k1 long, k2 binary, at int, n int, lead int, times int, more binary"
 _RUNS = pa.schema(
-    [("gram", pa.int64()), ("body", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()), ("at", pa.int32())]
+    [("gram", pa.int64()), ("body", pa.int64()), ("k1", pa.int64()), ("k2", pa.binary()), ("at", pa.int32())]
     + [("n", pa.int32()), ("lead", pa.int32()), ("times", pa.int32()), ("more", pa.binary())]
 )
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, all_columns: bool = False) -> DataFrame:
-    """doc_id, text, and as key the id with a hash of the text: rows of one id may differ in text.
+    """doc_id, text, and as key the id with a digest of 128 bits of the text: rows of one id may differ in text.
+
+    A null text has the empty digest, so it is not taken for an empty one.
 
     With ``all_columns``, the columns of ``docs`` as the struct ``row``, too.
     """
     row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if all_columns else []
     doc_id = F.col(f"`{id_col}`").cast("long").alias("doc_id")
     texts = docs.select(doc_id, F.col(f"`{text_col}`").alias("text"), *row)
-    key = (F.coalesce("doc_id", F.lit(NO_ID)).alias("k1"), F.hash("text").alias("k2"))
+    key = (F.coalesce("doc_id", F.lit(NO_ID)).alias("k1"), F.coalesce(F.unhex(F.md5("text")), F.lit(b"")).alias("k2"))
     return texts.select(*key, *texts.columns)
 
 
@@ -82,7 +84,7 @@ def run_rows(
                 grams[first],
                 body[first],
                 texts.column("k1")[text],
-                texts.column("k2")[text],
+                texts.rows.column(texts.rows.schema.get_field_index("k2")).take(pa.array(text)),
                 places[first],
                 runs.count[first].astype(np.int32),
                 (runs.anchor[first] - runs.at[first]).astype(np.int32),

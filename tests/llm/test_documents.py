@@ -6,6 +6,7 @@ import re
 import textwrap
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetgauge.llm import licences, minhash, phrase_index, reference_parse, suffix_repeats
 
@@ -192,6 +193,26 @@ def test_near_duplicates(docs_of):
     assert kept.count() == len({(i, t) for (i, t), w in zip(rows, want, strict=True) if w[3]})
 
 
+def test_texts_of_equal_32_bit_hash(spark, docs_of):
+    copied, own = " ".join(f"p{k}" for k in range(60)), " ".join(f"q{k}" for k in range(70))
+    texts = lambda start, name: spark.range(200_000).select(F.concat(F.lit(f"{start} "), "id").alias(name))
+    x, y = texts(copied, "x").join(texts(own, "y"), F.hash("x") == F.hash("y")).orderBy("x", "y").first()
+    docs = docs_of([(1, copied), (None, x), (None, y)])
+    assert sorted(r.text for r in minhash.keep_first(docs_of([(None, x), (None, y)])).collect()) == [x, y]
+    assert y in {bytes(r.kept).decode() for r in suffix_repeats.remove_repeats(docs).collect()}
+    got = {r.n_words: (r.n_removed, r.kept) for r in reference_parse.remove_copied(docs).collect()}
+    assert got == {60: (0, copied), 61: (60, x.split()[-1]), 71: (0, y)}
+
+
+def test_one_of_near_copies_without_id_is_kept(docs_of):
+    base = " ".join(f"w{k}" for k in range(80))
+    family = [(None, f"{base} {end}") for end in "abc"]
+    kept = minhash.keep_first(docs_of([*family, family[0], (None, None), (None, ""), (None, "alone")])).collect()
+    assert sorted(str(r.text)[:5] for r in kept) == ["", "None", "alone", "w0 w1"]
+    kept = minhash.keep_first(docs_of([*family, (7, f"{base} d")])).collect()
+    assert [r.doc_id for r in kept] == [7]
+
+
 def test_empty_tables(spark, docs_of):
     docs, items = docs_of([]), spark.createDataFrame([], "item_id long, text string")
     assert suffix_repeats.remove_repeats(docs).count() == 0
