@@ -1,15 +1,15 @@
-"""Substring dedup: documents parsed against all earlier documents, Relative Lempel-Ziv fashion.
+"""Substring dedup: an anchored join of word windows with all earlier documents, in place of a Relative Lempel-Ziv parse.
 
 The reference of a document are the documents with smaller ids. It is indexed in blocks: a block is the stretch of
 words under a run of neighbouring windows that share an anchor (see ``arrays.anchored_runs``), and the index has for
 each block, and for each window within it, the smallest document that holds it.
 
-A document is parsed from left to right. At each place the longest factor that an indexed block gives is taken: the
-whole block under the run if a smaller document has it, else the stretches of it that blocks with the same anchor
-have. Blocks of neighbouring runs overlap by all but one word of a window, so that a window across a factor's boundary
-lies whole in a block and is looked up as well; factors of ``window`` words or more that overlap join into one
-duplicate span, and words in no such factor are literals. Hence a word goes exactly if a window over it starts in a
-smaller document.
+No document is parsed greedily from left to right, and there is no list of longest factors with their sources: such a
+parse needs the whole reference in one place, and windows across its factor boundaries would have to be looked up
+besides. Instead all windows are looked up: the whole block under a run if a smaller document has it, else its windows
+among blocks with the same anchor. Blocks of neighbouring runs overlap by all but one word of a window, so every window
+lies whole in a block. The windows found, joined where they overlap, are the duplicate spans; other words are literals.
+Hence a word goes exactly if a window over it starts in a smaller document.
 
 Blocks of one anchor are compared in the task that holds the anchor. An anchor with more than
 ``windows.GROUP_BODIES`` different blocks is compared through a shuffle of its single windows instead.
