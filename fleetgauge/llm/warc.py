@@ -5,8 +5,8 @@ since SHA-1 alone would not prove equality, its SHA-256. ``headers`` has every r
 file, with both digests. Of pages with one payload, the one of smallest id is the response that carries it; the others
 are revisits that refer to it. Payloads below ``min_bytes`` are not shared: all of them are responses.
 
-Rebuilding joins headers with payloads on both digests; the digest of what the join gives is compared with the
-header's. Equal payloads are reduced before they are shuffled, and the join sees pages, not pairs of pages.
+Rebuilding joins headers with payloads on both digests; both digests of what the join gives are compared with
+the header's. Equal payloads are reduced before they are shuffled, and the join sees pages, not pairs of pages.
 
 Defined cases: a null payload is empty; a null URL is left out of the header; a page without id comes after all others
 and refers to a response without id only if no page of its payload has an id; rows that repeat the smallest id are all
@@ -108,6 +108,7 @@ def read(archive: Archive) -> DataFrame:
     """Every record: page_id, header, record_type, refers_to, payload (also of revisits), and whether it verifies."""
     records = archive.headers.join(archive.payloads, ["sha1", "sha256"])
     verified = (base32_sha1(F.col("payload")) == F.col("sha1")) & (F.octet_length("payload") == F.col("size"))
+    verified &= F.sha2("payload", 256) == F.col("sha256")
     return records.select("page_id", "header", "record_type", "refers_to", "sha1", "payload", verified.alias("verified"))
 
 

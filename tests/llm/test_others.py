@@ -160,6 +160,15 @@ def test_vectors_of_one_dense_cluster(spark):
     ]
 
 
+def test_archive_verifies_the_strong_digest(spark):
+    pages = spark.createDataFrame([(1, "u", "one")], "page_id long, url string, html string")
+    archive = warc.write(pages, Scratch(spark, "strong"))
+    assert [r.verified for r in warc.read(archive).collect()] == [True]
+    other = F.sha2(F.lit(b"two"), 256)
+    wrong = warc.Archive(archive.headers.withColumn("sha256", other), archive.payloads.withColumn("sha256", other))
+    assert [r.verified for r in warc.read(wrong).collect()] == [False]
+
+
 def test_archive(spark):
     rows = [(3, "http://a/", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (5, "u", ""), (None, "u", "only"), (9, "u", "é" * 50000)]
     rows += [(None, "u", "<p>é</p>"), (1, None, "<p>é</p>")]
