@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    dimension_scan,
+    hard_negatives,
     licences,
     minhash,
     neighbours,
@@ -18,6 +20,7 @@ from . import (
     suffix_repeats,
     toxicity,
     warc,
+    whitening,
 )
 from .scratch import Scratch, prepare
 
@@ -97,10 +100,26 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, similarity=85, bands=26, rows=5)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimension_scan.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, label=label)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         *(op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_substring_dedup, op5_license_scan),
         *(op6_sharding, op7_sentencepiece, op8_embedding_dedup, op9_warc, op10_minhash),
+        *(op11_nearest_neighbours, op12_hard_negatives, op13_whitening),
     )
     return {f.__name__: f for f in operators}
 

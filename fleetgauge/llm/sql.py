@@ -87,9 +87,35 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_GROUPS} AS payload_d
 FROM p JOIN f USING (payload)
 """
 
+_HARD_NEGATIVES = """
+WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+n AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 3
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": _DECONTAMINATION,
     "op4_substring_dedup": _SUBSTRING,
     "op6_sharding": _SHARDS,
     "op9_warc": _WARC,
+    "op12_hard_negatives": _HARD_NEGATIVES,
 }
