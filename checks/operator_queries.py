@@ -243,7 +243,7 @@ for _r in registry.reports():
     " UNION ALL ".join(f"SELECT *, '{k.report}' AS report FROM ({kpi_sql(k.name)})" for k in registry.KPIS),
 )
 def _(src):
-    return registry.run_reports(src, AS_OF, registry.KPIS)
+    return registry.run_reports(src, AS_OF, registry.KPIS).drop("kpi")
 
 
 # ==== predicates ============================================================================

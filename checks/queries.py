@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.kpi_sql import kpi_sql
+from checks import store_queries  # noqa: F401  registers its queries
 from checks.operator_queries import EXTRA_VIEWS, QUERIES
 from checks.sql_text import with_views
 from fleetgauge.plans.registry import BY_NAME, compute_one

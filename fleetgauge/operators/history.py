@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.operators.ids import assign_ids, max_id
-from fleetgauge.schemas import KPI_DEF, KPI_FACT, ORG_UNIT
+from fleetgauge.schemas import KPI_DEF, KPI_FACT, ORG_UNIT, STORED_FACT
 from fleetgauge.session import written
 from fleetgauge.sources.tables import Keep
 
@@ -70,24 +70,35 @@ def _with_parent_ids(numbered: DataFrame, existing: DataFrame, id_column: str) -
     return joined.withColumn("id_parent", F.coalesce("id_parent", F.lit(0)).cast("long"))
 
 
-def unit_upsert(existing: DataFrame, incoming: DataFrame, keep: Keep = written) -> DataFrame:
-    """Unit rows to append for the ``maille`` / ``maille_parent`` labels of a KPI result."""
+def unit_upsert(
+    existing: DataFrame, incoming: DataFrame, keep: Keep = written, after: Column | None = None
+) -> DataFrame:
+    """Unit rows to append for the ``maille`` / ``maille_parent`` labels of a KPI result.
+
+    Ids go on from ``after``, by default the largest there is.
+    """
     fresh = unregistered(incoming, existing, "maille", ["maille_parent"], keep)
     labels = _phases(fresh, existing, "maille", "maille_parent", [])
-    numbered = assign_ids(labels, "id_maille", max_id(existing, "id_maille"))
+    numbered = assign_ids(labels, "id_maille", max_id(existing, "id_maille") if after is None else after)
     return _with_parent_ids(numbered, existing, "id_maille").select(*ORG_UNIT.names)
 
 
 def kpi_upsert(
-    existing: DataFrame, units: DataFrame, incoming: DataFrame, report: str | Column, keep: Keep = written
+    existing: DataFrame,
+    units: DataFrame,
+    incoming: DataFrame,
+    report: str | Column,
+    keep: Keep = written,
+    after: Column | None = None,
 ) -> DataFrame:
     """KPI rows to append for the ``indicateur`` / ``indicateur_parent`` labels of a KPI result.
 
-    A label that is already registered keeps its report; ``units`` gives the unit group's id.
+    A label that is already registered keeps its report; ``units`` gives the unit group's id. Ids go on from ``after``,
+    by default the largest there is.
     """
     fresh = unregistered(incoming, existing, "indicateur", ["indicateur_parent", "maille_parent"], keep)
     labels = _phases(fresh, existing, "indicateur", "indicateur_parent", ["maille_parent"])
-    numbered = assign_ids(labels, "id_calc", max_id(existing, "id_calc"))
+    numbered = assign_ids(labels, "id_calc", max_id(existing, "id_calc") if after is None else after)
     with_parents = _with_parent_ids(numbered, existing, "id_calc")
     groups = labels.select(F.col("maille_parent").alias("label")).distinct()
     group_ids = label_ids(units.join(groups, "label", "left_semi"), "id_maille").select(
@@ -125,3 +136,16 @@ def daily_fact(rows: DataFrame, kpis: DataFrame, units: DataFrame, day: dt.date
     day = F.lit(day.isoformat()).cast("date") if isinstance(day, dt.date) else day
     with_ids = fact_lookup(rows, kpis, units).withColumn("date", day)
     return fact_dropna(with_ids.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in KPI_FACT.fields]))
+
+
+def stored_fact(rows: DataFrame, kpis: DataFrame, units: DataFrame, day: dt.date | Column) -> DataFrame:
+    """KPI result rows with report and KPI as rows of the stored fact.
+
+    A label belongs to the report that registered it first. Rows that another report gives for it are left out: two
+    reports of one label and unit would otherwise count twice in the monthly average.
+    """
+    day = F.lit(day.isoformat()).cast("date") if isinstance(day, dt.date) else day
+    owners = kpis.groupBy("label").agg(F.min_by("rapports", "id_calc").alias("owners")).withColumnRenamed("label", "owned")
+    mine = rows.join(owners, (rows.indicateur == owners.owned) & F.array_contains("owners", F.col("report")), "left_semi")
+    with_ids = fact_lookup(mine, kpis, units).withColumn("date", day)
+    return fact_dropna(with_ids.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_FACT.fields]))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.time import AsOf
+from fleetgauge.sources.tables import Sources
 
 
 def of_report(report: str) -> Column:
@@ -75,3 +76,19 @@ def monthly_regex(
 ) -> DataFrame:
     """Averages of the KPIs whose label matches ``pattern``, with both labels."""
     return _labelled(daily, kpis.filter(F.col("label").rlike(pattern)), units, as_of)
+
+
+# ---- what the monthly job computes for a report: id_calc, id_maille, valeur, date -----------------
+def report_average(src: Sources, as_of: AsOf, report: str) -> DataFrame:
+    """The averages of the KPIs that belong to the report."""
+    return monthly_avg(src.kpi_daily, src.kpi_def, as_of, report)
+
+
+def report_labelled(src: Sources, as_of: AsOf, report: str) -> DataFrame:
+    """The same with labels, for reports whose monthly rows are read by label; unlabelled units are kept."""
+    return monthly_labelled(src.kpi_daily, src.kpi_def, src.org_unit, as_of, report)
+
+
+def report_regex(src: Sources, as_of: AsOf, report: str) -> DataFrame:
+    """The averages of the KPIs whose labels follow the report's pattern, whichever report they belong to."""
+    return monthly_regex(src.kpi_daily, src.kpi_def, src.org_unit, as_of)

@@ -1,52 +1,56 @@
-"""The daily and the monthly job."""
+"""The daily and the monthly job.
+
+A run goes through the ledger states of the store: its KPIs are ``started``; each report's rows are written to a folder
+of their own and its KPIs are ``written``; the folders become the partitions, and the KPIs are ``done`` or, without
+rows, ``empty``. Only KPIs that are done are skipped next time. A run that was cut short is repeated by the next one,
+which publishes what was written and computes the rest.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.time import AsOf
-from fleetgauge.operators import history, rollup
-from fleetgauge.operators.maintenance import ledger_period
-from fleetgauge.plans import registry
+from fleetgauge.operators import history
+from fleetgauge.plans import monthly, registry
 from fleetgauge.plans.kpi import DAY, MONTH, Kpi
-from fleetgauge.schemas import ContractError
+from fleetgauge.schemas import STORED_FACT, ContractError
 from fleetgauge.session import JOB_SETTINGS, Staging, settings, written
 from fleetgauge.sources import store as st
+from fleetgauge.sources.sql_kpis import reports_from_root
 from fleetgauge.sources.store import HistoryStore
 from fleetgauge.sources.tables import Keep, Sources
 
 log = logging.getLogger(__name__)
 
+Key = tuple[str, str]
+Compute = Callable[[list[Kpi]], DataFrame]
+
 
 @dataclass
 class RunSummary:
-    """What a job did: KPIs per status, and the ones skipped because they were done before."""
+    """What a job did: KPIs that gave rows, that gave none, that failed, and those skipped because they were done."""
 
     done: list[str] = field(default_factory=list)
+    empty: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
 
 
-def _sound(src: Sources, as_of: AsOf, kpis: list[Kpi], summary: RunSummary) -> list[Kpi]:
-    """KPIs whose plan can be built; the others are reported and left out."""
-    good = []
-    for k in kpis:
-        try:
-            registry.compute(src, as_of, [k])
-            good.append(k)
-        except (ContractError, AnalysisException) as error:
-            log.error("KPI %s of %s: %s", k.name, k.report, error)
-            summary.failed[k.name] = str(error)
-    return good
+def _key(k: Kpi) -> Key:
+    return k.report, k.name
 
 
+# ---- labels ----------------------------------------------------------------------------------
 def _reports_with_new_labels(store: HistoryStore, rows: DataFrame) -> list[str]:
     """Reports that bring a unit or KPI label for the first time; on most days none does."""
     units = history.new_labels(rows.select("report", "maille").distinct(), store.read(st.UNITS), "maille")
@@ -55,59 +59,129 @@ def _reports_with_new_labels(store: HistoryStore, rows: DataFrame) -> list[str]:
     return sorted(r.report for r in found.collect())
 
 
+def _after(store: HistoryStore, labels: DataFrame, table: str, id_column: str, label: str) -> Column | None:
+    """What new ids of a dimension go on from: its largest id, unless another run has claimed those that follow.
+
+    None, and no claim, if all labels are known.
+    """
+    known = store.read(table)
+    if history.new_labels(labels.select(label).filter(F.col(label).isNotNull()), known, label).isEmpty():
+        return None
+    largest = known.agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
+    return F.lit(store.claim(table, largest + 1) - 1)
+
+
 def register_labels(store: HistoryStore, rows: DataFrame, keep: Keep = written) -> None:
     """Append new unit and KPI labels, report by report in alphabetical order.
 
-    The first report that brings a label keeps it. Each step reads the tables the step
-    before has written; appended labels are known to a re-run, so it adds nothing twice.
+    The first report that brings a label keeps it. Each step reads the tables the step before has written; appended
+    labels are known to a re-run, so it adds nothing twice. Ids are claimed before they are given out, so two runs at
+    a time never give out one id; a label that both register has two, of which the smaller counts.
     """
     for report in _reports_with_new_labels(store, rows):
         labels = rows.filter(F.col("report") == report)
-        store.insert(st.UNITS, history.unit_upsert(store.read(st.UNITS), labels, keep))
-        store.insert(st.KPIS, history.kpi_upsert(store.read(st.KPIS), store.read(st.UNITS), labels, report, keep))
-
-
-def _other_rows(store: HistoryStore, as_of: AsOf, fact: DataFrame, reports: list[str]) -> DataFrame:
-    """Rows of the day that belong neither to ``fact`` nor to a report that was run as a whole."""
-    today = store.read(st.DAILY).filter(F.col("date") == as_of.today)
-    theirs = store.read(st.KPIS).filter(F.arrays_overlap("rapports", _names(reports))).select("id_calc")
-    gone = fact.select("id_calc").unionByName(theirs).distinct()
-    return today.join(gone, "id_calc", "left_anti")
-
+        after = _after(store, labels, st.UNITS, "id_maille", "maille")
+        if after is not None:
+            store.insert(st.UNITS, history.unit_upsert(store.read(st.UNITS), labels, keep, after))
+        after = _after(store, labels, st.KPIS, "id_calc", "indicateur")
+        if after is not None:
+            kpis, units = store.read(st.KPIS), store.read(st.UNITS)
+            store.insert(st.KPIS, history.kpi_upsert(kpis, units, labels, report, keep, after))
 
-def _names(reports: list[str]) -> Column:
-    return F.array(*[F.lit(r) for r in reports]).cast("array<string>")
 
+# ---- computing KPIs of which some may fail -----------------------------------------------------
+def isolated(kpis: list[Kpi], compute: Compute, keep: Keep, failed: dict[Key, str]) -> list[DataFrame]:
+    """The written rows of ``kpis``. A set that fails is halved until the KPIs that fail stand alone.
 
-def _computed(src: Sources, as_of: AsOf, wanted: list[Kpi], summary: RunSummary, keep: Keep) -> DataFrame | None:
-    """The written rows of ``wanted``; KPIs that fail, when planned or when run, are reported and left out."""
-    try:
-        return keep(registry.run_reports(src, as_of, wanted, keep), "day")
-    except (ContractError, AnalysisException):
-        wanted[:] = _sound(src, as_of, wanted, summary)
-    except (PySparkException, Py4JJavaError) as error:
-        log.error("a KPI failed while running, each is run alone: %s", str(error)[:500])
-    if wanted and not summary.failed:
-        return _one_by_one(src, as_of, wanted, summary, keep)
+    So one bad KPI among n costs about 2 log2(n) further runs of ever fewer KPIs.
+    """
+    if not kpis:
+        return []
     try:
-        return keep(registry.run_reports(src, as_of, wanted, keep), "day") if wanted else None
-    except (PySparkException, Py4JJavaError):
-        return _one_by_one(src, as_of, wanted, summary, keep)
+        return [keep(compute(kpis), "rows")]
+    except (ContractError, PySparkException, Py4JJavaError) as error:
+        if len(kpis) == 1:
+            log.error("KPI %s of %s: %s", kpis[0].name, kpis[0].report, str(error)[:500])
+            failed[_key(kpis[0])] = str(error)
+            return []
+        log.warning("one of %d KPIs failed, trying halves: %s", len(kpis), str(error)[:200])
+    half = len(kpis) // 2
+    return isolated(kpis[:half], compute, keep, failed) + isolated(kpis[half:], compute, keep, failed)
 
 
-def _one_by_one(src: Sources, as_of: AsOf, wanted: list[Kpi], summary: RunSummary, keep: Keep) -> DataFrame | None:
-    """Each KPI by itself, so that one that fails at run time takes no other with it."""
-    frames = []
-    for k in list(wanted):
-        try:
-            frames.append(keep(registry.run_reports(src, as_of, [k], keep), f"day_{k.name}"))
-        except (ContractError, PySparkException, Py4JJavaError) as error:
-            log.error("KPI %s of %s: %s", k.name, k.report, str(error)[:500])
-            summary.failed[k.name] = str(error)
-            wanted.remove(k)
-    return reduce(DataFrame.unionByName, frames) if frames else None
+def _counts(rows: DataFrame) -> dict[Key, int]:
+    """Rows of each KPI; at most one entry for each of the registry."""
+    return {(r.report, r.kpi): r.n for r in rows.groupBy("report", "kpi").agg(F.count("*").alias("n")).collect()}
 
 
+@dataclass
+class _Run:
+    """One run of a grain: which table and period it writes, and under which day."""
+
+    store: HistoryStore
+    grain: str
+    table: str
+    period: dt.date
+    day: dt.date
+
+    def execute(
+        self,
+        given: list[Kpi],
+        use_ledger: bool,
+        compute: Compute,
+        facts: Callable[[DataFrame, Keep], DataFrame],
+        keep: Keep,
+    ) -> RunSummary:
+        """Compute the KPIs given that are not done, and replace their rows, and only theirs, in their reports."""
+        summary = RunSummary()
+        self.store.recover(self.table, self.grain, self.period, self.day)
+        done = self.store.done(self.grain, self.period) if use_ledger else set()
+        summary.skipped = [k.name for k in given if _key(k) in done]
+        wanted = sorted((k for k in given if _key(k) not in done), key=lambda k: k.report)
+        if not wanted:
+            return summary
+        self._record((k, st.STARTED, None, None) for k in wanted)
+        failed: dict[Key, str] = {}
+        frames = isolated(wanted, compute, keep, failed)
+        self._record((k, st.FAILED, None, None) for k in wanted if _key(k) in failed)
+        summary.failed = {k.name: failed[_key(k)] for k in wanted if _key(k) in failed}
+        ran = [k for k in wanted if _key(k) not in failed]
+        if ran:
+            rows = reduce(DataFrame.unionByName, frames)
+            counts = _counts(rows)
+            self._replace(ran, keep(facts(rows, keep), "fact"), counts)
+            summary.done = [k.name for k in given if k in ran and counts.get(_key(k))]
+            summary.empty = [k.name for k in given if k in ran and not counts.get(_key(k))]
+        return summary
+
+    def _record(self, events) -> None:
+        self.store.record((k.report, k.name, self.grain, status, self.period, n, at) for k, status, n, at in events)
+
+    def _replace(self, ran: list[Kpi], fact: DataFrame, counts: dict[Key, int]) -> None:
+        """Publish each report's rows: those of the KPIs that ran, and what is stored of the others."""
+        store, of_report = self.store, {}
+        for k in ran:
+            of_report.setdefault(k.report, []).append(k)
+        staged = {}
+        for report, kpis in of_report.items():
+            before = store.location(self.table, self.day, report)
+            if before is None and not any(counts.get(_key(k)) for k in kpis):
+                continue  # nothing there and nothing new
+            staged[report] = self._staged(report, kpis, fact), before
+        n_rows = lambda k: counts.get(_key(k), 0)
+        self._record((k, st.WRITTEN, n_rows(k), staged[k.report][0]) for k in ran if k.report in staged)
+        for report, (folder, before) in staged.items():
+            if store.location(self.table, self.day, report) != before:  # another run was faster: add to what it has
+                folder = self._staged(report, of_report[report], fact)
+            store.publish(self.table, self.day, report, folder)
+        self._record((k, st.DONE if n_rows(k) else st.EMPTY, n_rows(k), None) for k in ran)
+
+    def _staged(self, report: str, kpis: list[Kpi], fact: DataFrame) -> str:
+        rows = fact.filter(F.col("report") == report)
+        return self.store.stage(self.table, self.store.merged(self.table, self.day, report, rows, [k.name for k in kpis]))
+
+
+# ---- days --------------------------------------------------------------------------------------
 def run_day(
     src: Sources,
     store: HistoryStore,
@@ -117,45 +191,23 @@ def run_day(
 ) -> RunSummary:
     """Compute the day's KPIs, register their labels and write the day's fact.
 
-    KPI rows are written once to the shared folder; labels and fact are taken from there. The day's partition is
-    overwritten: a report of which every KPI given is run loses all rows it had, of the others only the rows of labels
-    that are computed again are replaced. A report that gives no row is not noted as done, so that a source that fills
-    up later is still computed.
+    Of the day's rows, exactly those of the KPIs that ran are replaced: other reports, other KPIs of a report, and KPIs
+    that failed keep theirs. A KPI that gives no row has none afterwards, and is computed again next time, so that a
+    source that fills up later is not missed.
     """
     store.create()
     store.purge(as_of, st.DAILY)
-    summary = RunSummary()
     given = [k for k in (registry.KPIS if kpis is None else kpis) if k.grain == DAY]
-    wanted = list(given)
-    by_name = {k.name: k for k in given}
-    if use_ledger:
-        done = store.done(DAY, as_of.day)
-        summary.skipped = [k.name for k in given if (k.report, k.name) in done]
-        wanted = [k for k in given if (k.report, k.name) not in done]
-    partly = {by_name[n].report for n in summary.skipped}
-    if wanted:
-        with settings(src.spark, JOB_SETTINGS), Staging() as staging:
-            whole = sorted({k.report for k in wanted} - partly)
-            rows = _computed(src, as_of, wanted, summary, staging.keep)
-            if rows is None:
-                rows = src.spark.createDataFrame([], registry.WITH_REPORT)
-            filled = {r.report for r in rows.select("report").distinct().collect()}  # at most one a report
-            _write_day(store, as_of, rows, whole, staging.keep)
-            summary.done = [k.name for k in wanted if k.report in filled]
-    period = ledger_period(as_of, DAY)
-    store.record_runs(
-        [(by_name[n].report, n, DAY, "done", period) for n in summary.done]
-        + [(by_name[n].report, n, DAY, "failed", period) for n in summary.failed]
-    )
-    return summary
-
-
-def _write_day(store: HistoryStore, as_of: AsOf, rows: DataFrame, whole: list[str], keep: Keep) -> None:
-    register_labels(store, rows, keep)
-    fact = history.daily_fact(rows, store.read(st.KPIS), store.read(st.UNITS), as_of.day)
-    if as_of.day in store.dates(st.DAILY):
-        fact = keep(fact.unionByName(_other_rows(store, as_of, fact, whole)), "fact")
-    store.replace_date(st.DAILY, as_of.day, fact)
+    run = _Run(store, DAY, st.DAILY, as_of.day, as_of.day)
+    with settings(src.spark, JOB_SETTINGS), Staging() as staging:
+        shared = src.sharing(staging.keep)  # blocks are kept once, however often a failing KPI makes halves
+
+        def facts(rows: DataFrame, keep: Keep) -> DataFrame:
+            register_labels(store, rows, keep)
+            return history.stored_fact(rows, store.read(st.KPIS), store.read(st.UNITS), as_of.day)
+
+        compute = lambda chosen: registry.run_reports(shared, as_of, chosen, staging.keep)
+        return run.execute(given, use_ledger, compute, facts, staging.keep)
 
 
 def run_one_report(src: Sources, store: HistoryStore, as_of: AsOf, report: str) -> RunSummary:
@@ -166,15 +218,12 @@ def run_one_report(src: Sources, store: HistoryStore, as_of: AsOf, report: str)
 def purge_day(store: HistoryStore, as_of: AsOf) -> None:
     """Delete a day and forget that it was run, without computing it again."""
     store.create()
-    store.delete_day(st.DAILY, as_of.day)
     store.clear_runs(DAY, as_of.day)
+    store.delete_day(st.DAILY, as_of.day)
 
 
 def recompute_day(src: Sources, store: HistoryStore, as_of: AsOf, kpis: list[Kpi] | None = None) -> RunSummary:
-    """Compute a day again for the reports of ``kpis``: their rows go, those of other reports stay."""
-    store.create()
-    chosen = registry.KPIS if kpis is None else kpis
-    store.clear_runs(DAY, as_of.day, {k.report for k in chosen})
+    """Compute a day again, whatever the ledger says. A KPI that fails keeps the rows it had."""
     return run_day(src, store, as_of, kpis, use_ledger=False)
 
 
@@ -182,44 +231,59 @@ def recompute_yesterday(src: Sources, store: HistoryStore, as_of: AsOf, kpis: li
     return recompute_day(src, store, as_of.yesterday, kpis)
 
 
+# ---- months ------------------------------------------------------------------------------------
 def known_reports(store: HistoryStore) -> list[str]:
     """The built-in reports and all that have registered labels, such as reports of SQL files."""
     stored = store.read(st.KPIS).select(F.explode("rapports").alias("report")).distinct().collect()
     return sorted({*registry.reports(), *(r.report for r in stored)})
 
 
-def run_month(store: HistoryStore, as_of: AsOf, reports: list[str] | None = None, use_ledger: bool = True) -> RunSummary:
-    """Average the previous month and write it under its first day; for all known reports unless some are given."""
+def run_month(
+    store: HistoryStore,
+    as_of: AsOf,
+    reports: list[str] | None = None,
+    use_ledger: bool = True,
+    kpis: list[Kpi] | None = None,
+) -> RunSummary:
+    """Average the previous month and write it under its first day; for all known reports unless some are given.
+
+    ``kpis``: monthly KPIs written as SQL; a report that has some is averaged by these, others by the built-in
+    definition. A report without rows is tried again next time.
+    """
     store.create()
     store.purge(as_of, st.MONTHLY)
-    summary = RunSummary()
-    wanted = sorted(known_reports(store) if reports is None else reports)
-    if use_ledger:
-        done = store.done(MONTH, as_of.this_month)
-        summary.skipped = [r for r in wanted if (r, r) in done]
-        wanted = [r for r in wanted if (r, r) not in done]
-    if wanted:
-        mine = F.arrays_overlap("rapports", _names(wanted))
-        chosen = store.read(st.KPIS).filter(mine)
-        averages = rollup.monthly_of(store.read(st.DAILY), chosen, as_of)
-        month = as_of.previous_month
-        if month in store.dates(st.MONTHLY):
-            kept = store.read(st.MONTHLY).filter(F.col("date") == F.lit(month))
-            kept = kept.join(chosen.select("id_calc"), "id_calc", "left_anti")
-            with Staging() as staging:
-                merged = averages.select(*kept.columns).unionByName(kept)
-                store.replace_date(st.MONTHLY, month, staging.keep(merged, "month"))
-        else:
-            store.replace_date(st.MONTHLY, month, averages)
-        summary.done = wanted
-    store.record_runs([(r, r, MONTH, "done", as_of.this_month) for r in summary.done])
-    return summary
-
-
-def recompute_month(store: HistoryStore, as_of: AsOf) -> RunSummary:
-    """Delete the previous month and average it again for every known report."""
-    store.create()
-    month = as_of.previous_month
-    store.delete_month(st.MONTHLY, month.year, month.month)
-    store.clear_runs(MONTH, as_of.this_month)
-    return run_month(store, as_of, use_ledger=False)
+    files = [k for k in kpis or [] if k.grain == MONTH]
+    known = sorted({*known_reports(store), *(k.report for k in files)}) if reports is None else sorted(reports)
+    src = monthly.history_sources(store)
+    run = _Run(store, MONTH, st.MONTHLY, as_of.this_month, as_of.previous_month)
+    with settings(store.spark, JOB_SETTINGS), Staging() as staging:
+        compute = lambda chosen: reduce(DataFrame.unionByName, [monthly.compute(src, as_of, k) for k in chosen])
+        facts = lambda rows, _: _once_a_month(store, as_of, rows, known)
+        return run.execute(monthly.kpis_of(known, files), use_ledger, compute, facts, staging.keep)
+
+
+def _once_a_month(store: HistoryStore, as_of: AsOf, rows: DataFrame, reports: list[str]) -> DataFrame:
+    """``rows`` without KPIs that another report has averaged; of those in several reports run now, the first has them."""
+    stored = store.stored(st.MONTHLY, as_of.previous_month).filter(~F.col("report").isin(*reports))
+    first = rows.groupBy("id_calc").agg(F.min("report").alias("report"))
+    rows = rows.join(stored.select("id_calc"), "id_calc", "left_anti").join(first, ["id_calc", "report"], "left_semi")
+    return rows.select(*STORED_FACT.names)
+
+
+def recompute_month(store: HistoryStore, as_of: AsOf, kpis: list[Kpi] | None = None) -> RunSummary:
+    """Average the previous month again for every known report. One that fails keeps the rows it had."""
+    return run_month(store, as_of, use_ledger=False, kpis=kpis)
+
+
+# ---- all there is --------------------------------------------------------------------------------
+def run_due(
+    src: Sources, store: HistoryStore, as_of: AsOf, root: str | None = None, built_in: list[Kpi] | None = None
+) -> tuple[RunSummary, RunSummary]:
+    """The default run: the day, then the previous month, of every report that is due.
+
+    The built-in KPIs (or those given) and those of the SQL files in the directories of ``root`` are one job: they share
+    scans and kept blocks across reports, and one that fails takes no other with it.
+    """
+    files = reports_from_root(src.spark, root) if root else []
+    day = run_day(src, store, as_of, [*(registry.KPIS if built_in is None else built_in), *files])
+    return day, run_month(store, as_of, kpis=files)

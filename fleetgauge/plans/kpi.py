@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetgauge.fixed_values import RESULT_COLUMNS
 
 DAY, MONTH = "day", "month"
-REPORT = "report"
+REPORT, KPI = "report", "kpi"
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ class Measure:
 def result_rows(df: DataFrame, maille_parent: str, measures: list[Measure]) -> DataFrame:
     """Turn one wide row per group (with a ``maille`` column) into one row per KPI.
 
-    The rows follow the result contract and carry the KPI's report besides.
+    The rows follow the result contract and carry the KPI's report and name besides.
     """
     true = F.lit(True)
     columns = [
@@ -52,6 +52,7 @@ def result_rows(df: DataFrame, maille_parent: str, measures: list[Measure]) -> D
             RESULT_COLUMNS[0]: F.lit(m.kpi.indicateur) if m.indicateur is None else m.indicateur,
             RESULT_COLUMNS[1]: F.lit(m.kpi.indicateur_parent) if m.indicateur_parent is None else m.indicateur_parent,
             RESULT_COLUMNS[4]: m.valeur.cast("double"),
+            KPI: F.lit(m.kpi.name),
             REPORT: F.lit(m.kpi.report),
         }
         for m in measures
@@ -71,5 +72,6 @@ def result_rows(df: DataFrame, maille_parent: str, measures: list[Measure]) -> D
         RESULT_COLUMNS[2],
         F.lit(maille_parent).alias(RESULT_COLUMNS[3]),
         RESULT_COLUMNS[4],
+        KPI,
         REPORT,
     )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fleetgauge.functions.time import AsOf
 from fleetgauge.plans import campaigns, compliance, counts, os_mix, quality, support
-from fleetgauge.plans.kpi import REPORT, Kpi
+from fleetgauge.plans.kpi import KPI, REPORT, Kpi
 from fleetgauge.schemas import KPI_RESULT, conform
 from fleetgauge.session import written
 from fleetgauge.sources import sql_kpis
@@ -31,7 +31,7 @@ FAMILIES = {
 KPIS: list[Kpi] = [*compliance.KPIS, *counts.KPIS, *quality.KPIS, *support.KPIS, *os_mix.KPIS, *campaigns.KPIS]
 BY_NAME: dict[str, Kpi] = {k.name: k for k in [*KPIS, *quality.PARITY_KPIS]}
 
-WITH_REPORT = T.StructType([*KPI_RESULT.fields, T.StructField(REPORT, T.StringType())])
+WITH_REPORT = T.StructType([*KPI_RESULT.fields, T.StructField(KPI, T.StringType()), T.StructField(REPORT, T.StringType())])
 
 
 def reports() -> list[str]:
@@ -48,7 +48,7 @@ def kpis_of(report: str) -> list[Kpi]:
 
 
 def compute_with_report(src: Sources, as_of: AsOf, kpis: Iterable[Kpi]) -> DataFrame:
-    """Result rows of ``kpis`` and their report. KPIs of one family share a plan, across reports."""
+    """Result rows of ``kpis``, their report and KPI. KPIs of one family share a plan, across reports."""
     families: dict[str, list[Kpi]] = {}
     for k in kpis:
         families.setdefault(k.family, []).append(k)
@@ -66,9 +66,12 @@ def compute_one(src: Sources, as_of: AsOf, name: str) -> DataFrame:
 
 
 def run_reports(src: Sources, as_of: AsOf, kpis: Iterable[Kpi], keep: Keep = written) -> DataFrame:
-    """Result rows and report of many KPIs. Blocks that several of them read are kept by ``keep``."""
+    """Result rows, report and KPI of many KPIs. Blocks that several of them read are kept by ``keep``.
+
+    Sources that keep blocks already go on with theirs.
+    """
     kpis = list(kpis)
-    shared = src.sharing(keep)
+    shared = src if src.keeps_blocks else src.sharing(keep)
     blocks = quality.shared_blocks(shared, as_of, [k for k in kpis if k.family == quality.FAMILY])
     if not blocks:
         return compute_with_report(src, as_of, kpis)

@@ -50,6 +50,27 @@ KPI_RUN = T.StructType(
     ]
 )
 
+#: A stored fact row also tells which KPI of which report it comes from.
+STORED_FACT = T.StructType(
+    [
+        *[f for f in KPI_FACT.fields if f.name != "date"],
+        T.StructField("kpi", T.StringType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("report", T.StringType()),
+    ]
+)
+
+#: What happened to a KPI's run: how many rows it gave, where they were staged, and a number that grows with time.
+KPI_EVENT = T.StructType(
+    [
+        *KPI_RUN.fields,
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("location", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("month", T.DateType()),
+    ]
+)
+
 
 class ContractError(ValueError):
     """A KPI result lacks a required column or has one that cannot be cast."""
@@ -70,6 +91,8 @@ def conform(df: DataFrame, schema: T.StructType = KPI_RESULT) -> DataFrame:
     for field in schema.fields:
         if isinstance(field.dataType, T.DoubleType):
             ok = isinstance(present[field.name], T.NumericType)
+        elif isinstance(field.dataType, T.LongType):
+            ok = isinstance(present[field.name], T.IntegralType)
         else:
             ok = present[field.name] == field.dataType or isinstance(present[field.name], T.NullType)
         if not ok:

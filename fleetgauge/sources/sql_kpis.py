@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.time import AsOf
-from fleetgauge.plans.kpi import DAY, MONTH, REPORT, Kpi
+from fleetgauge.plans.kpi import DAY, KPI, MONTH, REPORT, Kpi
 from fleetgauge.schemas import conform
 from fleetgauge.sources.tables import Sources
 
@@ -70,7 +70,7 @@ def _kpi(report: str, name: str, text: str) -> Kpi:
 def report_from_directory(spark: SparkSession, directory: str) -> list[Kpi]:
     """KPIs of a report directory, by file name; the report id is the upper-cased directory name."""
     report = directory.rstrip("/").rsplit("/", 1)[-1].upper()
-    if "://" not in directory:
+    if "://" not in directory and not directory.startswith("file:"):
         files = sorted(Path(directory).glob("*.sql"))
         return [_kpi(report, f.stem, f.read_text(encoding="utf-8")) for f in files]
     texts = spark.read.text(directory, wholetext=True, pathGlobFilter="*.sql")
@@ -78,7 +78,21 @@ def report_from_directory(spark: SparkSession, directory: str) -> list[Kpi]:
     return [_kpi(report, r.path.rsplit("/", 1)[-1].removesuffix(".sql"), r.value) for r in rows]
 
 
+def reports_from_root(spark: SparkSession, root: str) -> list[Kpi]:
+    """KPIs of every report directory under ``root``, by report."""
+    root = root.rstrip("/")
+    if "://" not in root and not root.startswith("file:"):
+        directories = [str(d) for d in sorted(Path(root).iterdir()) if d.is_dir()]
+    else:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+        directories = sorted(str(f.getPath()) for f in listed if f.isDirectory())
+    return [k for d in directories for k in report_from_directory(spark, d)]
+
+
 def sql_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     """Result rows of KPIs written as SQL; surplus columns are dropped."""
-    frames = [conform(run_sql(src, k.spec, as_of)).withColumn(REPORT, F.lit(k.report)) for k in kpis]
+    frames = [
+        conform(run_sql(src, k.spec, as_of)).withColumns({KPI: F.lit(k.name), REPORT: F.lit(k.report)}) for k in kpis
+    ]
     return reduce(DataFrame.unionByName, frames)
