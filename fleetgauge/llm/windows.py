@@ -109,7 +109,8 @@ def bodies_of(
     """
     rest = [c for c in bodies.columns if c not in ("k1", "k2", "at")]
     asked = bodies.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", *rest)).alias("asked"))
-    joined = docs.select("k1", "k2", "text").join(asked, ["k1", "k2"]).select("text", "asked")
+    joined = docs.select("k1", "k2", "text").join(asked, ["k1", "k2"])
+    joined = joined.dropDuplicates(["k1", "k2"]).select("text", "asked")  # copies of a row read alike
     schema = bodies.select(*rest).schema.add("data", "binary")
     fields = pa.schema(
         [(f.name, pa.int64() if f.dataType.typeName() == "long" else pa.int32()) for f in schema.fields[:-1]]
@@ -202,8 +203,11 @@ def cuts_from_windows(found: DataFrame, window: int) -> DataFrame:
 
 
 def with_spans(docs: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Every row of ``docs`` with the list of its rows in ``cuts`` (k1, k2, at, n, more, cuts)."""
-    spans = cuts.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "n", "more", "cuts")).alias("spans"))
+    """Every row of ``docs`` with the list of its rows in ``cuts`` (k1, k2, at, n, more, cuts).
+
+    Copies of a row of docs have one key and bring the same cuts, which each gets once.
+    """
+    spans = cuts.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "n", "more", "cuts")).alias("spans"))
     return docs.join(spans, ["k1", "k2"], "left")
 
 

@@ -8,7 +8,7 @@ import textwrap
 import pytest
 from pyspark.sql import functions as F
 
-from fleetgauge.llm import licences, minhash, phrase_index, reference_parse, suffix_repeats
+from fleetgauge.llm import licences, minhash, phrase_index, reference_parse, suffix_repeats, windows
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nü", "zr") for b in ("st", "en", "ar", "ol")]
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -233,3 +233,20 @@ def test_digests_of_queries(spark, tmp_path):
     assert (rows[1].n_words, rows[1].n_hit, rows[1].n_items, rows[1].contaminated) == (13, 13, 2, True)
     assert rows[1].items_sha256 == hashlib.sha256(b"10,9").hexdigest()
     assert (rows[2].n_words, rows[2].contaminated, rows[2].items_sha256) == (0, False, hashlib.sha256(b"").hexdigest())
+
+
+def test_repeated_rows_cost_in_proportion(docs_of, monkeypatch):
+    """Copies of a row, with or without id: each carries its own spans, not those of all copies."""
+    text = " ".join(f"word{i} of a longer text" for i in range(60))
+    for module, run in ((suffix_repeats, suffix_repeats.remove_repeats), (reference_parse, reference_parse.remove_copied)):
+        entries = {}
+        for copies in (50, 400):
+            seen = []
+            with_spans = windows.with_spans
+            monkeypatch.setattr(module, "with_spans", lambda docs, cuts, f=with_spans, s=seen: s.append(f(docs, cuts)) or s[0])
+            rows = [(None, text)] * copies + [(3, text), (None, text + " and an end of its own")] + [(7, text)] * copies
+            out = run(docs_of(rows)).collect()
+            assert len(out) == len(rows) and {r.n_removed > 0 for r in out if r.doc_id == 7} == {True}
+            entries[copies] = sum(len(r.spans or []) for r in seen[0].select("spans").collect())
+            monkeypatch.undo()
+        assert entries[400] <= 9 * entries[50]
