@@ -98,8 +98,8 @@ def score(
     depth: int = 4,
 ) -> DataFrame:
     """For every row: doc_id, held_out, score and predicted."""
-    scored = with_score(docs, labels, id_col, text_col, label_col, label_id_col, max_training, trees, depth)
-    doc_id = F.col(f"`{id_col}`").cast("long")
+    scored = with_row(docs, labels, id_col, text_col, label_col, label_id_col, max_training, trees, depth)
+    doc_id = F.col(f"row.`{id_col}`").cast("long")
     return scored.select(
         doc_id.alias("doc_id"),
         F.coalesce(fold(doc_id) == 0, F.lit(False)).alias("held_out"),
@@ -119,12 +119,29 @@ def with_score(
     trees: int = 20,
     depth: int = 4,
 ) -> DataFrame:
-    """``docs``, all columns, with the column ``SCORE``."""
+    """``docs``, all columns, with the column ``SCORE``; a column of that name in ``docs`` gives way to it."""
+    scored = with_row(docs, labels, id_col, text_col, label_col, label_id_col, max_training, trees, depth)
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() != SCORE]
+    return scored.select(*kept, SCORE)
+
+
+def with_row(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    label_id_col: str = "doc_id",
+    max_training: int = MAX_TRAINING,
+    trees: int = 20,
+    depth: int = 4,
+) -> DataFrame:
+    """Each row of ``docs`` as the struct ``row``, and its ``SCORE``: so no column of the input can clash."""
     scratch = Scratch(docs.sparkSession, "toxicity")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     model = _train(texts, _labelled(labels, label_id_col, label_col), max_training, trees, depth, scratch)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    return model.apply(features(rows, model.lexicon)).select("row.*", F.col("score").alias(SCORE))
+    return model.apply(features(rows, model.lexicon)).select("row", F.col("score").alias(SCORE))
 
 
 def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
@@ -164,8 +181,13 @@ def _train(texts, labelled, max_training, trees, depth, scratch) -> Model:
     step = 1 << 20
     sampled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) < step * min(1.0, max_training / max(1, n)))
     # at most about max_training rows of two numbers
-    rows = texts.join(F.broadcast(sampled), "doc_id").groupBy("doc_id", F.xxhash64("text").alias("key"))
-    rows = scratch.keep(rows.agg(F.first("text").alias("text"), F.max("y").alias("y")), "training")
+    rows = texts.join(F.broadcast(sampled), "doc_id").withColumn("key", F.xxhash64("text"))
+    # one id may have any number of texts, so texts are counted, and bounded, too
+    n_texts = rows.select("doc_id", "key").distinct().count()
+    if n_texts > max_training:
+        rows = rows.where(F.pmod(F.xxhash64("key", "doc_id"), F.lit(step)) < step * (max_training / n_texts))
+    rows = rows.groupBy("doc_id", "key").agg(F.first("text").alias("text"), F.max("y").alias("y"))
+    rows = scratch.keep(rows, "training")
     half = F.pmod(fold(F.col("doc_id")), F.lit(2))
     counts = rows.groupBy(half.alias("half"), "y").agg(F.count("*").alias("n")).collect()  # four rows at most
     by_half = [{r.y: r.n for r in counts if r.half == i} for i in (0, 1)]

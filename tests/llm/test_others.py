@@ -256,3 +256,18 @@ def test_pipeline(spark, tmp_path, labelled):
     coded = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path))
     assert coded.where(~F.col("round_trip")).count() == 0
     assert coded.select("doc_id").distinct().count() == len(clean)
+
+
+def test_training_rows_are_bounded_and_columns_may_clash(spark, monkeypatch):
+    """One labelled id on most texts does not make them all training rows; the input may have a column of any name."""
+    rng = random.Random(4)
+    rows = [(1, f"text {i} {rng.random()}", i, 0.5) for i in range(3000)] + [(i, f"you stupid idiot {i}", 3, 0.1) for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, row int, Toxicity_Score double")
+    labels = spark.createDataFrame([(i, int(i > 1)) for i in range(1, 40)], "doc_id int, toxic int")
+    kept = []
+    keep = Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, name, **kw: kept.append((name, keep(self, df, name, **kw))) or kept[-1][1])
+    scored = toxicity.with_score(docs, labels, max_training=50)
+    assert scored.columns == ["doc_id", "text", "row", toxicity.SCORE] and scored.count() == len(rows)
+    assert dict(kept)["training"].count() <= 100
+    assert toxicity.score(docs, labels, max_training=50).columns == ["doc_id", "held_out", "score", "predicted"]
