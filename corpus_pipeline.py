@@ -16,8 +16,8 @@ from fleetgauge.llm.scratch import Scratch
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
-    scored = toxicity.with_score(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col(toxicity.SCORE) < 0.5).select(*(f"`{c}`" for c in docs.columns))
+    scored = toxicity.with_row(docs, table(spark, sf_dir, "labels"))
+    return scored.where(F.col(toxicity.SCORE) < 0.5).select(*(F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +28,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its text without strings of 200 bytes that stand elsewhere, whole characters only.
 
-    A null text becomes empty; ``n_chars`` follows the text.
+    A null text becomes empty; ``n_chars`` follows the text. All columns keep their types.
     """
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
     cut = suffix_repeats.remove_repeats(docs, whole_chars=True, carry=others)
-    cut = cut.withColumn("text", F.col("kept").cast("string"))
-    values = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return cut.select(*(values.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns))
+    text = F.col("kept").cast("string")
+    values = {"text": text} | {f.name: F.length(text).cast(f.dataType) for f in docs.schema if f.name == "n_chars"}
+    return cut.select(*(values[c].alias(c) if c in values else F.col(f"carried.`{c}`") for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
