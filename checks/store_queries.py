@@ -322,11 +322,12 @@ def _(src):
     return stored(change, averages)(src)
 
 
-def month_of(report: str, label: Column) -> Build:
+def month_of(report: str, label: Callable[[], Column]) -> Build:
     """The monthly fact of one report, by the definition it has, over the history under other labels."""
 
     def build(src: Sources) -> DataFrame:
-        rows = by_month(src).withColumn("indicateur", label).withColumns({"report": F.lit(report), "kpi": label})
+        rows = by_month(src).withColumn("indicateur", label())
+        rows = rows.withColumns({"report": F.lit(report), "kpi": F.col("indicateur")})
         store = load(new_store(src.spark), rows)
         try:
             summary = jobs.run_month(store, TODAY, [report])
@@ -339,7 +340,7 @@ def month_of(report: str, label: Column) -> Build:
     return build
 
 
-register("job_month_labelled", _AVERAGE)(month_of("R031", F.col("indicateur")))
+register("job_month_labelled", _AVERAGE)(month_of("R031", lambda: F.col("indicateur")))
 
 _OS_LABEL = "nombre de postes avec OS "
 register(
@@ -350,7 +351,7 @@ register(
     # three of the five labels are such as the report's pattern asks for
     month_of(
         "R035",
-        F.when(
+        lambda: F.when(
             F.substring("indicateur", 8, 1).isin("1", "2", "3"),
             F.replace("indicateur", F.lit("orders "), F.lit(_OS_LABEL)),
         ).otherwise(F.col("indicateur")),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import account_or_excluded, joined_list, key_part, norm_key
 from fleetgauge.functions.time import AsOf, day_age
-from fleetgauge.operators.dedupe import latest_per_key, newest_first, tie_break
+from fleetgauge.operators.dedupe import latest_narrow, latest_per_key, newest_first, tie_break, tied_keys
 from fleetgauge.sources.tables import Sources
 
 
@@ -35,18 +35,29 @@ REGISTER_COLUMNS = ("owner_id", "resp_id", "network", "manufacturer", "mac", "os
 def agent_latest(src: Sources, columns: Iterable[str] = tuple(AGENT_COLUMNS)) -> DataFrame:
     """Latest agent record per host with the derived ``columns``.
 
-    Ties between records of one scan are broken by all agent columns, whichever are asked for,
-    so that a KPI has one value alone and in company. A kept block has all columns.
+    Ties between records of one scan are broken by all agent columns, whichever are asked for, so that a KPI has one
+    value alone and in company; but where no host has any, as is measured once, the others are not read. A kept block
+    has all columns.
     """
     columns = tuple(AGENT_COLUMNS) if src.keeps_blocks else tuple(sorted(set(columns)))
     return src.block(f"agent_latest_{'_'.join(columns)}", lambda: _agent_latest(src, columns))
 
 
+def _agent_ties(src: Sources) -> DataFrame | None:
+    """Hosts with several records of the latest scan and sequence, if there are any."""
+    tied = tied_keys(src.agent_inventory, ["host"], "last_scan")
+    return None if tied.isEmpty() else tied
+
+
 def _agent_latest(src: Sources, columns: tuple[str, ...]) -> DataFrame:
     sequence = [c for c in ("seq", "seq2") if c in src.agent_inventory.columns]
     known = [c for c in AGENT_COLUMNS.values() if c in src.agent_inventory.columns]
-    raw = dict.fromkeys(["host", "last_scan", *sequence, *known])
-    latest = latest_per_key(src.agent_inventory.select(*raw), ["host"], "last_scan")
+    raw = src.agent_inventory.select(*dict.fromkeys(["host", "last_scan", *sequence, *known]))
+    wanted = list(dict.fromkeys(AGENT_COLUMNS[c] for c in columns))
+    if set(known) <= {*wanted, "host", "last_scan"}:
+        latest = latest_per_key(raw, ["host"], "last_scan")
+    else:
+        latest = latest_narrow(raw, ["host"], "last_scan", wanted, src.known("agent_ties", lambda: _agent_ties(src)))
     user = F.upper(key_part("top_user", "-", 1))
     derived = {
         "top_user": user,

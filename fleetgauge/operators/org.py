@@ -61,16 +61,13 @@ def org_single(org: DataFrame, key: Column, levels: tuple[str, ...] = fv.ORG_LEV
     )
 
 
-_NULL_SPREAD = 256
-
-
 def left_join_spread(rows: DataFrame, right: DataFrame, key: str, right_key: str, spread_by: Sequence[str]) -> DataFrame:
     """Left join on one key, without its right column.
 
     Rows without a key never match, yet would all hash to one task. A second join key, taken
-    from the columns ``spread_by`` for them and 0 for everybody else, spreads them.
+    from the columns ``spread_by`` for them and 0 for everybody else, spreads them over all tasks.
     """
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(_NULL_SPREAD)))
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*spread_by))
     rows = rows.withColumn("_spread", F.coalesce(spread, F.lit(0)))
     right = right.withColumn("_zero", F.pmod(F.xxhash64(right_key), F.lit(1)))
     on = (F.col(key) == F.col(right_key)) & (F.col("_spread") == F.col("_zero"))

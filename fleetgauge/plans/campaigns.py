@@ -11,6 +11,7 @@ from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import first_paren_code, is_connected
 from fleetgauge.functions.time import AsOf, days_after_is_now
 from fleetgauge.operators.org import org_dimension, org_weights, with_paths
+from fleetgauge.operators.skew import heavy_keys
 from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
@@ -74,10 +75,6 @@ def campaign_membership(src: Sources, as_of: AsOf) -> DataFrame:
     )
 
 
-# parts into which the hosts of one campaign are split where campaigns are attached to them
-_CAMPAIGN_SPREAD = 256
-
-
 def _reported_campaigns(src: Sources, as_of: AsOf) -> DataFrame:
     """Campaigns per (group, type) and milestone, without those between two milestones."""
     between = [mark for mark, _ in fv.CAMPAIGN_MILESTONES]
@@ -97,16 +94,14 @@ def _members(src: Sources, as_of: AsOf, aggregates: list[Column]) -> tuple[DataF
     """Campaign hosts and register records, each counted per host, hosts restricted to recent scans.
 
     Hosts are reduced while the host still deals them out, and come with the label of every
-    reported campaign they are in. A campaign may hold the whole fleet: its hosts are split by a
-    second join key, for which the short list of campaigns is repeated.
+    reported campaign they are in. A campaign may hold the whole fleet: the hosts of those that
+    hold many are split by a second join key, for which these campaigns are repeated.
     """
-    spread = F.sequence(F.lit(0).cast("long"), F.lit(_CAMPAIGN_SPREAD - 1).cast("long"))
-    reported = _reported_campaigns(src, as_of).withColumn("part", F.explode(spread))
+    targeted = src.campaign_hosts.filter(F.col("kind") == fv.CAMPAIGN_KIND)
+    heavy = src.known("heavy_campaigns", lambda: heavy_keys(targeted, ["grp", "type"]))
+    reported = heavy.repeated(_reported_campaigns(src, as_of))
     hosts = (
-        src.campaign_hosts.filter(F.col("kind") == fv.CAMPAIGN_KIND)
-        .groupBy("host", "grp", "type")
-        .agg(*aggregates)
-        .withColumn("part", F.pmod(F.xxhash64("host"), F.lit(_CAMPAIGN_SPREAD)))
+        heavy.split(targeted.groupBy("host", "grp", "type").agg(*aggregates), ["host"])
         .join(reported, ["grp", "type", "part"], "inner")
         .withColumn("campaign", F.concat("grp", F.lit(" - "), "type"))
         .drop("grp", "type", "part")

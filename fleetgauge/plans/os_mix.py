@@ -18,6 +18,7 @@ from fleetgauge.functions.text import (
 )
 from fleetgauge.functions.time import AsOf
 from fleetgauge.operators.org import with_paths
+from fleetgauge.operators.skew import heavy_keys
 from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
@@ -84,8 +85,6 @@ def with_support_class(rows: DataFrame, src: Sources) -> DataFrame:
     return rows.join(classes, key == classes.support_key, "left")
 
 
-# parts into which the hosts of one OS are split where its attributes are attached to them
-_OS_SPREAD = 256
 _REFERENCE, _SUPPORT = "reference", "support"
 
 
@@ -93,8 +92,9 @@ def with_os_attributes(rows: DataFrame, src: Sources, kinds: list[str]) -> DataF
     """One row per entry of the OS reference and per support class, told apart by ``kind``.
 
     The few pairs of OS name and build are looked up, not the register; one OS may be on most
-    hosts, so its hosts are split by a second join key, for which the pairs are repeated.
+    hosts: the hosts of such a one are split by a second join key, for which its pair is repeated.
     """
+    heavy = src.known("heavy_os", lambda: heavy_keys(src.assets_os, ["os_name", "os_build"]))
     pairs = src.assets_os.select("os_name", "os_build").distinct()
     null = F.lit(None).cast("string")
     found = {
@@ -105,12 +105,11 @@ def with_os_attributes(rows: DataFrame, src: Sources, kinds: list[str]) -> DataF
     }
     columns = ["name", "edition", "commercial_version", "support"]
     keys = [F.col("os_name").alias("pair_name"), F.col("os_build").alias("pair_build")]
-    parts = [found[k]().select(*keys, F.lit(k).alias("kind"), *columns) for k in kinds]
-    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_OS_SPREAD - 1).cast("long")))
-    attributes = reduce(DataFrame.unionByName, parts).withColumn("pair_part", spread)
-    part = F.pmod(F.xxhash64("tag", "owner_id"), F.lit(_OS_SPREAD))
+    parts = [heavy.repeated(found[k](), "pair_part").select(*keys, "pair_part", F.lit(k).alias("kind"), *columns) for k in kinds]
+    attributes = reduce(DataFrame.unionByName, parts)
     same = F.col("os_name").eqNullSafe(F.col("pair_name")) & F.col("os_build").eqNullSafe(F.col("pair_build"))
-    joined = rows.withColumn("part", part).join(attributes, same & (F.col("part") == F.col("pair_part")), "inner")
+    rows = heavy.split(rows, ["tag", "owner_id"])
+    joined = rows.join(attributes, same & (F.col("part") == F.col("pair_part")), "inner")
     return joined.drop("part", "pair_part", "pair_name", "pair_build")
 
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any, TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
+T = TypeVar("T")
+
 # writes a frame under a name and gives it back without its lineage
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -26,11 +29,19 @@ class Sources:
         self._frames: dict[str, DataFrame] = {}
         self._keep: Keep | None = None
         self._blocks: dict[str, DataFrame] = {}
+        self._known: dict[str, Any] = {}
+
+    def known(self, name: str, measure: Callable[[], T]) -> T:
+        """Something small that is measured on the tables once, such as which keys are frequent."""
+        if name not in self._known:
+            self._known[name] = measure()
+        return self._known[name]
 
     def sharing(self, keep: Keep) -> Sources:
         """The same tables, with every block kept by ``keep`` when it is first used."""
         shared = Sources(self.spark, {n: (lambda n=n: self[n]) for n in self._loaders})
         shared._keep = keep
+        shared._known = self._known
         return shared
 
     @property

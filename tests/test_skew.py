@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fleetgauge.operators.dedupe import latest_narrow, latest_per_key, tied_keys
+from fleetgauge.operators.skew import heavy_keys
 from fleetgauge.plans.registry import BY_NAME, compute
 from fleetgauge.session import JOB_SETTINGS, settings
 from fleetgauge.sources.fixtures import AS_OF
@@ -91,3 +93,41 @@ def test_sql_kpis_leave_the_session_as_it_was(spark):
         assert df.first().n > 0
     finally:
         spark.catalog.dropTempView("people")
+
+
+def test_heavy_keys_are_measured(spark):
+    """Only what holds many rows is split, in proportion; keys may be null; the join is the plain one."""
+    third = F.col("id") % 3 == 0
+    rows = spark.range(30_000).select(
+        "id",
+        F.when(third, "hot").when(F.col("id") % 30 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 5_000)).alias("a"),
+        F.when(third, 1).otherwise(F.col("id") % 7).alias("b"),
+    )
+    entries = rows.select("a", "b").distinct().withColumn("label", F.concat_ws("-", "a", "b"))
+    heavy = heavy_keys(rows, ["a", "b"], spread=120)
+    assert max(heavy.parts.values()) == 40 and len(heavy.parts) == 1
+    repeated = heavy.repeated(entries)
+    assert repeated.count() == entries.count() + 39
+    split = heavy.split(rows, ["id"])
+    assert split.filter("a = 'hot'").select("part").distinct().count() == 40
+    assert split.filter("a <> 'hot' OR a IS NULL").select("part").distinct().collect()[0].part == 0
+    on = lambda l, r, *more: [l.a.eqNullSafe(r.a), l.b == r.b, *more]
+    got = split.join(repeated, on(split, repeated, split.part == repeated.part)).select("id", "label")
+    wanted = rows.join(entries, on(rows, entries)).select("id", "label")
+    assert got.count() == wanted.count() == 30_000 and got.exceptAll(wanted).isEmpty()
+    nothing = heavy_keys(rows.limit(0), ["a", "b"])
+    assert nothing.parts == {} and nothing.repeated(entries).count() == entries.count()
+
+
+def test_latest_rows_are_found_without_the_columns_that_break_ties(spark):
+    """The same rows as by all columns, ties and null times and keys included; only tied keys are read in full."""
+    data = [(k, None if i % 5 == 0 else i % 4, i % 2, f"x{(i * 7) % 11}", f"y{(i * 5) % 13}") for i in range(200) for k in ("a", None, f"k{i % 30}")]
+    df = spark.createDataFrame(data, "k string, t int, seq int, x string, y string")
+    df = df.withColumn("ts", F.make_date(F.lit(2024), F.lit(1), F.col("t") + 1)).drop("t")
+    for frame in (df, df.drop("seq"), df.withColumn("seq", F.monotonically_increasing_id())):
+        frame = spark.createDataFrame(frame.collect(), frame.schema)
+        tied = tied_keys(frame, ["k"], "ts")
+        assert tied.isEmpty() == (frame.schema["seq"].dataType.typeName() == "long" if "seq" in frame.columns else False)
+        wanted = latest_per_key(frame, ["k"], "ts").select("k", "ts", "y")
+        got = latest_narrow(frame, ["k"], "ts", ["y"], None if tied.isEmpty() else tied)
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
