@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a stretch of ``BLOCK_WORDS`` words of a text, every half stretch, across line breaks: so every half stretch
-of words in a row is within a block, such as a notice wrapped over several lines. A template
+A block is a stretch of words of a text, every half stretch, across line breaks: so every half stretch of words in a
+row is within a block, such as a notice wrapped over several lines. Its length follows from the templates: each is
+looked for in blocks of at least twice its own length, of ``BLOCK_WORDS`` words or that doubled as often as it takes.
+So whole license texts are found as well as short notices, whose words are not collected over pages. A template
 is found in a block that has at least ``threshold`` of the template's different words and all its names: words that
 stand consecutively and tell its license from others of like wording, each name in one of its forms. A name belongs to
 the block that has its first word. The join looks at few blocks:
@@ -74,6 +76,48 @@ TEMPLATES = (
         "the following conditions are met",
     ),
 )
+FULL_TEXTS = (
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without '
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS '
+        "OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+        "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+        "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        ("deal in the software",),
+    ),
+    (
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        'CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED '
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+        "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+        "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+        "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
+        'SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING '
+        "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        ("distribute this software",),
+    ),
+)
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -104,7 +148,7 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     phrases: Sequence[tuple[str, str]] = PHRASES,
-    templates: Sequence[tuple] = TEMPLATES,
+    templates: Sequence[tuple] = TEMPLATES + FULL_TEXTS,
     threshold: float = THRESHOLD,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
@@ -122,13 +166,16 @@ def scan(
     sets = [x for x in sets if x[1]]
     vocabulary = sorted({w for _, words, _ in sets for w in words})
     forms = sorted({form for *_, names in sets for name in names for form in name})
+    lengths = [_block_length(len(split(text)), block_words) for _, text, *_ in templates if split(text)]
+    levels = sorted(set(lengths))
     rank = _ranks(texts, vocabulary)
     rank_of_form = {form: len(vocabulary) + i for i, form in enumerate(forms)}
+    rank_of_level = {length: len(vocabulary) + len(forms) + i for i, length in enumerate(levels)}
     rows = []
     for t, (label, words, names) in enumerate(sets):
         ranks = sorted(rank[w] for w in words)
         need = math.ceil(threshold * len(ranks) - 1e-9)
-        named = [[rank_of_form[form] for form in name] for name in names]
+        named = [[rank_of_form[form] for form in name] for name in names] + [[rank_of_level[lengths[t]]]]
         prefix = enumerate(ranks[: len(ranks) - need + 1])
         rows += [(r, t, label, i, len(ranks), need, ranks, named) for i, r in prefix]
     index = spark.createDataFrame(
@@ -136,9 +183,13 @@ def scan(
     )
 
     least = min((r[5] for r in rows), default=0)
-    first_ranks = np.array(sorted({r[0] for r in rows}), dtype=np.int64)
+    asked = []  # for each length of blocks: its mark, the words one of which a block needs, and how many it needs
+    for length in levels:
+        of_level = [r for r in rows if lengths[r[1]] == length]
+        first_ranks = np.array(sorted({r[0] for r in of_level}), dtype=np.int64)
+        asked.append((length, rank_of_level[length], first_ranks, min(r[5] for r in of_level)))
     order = np.array([rank[w] for w in vocabulary], dtype=np.int64)
-    found = _scanned(texts, phrases, vocabulary, forms, order, first_ranks, least, block_words)
+    found = _scanned(texts, phrases, vocabulary, forms, order, asked)
 
     blocks = found.where("size(blocks) > 0").select("doc_id", "key", F.explode("blocks").alias("block"))
     starts = F.slice("block", F.lit(1), F.size("block") - F.lit(least - 1))
@@ -173,6 +224,13 @@ def scan(
     )
 
 
+def _block_length(words: int, block_words: int) -> int:
+    """``block_words``, doubled until it holds a template of so many words twice."""
+    while block_words < 2 * words:
+        block_words *= 2
+    return block_words
+
+
 def _ranks(texts: DataFrame, vocabulary: list[bytes]) -> dict[bytes, int]:
     """Each word's place in the order of frequency in the corpus, the rarest at 0."""
     hashes = hash_words(vocabulary)
@@ -211,13 +269,11 @@ def _places(seen: np.ndarray, first: np.ndarray, phrases: list[np.ndarray]) -> t
     return where[by_place], which[by_place]
 
 
-def _scanned(texts, phrases, vocabulary, forms, ranks, first_ranks, least, block_words) -> DataFrame:
-    """Phrase places of every text, and the blocks that pass the filters on a block alone."""
+def _scanned(texts, phrases, vocabulary, forms, ranks, asked) -> DataFrame:
+    """Phrase places of every text, and the blocks of each length that pass the filters on a block alone."""
     by_hash = np.argsort(hash_words(vocabulary))
     hashes, ranks = hash_words(vocabulary)[by_hash], ranks[by_hash]
-    n_ranks, half = len(vocabulary), block_words // 2
-    starts_here = np.zeros(n_ranks + len(forms) + 1, dtype=bool)
-    starts_here[first_ranks] = True
+    n_ranks = len(vocabulary)
     phrase_hashes = [hash_words(split(phrase)) for phrase, _ in phrases]
     form_hashes = [hash_words(form) for form in forms]
 
@@ -233,32 +289,22 @@ def _scanned(texts, phrases, vocabulary, forms, ranks, first_ranks, least, block
             first, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
             first[some] = where[cut[:-1][some]] - words.first[:-1][some]
             last[some] = where[cut[1:][some] - 1] - words.first[:-1][some]
-            # blocks: (text, stretch) with the ranks of its words
+            # what templates are made of: where it stands in which text
             slot = np.minimum(np.searchsorted(hashes, seen), max(0, len(hashes) - 1))
             known = np.flatnonzero(hashes[slot] == seen) if len(hashes) else np.zeros(0, np.int64)
             word_rank = ranks[slot[known]]
             at, form = _places(seen, words.first, form_hashes)
             known, word_rank = np.append(known, at), np.append(word_rank, n_ranks + form)
             text = np.searchsorted(words.first, known, side="right") - 1
-            stretch = (known - words.first[text]) // half
-            both = [np.append(x, x[stretch > 0]) for x in (text, word_rank)]
-            block = np.append(stretch, stretch[stretch > 0] - 1)
-            order = np.lexsort((both[1], block, both[0]))
-            text, word_rank, block = both[0][order], both[1][order], block[order]
-            new = np.append(True, (np.diff(text) != 0) | (np.diff(block) != 0))[: len(text)]
-            once = new | np.append(True, np.diff(word_rank) != 0)[: len(text)]
-            text, word_rank, new = text[once], word_rank[once], new[once]
-            head = np.flatnonzero(new)
-            size = np.diff(np.append(head, len(text)))
-            good = size >= least
-            if len(head):
-                good &= np.logical_or.reduceat(starts_here[word_rank], head)
-            stays = np.repeat(good, size)
-            lists = pa.ListArray.from_arrays(
-                np.append(0, np.cumsum(size[good])).astype(np.int32), pa.array(word_rank[stays].astype(np.int32))
-            )
+            place = known - words.first[text]
+            found = [_blocks(text, place, word_rank, *level) for level in asked]
+            empty = np.zeros(0, np.int64)
+            text, size, word_rank = (np.concatenate([empty, *(f[i] for f in found)]) for i in range(3))
+            ends = np.append(0, np.cumsum(size))
+            order = np.argsort(text, kind="stable")
+            lists = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(word_rank.astype(np.int32)))
             blocks = pa.ListArray.from_arrays(
-                np.searchsorted(text[head[good]], np.arange(n + 1)).astype(np.int32), lists
+                np.searchsorted(text[order], np.arange(n + 1)).astype(np.int32), lists.take(pa.array(order))
             )
             yield record_batch(
                 _SCAN,
@@ -274,3 +320,26 @@ def _scanned(texts, phrases, vocabulary, forms, ranks, first_ranks, least, block
             )
 
     return texts.mapInArrow(rows, SCAN_SCHEMA)
+
+
+def _blocks(text: np.ndarray, place: np.ndarray, rank: np.ndarray, length: int, mark: int, first_ranks: np.ndarray, least: int):
+    """Text, size and ranks of the blocks of one length that hold ``least`` different ranks, one of ``first_ranks``.
+
+    A block's ranks rise and end with the mark of its length.
+    """
+    half = length // 2
+    stretch = place // half
+    both = [np.append(x, x[stretch > 0]) for x in (text, rank)]
+    block = np.append(stretch, stretch[stretch > 0] - 1)
+    order = np.lexsort((both[1], block, both[0]))
+    text, rank, block = both[0][order], both[1][order], block[order]
+    new = np.append(True, (np.diff(text) != 0) | (np.diff(block) != 0))[: len(text)]
+    once = new | np.append(True, np.diff(rank) != 0)[: len(text)]
+    text, rank, new = text[once], rank[once], new[once]
+    head = np.flatnonzero(new)
+    size = np.diff(np.append(head, len(text)))
+    good = size >= least
+    if len(head):
+        good &= np.logical_or.reduceat(np.isin(rank, first_ranks), head)
+    ends = np.cumsum(size[good])
+    return text[head[good]], size[good] + 1, np.insert(rank[np.repeat(good, size)], ends, mark)

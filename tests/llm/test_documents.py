@@ -250,3 +250,50 @@ def test_repeated_rows_cost_in_proportion(docs_of, monkeypatch):
             entries[copies] = sum(len(r.spans or []) for r in seen[0].select("spans").collect())
             monkeypatch.undo()
         assert entries[400] <= 9 * entries[50]
+
+
+def plain_labels(text, templates, threshold=0.8, block_words=100):
+    """Labels of a text by looking at every block for every template."""
+    words = [w.encode() for w in ALNUM.findall(low(text))]
+    found, best = set(), 0.0
+    for label, notice, *names in templates:
+        listed = licences.split(notice)
+        length = block_words
+        while length < 2 * len(listed):
+            length *= 2
+        wanted = set(listed)
+        for at in range(0, max(1, len(words)), length // 2):
+            block = words[at : at + length]
+            starts = lambda form, at=at, block=block: any(words[at + i : at + i + len(form)] == form for i in range(len(block)))
+            named = all(any(starts(licences.split(form)) for form in name) for name in names)
+            share = len(wanted & set(block)) / len(wanted)
+            if named and len(wanted & set(block)) >= threshold * len(wanted) - 1e-9:
+                found.add(label)
+                best = max(best, share)
+    return found, best
+
+
+def test_licenses_by_looking_at_every_block(docs_of):
+    """Whole license texts, wrapped, cut, changed and mixed with prose, and short notices among long ones."""
+    rng, templates = random.Random(8), licences.TEMPLATES + licences.FULL_TEXTS
+    prose = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    rows = []
+    for _, notice, *_ in templates:
+        words = notice.split()
+        rows += [notice, f"{prose(130)} {textwrap.fill(notice, 60)}\n{prose(90)}", " ".join(words[: len(words) * 6 // 10])]
+        rows.append(" ".join(w for w in words if rng.random() < 0.85) + " " + prose(40))
+        rows.append(" ".join(rng.choice(WORDS) if rng.random() < 0.2 else w for w in words))
+        rows.append(prose(30).join(words[i : i + 40] and " ".join(words[i : i + 40]) for i in range(0, len(words), 40)))
+    everything = " ".join(t[1] for t in templates).split()
+    rows += [" ".join(rng.choice(everything) for _ in range(n)) for n in (50, 150, 400, 900)] + [None, "", prose(5000)]
+    docs = docs_of(list(enumerate(rows)))
+    got = {r.doc_id: r for r in licences.scan(docs).collect()}
+    seen = set()
+    for i, text in enumerate(rows):
+        labels, share = plain_labels(text, templates)
+        assert set(got[i].labels) == labels | set(got[i].base_labels), (i, text and text[:80])
+        places = [len(re.findall(f"(?={p})", " ".join(["", *ALNUM.findall(low(text)), ""]))) for p in (f" {p} " for p, _ in licences.PHRASES)]
+        assert got[i].n_base == sum(places)
+        assert abs(got[i].score - (1.0 if sum(places) else share)) < 1e-9
+        seen |= labels
+    assert seen == {t[0] for t in templates}
