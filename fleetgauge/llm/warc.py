@@ -6,15 +6,16 @@ file, with both digests. Of pages with one payload, the one of smallest id is th
 are revisits that refer to it. Payloads below ``min_bytes`` are not shared: all of them are responses.
 
 Rebuilding joins headers with payloads on both digests; both digests of what the join gives are compared with
-the header's. Equal payloads are reduced before they are shuffled, and the join sees pages, not pairs of pages.
+the header's. What a record is and refers to is read from its header. Equal payloads are reduced before they are shuffled, and the join sees pages, not pairs of pages.
 
-Defined cases: a null payload is empty; a null URL is left out of the header; a page without id comes after all others
+Defined cases: a null payload is empty; a null URL is left out of the header, and line breaks in one are escaped; a page without id comes after all others
 and refers to a response without id only if no page of its payload has an id; rows that repeat the smallest id are all
 responses.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from .scratch import Scratch, free_shuffles
 
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Header lines beside those of the standard, which allows for more.
+PAGE_ID, REFERS_TO_PAGE, STRONG_DIGEST = "Page-ID", "Refers-To-Page-ID", "Payload-SHA256"
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -48,8 +51,10 @@ def write(
     url_col: str = "url",
     payload_col: str = "html",
     min_bytes: int = 0,
+    date: dt.datetime | None = None,
 ) -> Archive:
-    """Archive a record for every row of ``pages``."""
+    """Archive a record for every row of ``pages``, dated ``date`` (UTC), by default now."""
+    date = date or dt.datetime.now(dt.UTC)
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).cast("binary")
     pages = pages.select(
         F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"), payload.alias("payload")
@@ -66,7 +71,7 @@ def write(
     headers = headers.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("first_id")))
     headers = scratch.keep(
         headers.select(
-            "page_id", "sha1", "sha256", "size", "record_type", "refers_to", _header().alias("header")
+            "sha1", "sha256", "size", _header(date).alias("header")
         ),
         "headers",
     )
@@ -84,7 +89,12 @@ def _record_id(page_id: Column, sha1: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def _header() -> Column:
+def _escaped(url: Column) -> Column:
+    """A URL that stays on its line."""
+    return F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
+def _header(date: dt.datetime) -> Column:
     """A record's header lines, the empty line after them included."""
     revisit = F.col("record_type") == "revisit"
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value)
@@ -94,22 +104,46 @@ def _header() -> Column:
         F.lit("WARC/1.1"),
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("sha1"))),
-        line("WARC-Target-URI", F.col("url")),  # concat_ws leaves out nulls
+        line("WARC-Date", F.lit(date.strftime("%Y-%m-%dT%H:%M:%SZ"))),
+        line("WARC-Target-URI", _escaped(F.col("url"))),  # concat_ws leaves out nulls
+        line(PAGE_ID, F.col("page_id").cast("string")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "sha1")),
+        line(STRONG_DIGEST, F.col("sha256")),
         F.when(revisit, line("WARC-Profile", F.lit(REVISIT_PROFILE))),
         F.when(revisit, line("WARC-Refers-To", _record_id(F.col("refers_to"), F.col("sha1")))),
+        F.when(revisit, line(REFERS_TO_PAGE, F.col("refers_to").cast("string"))),
         line("Content-Length", length),
     )
     return F.concat(lines, F.lit("\r\n\r\n")).cast("binary")
 
 
+def _field(name: str) -> Column:
+    """The value of a header line, null without one."""
+    value = F.regexp_extract(F.col("header").cast("string"), f"\r\n{name}: ([^\r\n]*)\r\n", 1)
+    return F.nullif(value, F.lit(""))
+
+
 def read(archive: Archive) -> DataFrame:
-    """Every record: page_id, header, record_type, refers_to, payload (also of revisits), and whether it verifies."""
+    """Every record: page_id, header, record_type, refers_to, payload (also of revisits), and whether it verifies.
+
+    Ids and type are those that the header states. A record verifies if the payload that its digests led to has them,
+    and the size, and if they are the header's.
+    """
     records = archive.headers.join(archive.payloads, ["sha1", "sha256"])
     verified = (base32_sha1(F.col("payload")) == F.col("sha1")) & (F.octet_length("payload") == F.col("size"))
     verified &= F.sha2("payload", 256) == F.col("sha256")
-    return records.select("page_id", "header", "record_type", "refers_to", "sha1", "payload", verified.alias("verified"))
+    verified &= _field("WARC-Payload-Digest").eqNullSafe(F.concat(F.lit("sha1:"), "sha1"))
+    verified &= _field(STRONG_DIGEST).eqNullSafe(F.col("sha256"))
+    return records.select(
+        _field(PAGE_ID).cast("long").alias("page_id"),
+        "header",
+        _field("WARC-Type").alias("record_type"),
+        _field(REFERS_TO_PAGE).cast("long").alias("refers_to"),
+        "sha1",
+        "payload",
+        verified.alias("verified"),
+    )
 
 
 def record_bytes() -> Column:

@@ -169,6 +169,32 @@ def test_archive_verifies_the_strong_digest(spark):
     assert [r.verified for r in warc.read(wrong).collect()] == [False]
 
 
+def test_archive_is_read_from_its_headers(spark):
+    """The date is there, a URL stays on its line, and what a header says wrongly shows."""
+    import datetime as dt
+
+    rows = [(1, "http://a/\r\nWARC-Type: x", "one"), (2, "u", "one"), (3, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archive = warc.write(pages, Scratch(spark, "headers"), date=dt.datetime(2024, 2, 3, 4, 5, 6))
+    records = {r.page_id: r for r in warc.read(archive).collect()}
+    assert {i: (r.record_type, r.refers_to, r.verified) for i, r in records.items()} == {
+        1: ("response", None, True), 2: ("revisit", 1, True), 3: ("response", None, True),
+    }
+    for r in records.values():
+        lines = bytes(r.header).decode().split("\r\n")
+        assert lines[0] == "WARC/1.1" and lines[-2:] == ["", ""] and all(": " in x for x in lines[1:-2])
+        fields = dict(x.split(": ", 1) for x in lines[1:-2])
+        assert len(fields) == len(lines) - 3 and fields["WARC-Date"] == "2024-02-03T04:05:06Z"
+    assert b"http://a/%0D%0AWARC-Type: x" in bytes(records[1].header)
+    text = F.col("header").cast("string")
+    swapped = F.replace(text, F.lit("WARC-Type: revisit"), F.lit("WARC-Type: response"))
+    forged = F.replace(text, F.lit("sha1:"), F.lit("sha1:A"))
+    of = lambda header: warc.read(warc.Archive(archive.headers.withColumn("header", header.cast("binary")), archive.payloads))
+    assert {r.record_type for r in of(swapped).collect()} == {"response"}
+    assert {r.verified for r in of(forged).collect()} == {False}
+    assert warc.read(warc.write(pages.limit(0), Scratch(spark, "none"))).collect() == []
+
+
 def test_archive(spark):
     rows = [(3, "http://a/", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (5, "u", ""), (None, "u", "only"), (9, "u", "é" * 50000)]
     rows += [(None, "u", "<p>é</p>"), (1, None, "<p>é</p>")]
