@@ -38,6 +38,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .arrays import BYTE_VALUES, Rolling, Texts, mix, record_batch, text_chunks
 
 K = 2
+#: Samples are numbered in eight bits of what their random numbers are made of.
+MOST_SAMPLES = 256
 #: Text bytes of one pass; its lattices and samples are some hundred times that.
 PASS_BYTES = 1 << 17
 #: Characters of the words whose lattices a task keeps; the other words' are built for each pass.
@@ -289,9 +291,11 @@ def _edges(own: np.ndarray, char: np.ndarray, rest: np.ndarray, vocab: Vocabular
     return source, target, piece, score
 
 
-def uniform(seed: np.ndarray, sample: int, use: int, place: np.ndarray | int) -> np.ndarray:
-    """Numbers strictly between 0 and 1, given by seed, sample, use and place."""
-    number = np.atleast_1d(np.asarray(place, dtype=np.uint64)) | np.uint64(sample << 48 | use << 44)
+def uniform(seed: np.ndarray, sample: int, use: int, place: np.ndarray | int, path: int = 0) -> np.ndarray:
+    """Numbers strictly between 0 and 1, given by seed, sample, use, place and path, each in bits of its own."""
+    if max(sample, path) >= MOST_SAMPLES:
+        raise ValueError(f"fewer than {MOST_SAMPLES} samples, not {max(sample, path)}")
+    number = np.atleast_1d(np.asarray(place, dtype=np.uint64)) | np.uint64(path << 56 | sample << 48 | use << 44)
     x = mix(seed + number * np.uint64(0x9E3779B97F4A7C15))
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -464,10 +468,10 @@ class Sampler:
             mass = np.where(lat.options[node] > 1, before + np.log(-np.expm1(log_p)), -np.inf)
         seed, place = self.seed[text[group]], self.place[p.word[steps]] + lat.node_at[node]
         # the largest of independent noises belongs to a step with the probability of its share of the mass
-        noise = np.where(np.isfinite(mass), mass - np.log(-np.log(uniform(seed, sample, 5 + r, place))), -np.inf)
+        noise = np.where(np.isfinite(mass), mass - np.log(-np.log(uniform(seed, sample, 5, place, r))), -np.inf)
         winner = noise == np.maximum.reduceat(noise, first)[group]
         top = p.value[chosen][group]
-        value = np.where(winner, top, _priority(mass, top, uniform(seed, sample, 8 + r, place)))
+        value = np.where(winner, top, _priority(mass, top, uniform(seed, sample, 8, place, r)))
         p.value[chosen] = -np.inf
         some = np.isfinite(value)
         taken = np.int64(1) << (edge - lat.head[node]).astype(np.int64)

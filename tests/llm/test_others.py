@@ -75,6 +75,36 @@ def test_samples_follow_the_lattice():
     assert sum((pairs[k] - e) ** 2 / e for k, e in expected.items()) < 70
 
 
+def test_six_samples_have_the_exact_inclusion():
+    """How often each segmentation is among six drawn without replacement, one after another."""
+    vocab, text, n, k = tiny_vocabulary(), " abab", 30_000, 6
+    prob = segmentations(text, vocab)
+    assert len(prob) > k + 1
+    names = list(prob)
+    expected = Counter()
+
+    def draw(left, taken, chance):
+        if len(taken) == k:
+            expected.update({names[i]: chance for i in taken})
+            return
+        for i in range(len(names)):
+            if i not in taken:
+                draw(left - prob[names[i]], (*taken, i), chance * prob[names[i]] / left)
+
+    draw(1.0, (), 1.0)
+    data = np.frombuffer((text * n).encode(), dtype=np.uint8)
+    sampler = pieces.Sampler(data, np.arange(n + 1) * len(text), mix(np.arange(n, dtype=np.uint64) + np.uint64(11)), pieces.Lattices(vocab))
+    seen = Counter()
+    for p in sampler.samples(k)[0]:
+        ids, first = sampler.ids(p)
+        seen.update(tuple(vocab.surface[i].decode() for i in ids[a:b]) for a, b in zip(first[:-1], first[1:], strict=True))
+    assert sum(seen.values()) == k * n
+    for x in names:
+        assert abs(seen[x] - n * expected[x]) < 5 * np.sqrt(n * expected[x] * (1 - expected[x])) + 1
+    with pytest.raises(ValueError, match="256"):
+        pieces.uniform(np.ones(1, np.uint64), 300, 0, 0)
+
+
 def test_fewer_segmentations_than_asked():
     vocab = tiny_vocabulary()
     sampler = pieces.Sampler(np.frombuffer(b" b", np.uint8), np.array([0, 2]), np.array([5], np.uint64), pieces.Lattices(vocab))
