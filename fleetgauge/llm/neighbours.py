@@ -12,8 +12,10 @@ Vectors of one label are compared by cosine in double precision. Equal vectors a
 3. Entries that reach the threshold are links and connect classes to components. A list of which all entries reach it
    is saturated: it is enlarged to its component, all of whose members are compared in blocks. So links are counted
    without a cap on partners, and without a row for each pair.
-4. Audit: the ``AUDIT`` classes of smallest hash are compared with all vectors. While less than ``RECALL`` of their
-   links lie within a component, the search goes on with new trees.
+4. Audit: the ``AUDIT`` classes of smallest hash, or as many times that as it takes to see ``AUDIT_LINKS`` links, up to
+   ``AUDIT_MOST``, are compared with all vectors. While less than ``RECALL`` of their links lie within a component, the
+   search goes on with new trees. The recall and the links it was measured on are part of the result; after ``SEARCHES``
+   searches a recall below ``LEAST_RECALL`` is an error.
 
 Defined cases: a vector that is null, zero, or has null or non-finite components, or no label, links with nothing, nor
 do vectors of different lengths; every row is a vector, also if another row has its id; a row without id names no
@@ -22,6 +24,8 @@ component, and has the smallest id that it reaches, if there is one.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,14 +37,16 @@ from .components import components
 from .scratch import Scratch
 from .windows import digest64, whole_groups
 
+log = logging.getLogger(__name__)
+
 THRESHOLD = 0.98
 K = 10
 TREES = 6
 LEAF = 512
 ROUNDS = 6
 SETTLED = 0.01
-AUDIT = 128
-RECALL = 0.99
+AUDIT, AUDIT_LINKS, AUDIT_MOST = 128, 100, 2048
+RECALL, LEAST_RECALL = 0.99, 0.9
 SEARCHES = 4
 BLOCK = 512
 #: What a further entry of a saturated list would have to beat: the list is enlarged in the end.
@@ -59,7 +65,10 @@ def near_duplicates(
     k: int = K,
     leaf: int = LEAF,
 ) -> DataFrame:
-    """For every row: vec_id, n_links (other rows linked directly), component_id and kept."""
+    """For every row: vec_id, n_links (other rows linked directly), component_id, kept, audited_links and recall.
+
+    ``recall`` is null where no audited class has a link.
+    """
     scratch = Scratch(vectors.sparkSession, "neighbours")
     rows = vectors.select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"),
@@ -82,16 +91,20 @@ def near_duplicates(
         .mapInArrow(_unit, "node long, copies long, least long, label string, v binary"),
         "classes",
     )
-    audit = scratch.keep(_audit_links(classes, threshold), "audit")
-    asked, graph = audit.count(), None
+    audit, asked = _audited(classes, threshold, scratch)
+    held, graph = 0, None
     for search in range(SEARCHES):
         graph = _searched(classes, graph, search, k, leaf, threshold, scratch)
         links = graph.where(F.col("sim") >= threshold).select(F.col("node").alias("a"), F.col("other").alias("b"))
         found = scratch.keep(components(links, scratch, f"hooks{search}"), f"components{search}")
         mine = found.select("node", F.col("component").alias("mine"))
         other = found.select(F.col("node").alias("other"), "component")
-        if audit.join(mine, "node").join(other, "other").where("mine = component").count() >= RECALL * asked:
+        held = audit.join(mine, "node").join(other, "other").where("mine = component").count()
+        log.info("search %d: %d of %d audited links held", search + 1, held, asked)
+        if held >= RECALL * asked:
             break
+    if held < LEAST_RECALL * asked:
+        raise ArithmeticError(f"only {held} of {asked} audited links were found in {SEARCHES} searches")
     links = _counted(classes.join(found, "node").select("component", "node", "copies", "v"), threshold)
     named = classes.select("node", "copies", "least").join(found, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
@@ -105,6 +118,8 @@ def near_duplicates(
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(alone, F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, True).otherwise(F.col("component_id").eqNullSafe(F.col("vec_id"))).alias("kept"),
+        F.lit(asked).cast("long").alias("audited_links"),
+        F.lit(held / asked if asked else None).cast("double").alias("recall"),
     )
 
 
@@ -273,9 +288,20 @@ def _better_in(k: int, near: float):
     return work
 
 
-def _audit_links(classes: DataFrame, threshold: float) -> DataFrame:
-    """All links of a few classes, by comparing these with every vector."""
-    few = classes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "label", "v").collect()
+def _audited(classes: DataFrame, threshold: float, scratch: Scratch) -> tuple[DataFrame, int]:
+    """Links to look for, and their number: of few classes where links are frequent, of more where they are rare."""
+    few, all_ = AUDIT, classes.count()
+    while True:
+        audit = scratch.keep(_audit_links(classes, threshold, few), f"audit{few}")
+        found = audit.count()
+        if found >= AUDIT_LINKS or few >= min(AUDIT_MOST, all_):
+            return audit, found
+        few *= 16
+
+
+def _audit_links(classes: DataFrame, threshold: float, few: int) -> DataFrame:
+    """All links of ``few`` classes, by comparing these with every vector."""
+    few = classes.orderBy(F.xxhash64("node"), "node").limit(few).select("node", "label", "v").collect()
     queries = [(r.node, r.label, np.frombuffer(bytes(r.v))) for r in few]
 
     def run(batches):

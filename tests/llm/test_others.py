@@ -327,3 +327,21 @@ def test_training_rows_are_bounded_and_columns_may_clash(spark, monkeypatch):
     assert scored.columns == ["doc_id", "text", "row", toxicity.SCORE] and scored.count() == len(rows)
     assert dict(kept)["training"].count() <= 100
     assert toxicity.score(docs, labels, max_training=50).columns == ["doc_id", "held_out", "score", "predicted"]
+
+
+def test_the_vector_audit_tells(spark, monkeypatch):
+    """Rare links are looked for among more classes; links that no search finds are an error, not a result."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(16).tolist(), 0) for i in range(150)]
+    rows += [(200 + i, (np.array(rows[i][1]) * 2 + 1e-6).tolist(), 0) for i in range(10)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(neighbours, "AUDIT", 4)
+    got = neighbours.near_duplicates(table, leaf=32).collect()
+    assert {r.recall for r in got} == {1.0} and got[0].audited_links >= 6
+    assert sum(r.n_links for r in got) == 20 and sum(not r.kept for r in got) == 10
+    nothing = "node long, other long, sim double, joins boolean, place int"
+    monkeypatch.setattr(neighbours, "_searched", lambda classes, *_: spark.createDataFrame([], nothing))
+    with pytest.raises(ArithmeticError, match="0 of"):
+        neighbours.near_duplicates(table, leaf=32)
+    alone = neighbours.near_duplicates(table.where("vec_id < 150"), leaf=32).collect()
+    assert {(r.audited_links, r.recall) for r in alone} == {(0, None)}
