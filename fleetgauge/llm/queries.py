@@ -80,7 +80,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+    found = neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

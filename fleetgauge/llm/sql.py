@@ -112,10 +112,80 @@ n AS (
 SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 3
 """
 
+# bytes as pairs of hexadecimal digits, so that slices of them are slices of text
+_SUFFIX = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+    SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS m
+    FROM d, unnest(range(0, greatest(len(h) // 2 - 199, 0))) AS t(i)
+),
+again AS (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY m) > 1),
+marked AS (
+    SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS head FROM again
+),
+numbered AS (SELECT r, i, sum(head) OVER (PARTITION BY r ORDER BY i) AS g FROM marked),
+runs AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY r, g),
+gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM runs),
+cut AS (
+    SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+        string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+    FROM gaps JOIN d USING (r) GROUP BY r
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
+# components: the smallest id that a chain of links leads to
+_REACHED = """
+both_ways AS (SELECT x AS a, y AS b FROM links UNION ALL SELECT y, x FROM links),
+reached(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+"""
+
+_NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 2], ' ')) AS m
+    FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM s a JOIN s b ON a.m = b.m AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM shared i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+    WHERE 100 * i.n >= 85 * (a.n + b.n - i.n)
+),
+{_REACHED}
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(least.b, d.doc_id)) AS component_id,
+    d.doc_id <= coalesce(least.b, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.a = d.doc_id
+"""
+
+_NEAR_VECTORS = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+        AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+),
+{_REACHED},
+counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT e.vec_id, coalesce(counts.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(least.b, e.vec_id)) AS component_id,
+    e.vec_id <= coalesce(least.b, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counts ON counts.a = e.vec_id LEFT JOIN least ON least.a = e.vec_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": _SUFFIX,
     "op3_decontamination": _DECONTAMINATION,
     "op4_substring_dedup": _SUBSTRING,
     "op6_sharding": _SHARDS,
+    "op8_embedding_dedup": _NEAR_VECTORS,
     "op9_warc": _WARC,
+    "op10_minhash": _NEAR_DUPLICATES,
     "op12_hard_negatives": _HARD_NEGATIVES,
 }
