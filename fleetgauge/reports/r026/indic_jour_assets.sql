@@ -1,3 +1,4 @@
+-- Fixed values: the labels of the result.
 -- Distinct assets per organisational unit.
 WITH codes AS (
   SELECT DISTINCT upper(id) AS owner_key,
