@@ -345,3 +345,16 @@ def test_the_vector_audit_tells(spark, monkeypatch):
         neighbours.near_duplicates(table, leaf=32)
     alone = neighbours.near_duplicates(table.where("vec_id < 150"), leaf=32).collect()
     assert {(r.audited_links, r.recall) for r in alone} == {(0, None)}
+
+
+def test_stages_keep_names_and_types(spark, tmp_path, labelled):
+    """A column of the score's name, and ids and counts that are ints, come out as they went in."""
+    import corpus_pipeline
+
+    rows, labels = labelled
+    spark.createDataFrame(labels, "doc_id long, toxic int, row string").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame([(*r, len(r[1]), 0.5) for r in rows], "doc_id int, text string, n_chars int, toxicity_score double")
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.cut_repeats):
+        out = stage(spark, docs, str(tmp_path))
+        assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema]
+        assert 0 < out.count() <= docs.count()
