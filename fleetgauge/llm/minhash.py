@@ -9,11 +9,13 @@ probability 5e-8; at 26 bands of 5, a pair at 0.85 with 3e-7.
 
 Texts of equal shingle sets are one class and enter once. First each class of a bucket is compared with the bucket's
 first one, on the full sets; in a group of near copies that links nearly all. What is left to find are links between
-classes that share a bucket but are not connected yet. Classes that buckets connect, linked or not, are a group; a
-group of several components is compared within itself, in cells of two blocks of ``BLOCK`` classes, so that a class
-travels once for every block of its group and no pair is a row. In a cell, pairs of different components whose sketches
-agree in enough coordinates (``MARGIN`` standard deviations below the similarity asked for: one true pair in ten
-million falls short) are checked on the full sets, until they are connected. So the components are those of all links.
+other classes of a bucket that are not connected yet. Buckets of three or more classes and several components are
+compared within themselves, and of buckets with the same classes one. So a class travels at most once for each of its
+bands; only a bucket of more than ``BLOCK`` classes is dealt to cells of two blocks, in which a class travels once for
+every block of the bucket. No pair is a row. In a cell, pairs of different components whose sketches agree in enough
+coordinates (``MARGIN`` standard deviations below the similarity asked for: one true pair in ten million falls short)
+are checked on the full sets, until they are connected. So the components are those of all links. Keys that many
+classes share (a band, a root, the shingles of one text) are measured by a sketch and split.
 
 Defined cases: a null or blank text has no shingles, links with nothing and is kept; with fewer words than a shingle
 the whole sequence is the one shingle; a row without id belongs to the component of the texts it links with and is
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import HeavyKeys, heavy_keys
 from .arrays import BYTE_VALUES, LOWER, SPACED_WORDS, Rolling, Texts, mix, record_batch, split_words, text_chunks
 from .components import components
 from .scratch import Scratch
@@ -163,20 +166,21 @@ def _resolved(docs, id_col, text_col, shingle, similarity, bands, rows) -> DataF
         "classes",
     )
     every = classes.select(F.explode("bands").alias("key"), "node", "n")
+    hot = heavy_keys(every, ["key"])
     first = every.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("size"))
-    pairs = every.join(first.where("size > 1"), "key").where("node != c.node")
+    pairs = _split_join(every, first.where("size > 1"), hot).where("node != c.node")
     pairs = pairs.select("node", "n", F.col("c.node").alias("other"), F.col("c.n").alias("m")).distinct()
     pairs = scratch.keep(pairs, "pairs")
     nodes = pairs.select("node").unionByName(pairs.select(F.col("other").alias("node"))).distinct()
-    sets = _sets(texts, nodes.join(classes.select("node", "one.k1", "one.k2"), "node"), shingle)
-    sets = scratch.keep(sets, "sets")
+    shared = classes.join(nodes, "node")
+    sets = scratch.keep(_sets(texts, shared.select("node", "one.k1", "one.k2"), shingle), "sets")
     links = scratch.keep(_checked(pairs, sets, similarity), "links")
     found = scratch.keep(components(links, scratch, "first"), "components", free=False)
-    groups = components(pairs.select(F.col("node").alias("a"), F.col("other").alias("b")), scratch, "groups")
-    groups = scratch.keep(groups, "groups", free=False)
-    more = _within_groups(groups, found, sets, similarity, bands * rows)
-    joined = found.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    found = components(joined.unionByName(more), scratch, "last")
+    more = _within_buckets(shared.select("node", "bands"), found, sets, hot, similarity, bands * rows)
+    more = scratch.keep(more, "more")
+    if not more.isEmpty():
+        joined = found.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(joined.unionByName(more), scratch, "last")
     named = (
         all_rows.where("n > 0")
         .groupBy("node")
@@ -184,8 +188,9 @@ def _resolved(docs, id_col, text_col, shingle, similarity, bands, rows) -> DataF
         .join(found.withColumnRenamed("component", "root"), "node", "left")
     )
     named = named.select("node", F.coalesce("root", "node").alias("root"), "least", "one")
+    named = scratch.keep(named, "named", free=False)
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"), F.min("one").alias("one"))
-    named = named.drop("one").join(ids, "root").select("node", "component_id", "one")
+    named = _split_join(named.drop("one"), ids, heavy_keys(named, ["root"])).select("node", "component_id", "one")
     return all_rows.join(named, "node", "left").select(
         "k1",
         "k2",
@@ -239,42 +244,71 @@ def _linked(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
     return bool(100 * both >= similarity * (len(x) + len(y) - both))
 
 
-def _within_groups(groups: DataFrame, found: DataFrame, sets: DataFrame, similarity: int, size: int) -> DataFrame:
-    """Links (a, b) between the components of each group (node, component), enough to connect what all would."""
-    members = groups.withColumnRenamed("component", "grp").join(found, "node", "left")
-    members = members.withColumn("component", F.coalesce("component", "node"))
-    open_ = members.groupBy("grp").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+def _split_join(rows: DataFrame, entries: DataFrame, heavy: HeavyKeys) -> DataFrame:
+    """``rows`` with the entry of their key, of which there is one at most; rows of heavy keys are dealt by node."""
+    if not heavy.parts:
+        return rows.join(entries, list(heavy.keys))
+    return heavy.split(rows, ["node"]).join(heavy.repeated(entries), [*heavy.keys, "part"]).drop("part")
+
+
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """(key, blocks) of the buckets of ``members`` (key, node, component) that may hold links not seen yet.
+
+    A pair was compared with the bucket's first, and members of one component need no link. Of buckets with the same
+    members, told by two 64-bit sums of their digests and their number, the one of the least key.
+    """
+    which = F.xxhash64("component")
+    buckets = members.groupBy("key").agg(
+        F.count("*").alias("size"),
+        F.min(which).alias("low"),
+        F.max(which).alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit("again"), "node")).alias("y"),
     )
-    members = members.join(open_.where("low != high").select("grp", "blocks"), "grp")
+    several = buckets.where("size > 2 and low != high")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+    return several.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key", blocks)
+
+
+def _cells(shared: DataFrame, found: DataFrame, hot: HeavyKeys) -> DataFrame:
+    """(cell, node, component, block): the classes of open buckets, in cells of at most two blocks."""
+    members = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = members.select(F.explode("bands").alias("key"), "node", "component")
+    members = _split_join(members, _open_buckets(members), hot)
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     at = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at")
-    cell = F.xxhash64("grp", F.least("block", "at"), F.greatest("block", "at")).alias("cell")
-    cells = members.select("node", "component", "block", "grp", at).select("node", "component", "block", cell)
-    cells = cells.join(sets, "node").repartition("cell").sortWithinPartitions("cell")
+    cell = F.xxhash64("key", F.least("block", "at"), F.greatest("block", "at")).alias("cell")
+    return members.select("key", "node", "component", "block", at).select(cell, "node", "component", "block")
+
+
+def _within_buckets(
+    shared: DataFrame, found: DataFrame, sets: DataFrame, hot: HeavyKeys, similarity: int, size: int
+) -> DataFrame:
+    """Links (a, b) between the components in each bucket, enough to connect what all would."""
+    cells = _cells(shared, found, hot).join(sets, "node").repartition("cell").sortWithinPartitions("cell")
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches):
         for batch in whole_groups(batches, "cell"):
             cell = batch.column(0).to_numpy()
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(4)]
+            first = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+            marks = sketches(np.concatenate(sets), first, size).astype(np.uint8)
             heads = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
             for lo, hi in zip(heads.tolist(), np.append(heads[1:], len(cell)).tolist(), strict=True):
-                part = batch.slice(lo, hi - lo)
-                left, right = _links_in(part, similarity, size)
-                node = part.column(1)
-                yield record_batch(schema, [node.take(pa.array(left, pa.int64())), node.take(pa.array(right, pa.int64()))])
+                left, right = _links_in(batch.slice(lo, hi - lo), sets[lo:hi], marks[lo:hi], similarity)
+                node = batch.column(1)
+                ends = [node.take(pa.array([lo + i for i in side], pa.int64())) for side in (left, right)]
+                yield record_batch(schema, ends)
 
     return cells.select("cell", "node", "component", "block", "shingles").mapInArrow(run, "a binary, b binary")
 
 
-def _links_in(part: pa.RecordBatch, similarity: int, size: int) -> tuple[list[int], list[int]]:
-    """Links between members of a cell (cell, node, component, block, shingles) that connect components."""
-    raw = [x.as_buffer() for x in part.column(4)]
-    sets = [np.frombuffer(x, np.uint64) for x in raw]
-    n = np.array([len(x) for x in sets])
-    marks = sketches(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]), size).astype(np.uint8)
+def _links_in(
+    part: pa.RecordBatch, sets: list[np.ndarray], marks: np.ndarray, similarity: int
+) -> tuple[list[int], list[int]]:
+    """Links between members of a cell (cell, node, component, block) that connect components."""
+    n, size = np.array([len(x) for x in sets]), marks.shape[1]
     block = part.column(3).to_numpy()
     several = block.min() != block.max()
     root = np.unique(np.array(part.column(2).to_pylist(), dtype=object), return_inverse=True)[1]

@@ -8,7 +8,8 @@ import textwrap
 import pytest
 from pyspark.sql import functions as F
 
-from fleetgauge.llm import licences, minhash, phrase_index, reference_parse, suffix_repeats, windows
+from fleetgauge.llm import components, licences, minhash, phrase_index, reference_parse, suffix_repeats, windows
+from fleetgauge.llm.scratch import Scratch
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "nü", "zr") for b in ("st", "en", "ar", "ol")]
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -170,7 +171,9 @@ def similar(rows, size, percent):
     return sets, root
 
 
-def test_near_duplicates(docs_of):
+@pytest.mark.parametrize("block", [minhash.BLOCK, 3])
+def test_near_duplicates(docs_of, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(3)
     base = SPACED.findall(ROWS[2][1] + " " + ROWS[5][1] + " " + ROWS[7][1])
     rows = list(ROWS)
@@ -193,6 +196,64 @@ def test_near_duplicates(docs_of):
     assert kept.count() == len({(i, t) for (i, t), w in zip(rows, want, strict=True) if w[3]})
 
 
+def test_texts_that_bands_chain_cost_in_proportion(docs_of, monkeypatch):
+    """Each text shares bands with the next and links with none: nothing grows with the square of the chain."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    cells, seen = minhash._cells, []
+    monkeypatch.setattr(minhash, "_cells", lambda *args: seen.append(cells(*args)) or seen[-1])
+    size = {}
+    for n in (500, 4000):
+        rows = [(i, " ".join(f"w{k}" for k in range(15 * i, 15 * i + 64))) for i in range(n)]
+        found = minhash.near_duplicates(docs_of(rows)).collect()
+        assert len(found) == n and all(r.kept and r.component_id == r.doc_id for r in found)
+        size[n] = seen[-1].count()
+    assert 0 < size[500] and size[4000] <= 10 * size[500]
+
+
+def test_links_that_only_other_members_of_a_bucket_show(docs_of):
+    """Families that share a passage with one text, and so buckets, but link only among themselves."""
+    shared = [f"s{k}" for k in range(60)]
+    rows = [(0, " ".join(shared))]
+    for family in range(30):
+        own = [f"f{family}x{k}" for k in range(40)]
+        rows += [(1 + 3 * family + i, " ".join([*shared, *own, *(f"e{i}y{k}" for k in range(i))])) for i in range(3)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(rows)).collect()}
+    sets, root = similar(rows, 5, 80)
+    least = {}
+    for (i, _), r in zip(rows, root, strict=True):
+        least.setdefault(r, i)
+    assert got == {i: least[r] for (i, _), r in zip(rows, root, strict=True)}
+    assert len(set(got.values())) == 31
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Stars, chains between them, and a hub of middle rank; a hub's edges do not meet in one task."""
+    rng = random.Random(5)
+    links = [(10_000, k) for k in range(3000)] + [(5000, k) for k in range(4900, 5100) if k != 5000]
+    links += [(20_000 + k, 20_001 + k) for k in range(40)] + [(20_000, 2999), (7, 7)]
+    links += [(rng.randrange(30_000, 30_400), rng.randrange(30_000, 30_400)) for _ in range(300)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    want = {x: find(x) for x in {x for a, b in links if a != b for x in (a, b)}}
+    frame = spark.createDataFrame(links, "a long, b long")
+    got = components.components(frame, Scratch(spark, "test"), "test").collect()
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want
+    edges = frame.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
+    hubs = components._state(edges)[1]
+    assert len(hubs.parts) == 2
+    parts = hubs.split(edges, ["b"]).groupBy("a", "part").count().agg(F.max("count")).first()[0]
+    assert parts < 100
+
+
 def test_texts_of_equal_32_bit_hash(spark, docs_of):
     copied, own = " ".join(f"p{k}" for k in range(60)), " ".join(f"q{k}" for k in range(70))
     texts = lambda start, name: spark.range(200_000).select(F.concat(F.lit(f"{start} "), "id").alias(name))
