@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.skew import HeavyKeys, heavy_keys
 from .arrays import record_batch
 from .components import components
 from .scratch import Scratch
@@ -144,15 +145,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(len(column), -1)
 
 
-def _by_part(rows: DataFrame, keys: list[str], size: int, search: int, turn: int) -> DataFrame:
+def _by_part(
+    rows: DataFrame, keys: list[str], size: int, search: int, turn: int, heavy: HeavyKeys | None = None
+) -> DataFrame:
     """Rows with the column ``part``: rows of equal keys have few values of it, ``size`` rows or so to each.
 
-    Nodes that one key, search or turn parts meet in others.
+    Nodes that one key, search or turn parts meet in others. Rows of ``heavy`` keys do not meet to learn their number.
     """
     sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / size).alias("parts"))
     dealt = F.xxhash64(F.lit(search), F.lit(turn), *keys, "node")
     part = F.xxhash64(*keys, F.pmod(dealt, F.col("parts")))
-    return rows.join(sizes, keys).withColumn("part", part)
+    if heavy is None or not heavy.parts:
+        return rows.join(sizes, keys).withColumn("part", part)
+    spread = heavy.split(rows, ["node"], "salt").join(heavy.repeated(sizes, "salt"), [*keys, "salt"])
+    return spread.drop("salt").withColumn("part", part)
 
 
 def _each_part(rows: DataFrame, columns: list[str], work) -> DataFrame:
@@ -193,7 +199,8 @@ def _searched(classes, graph, search, k, leaf, threshold, scratch) -> DataFrame:
         least = F.when(F.min("sim") >= threshold, SATURATED).otherwise(F.min("sim"))
         worst = graph.groupBy("node").agg(F.when(F.count("*") >= k, least).otherwise(near).alias("worst"))
         members = members.join(worst, "node", "left").fillna(near, ["worst"]).join(classes.select("node", "v"), "node")
-        around = _by_part(members, ["center"], leaf, search, turn)
+        centers = graph.select(F.explode(F.array("node", "other")).alias("center"))
+        around = _by_part(members, ["center"], leaf, search, turn, heavy_keys(centers, ["center"]))
         better = _each_part(around, ["node", "v", "worst"], _better_in(k, near))
         old = graph
         graph = scratch.keep(_best(old.select(*entries).unionByName(better), k), f"graph{search}-{turn}")
