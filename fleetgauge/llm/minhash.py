@@ -15,7 +15,8 @@ bands; only a bucket of more than ``BLOCK`` classes is dealt to cells of two blo
 every block of the bucket. No pair is a row. In a cell, pairs of different components whose sketches agree in enough
 coordinates (``MARGIN`` standard deviations below the similarity asked for: one true pair in ten million falls short)
 are checked on the full sets, until they are connected. So the components are those of all links. Keys that many
-classes share (a band, a root, the shingles of one text) are measured by a sketch and split.
+classes share (a band, a root) are measured by a sketch and split; rows of one text are not, in the last join, which
+carries no texts.
 
 Defined cases: a null or blank text has no shingles, links with nothing and is kept; with fewer words than a shingle
 the whole sequence is the one shingle; a row without id belongs to the component of the texts it links with and is
