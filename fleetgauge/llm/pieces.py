@@ -4,7 +4,7 @@ A text is encoded as SentencePiece does it: a space goes in front, and pieces of
 text; a character that no piece covers becomes byte pieces. Pieces weigh by their rank in the vocabulary, as 1 / rank;
 models whose scores are log probabilities keep these. All segmentations of a text form a lattice. No piece has a space
 but in front, so the lattice of a text is the lattices of its words one after another, and these are built once for
-equal words of a pass; a worker keeps those of the first words it sees.
+equal words of a pass; a worker keeps those of words it meets again soon.
 
 The ``k`` samples are what an A-star search over the lattice, perturbed by Gumbel noise, emits first. The search space
 is split as it goes: the segmentation emitted, and for each of its words the set of those that agree with it before
@@ -42,8 +42,10 @@ K = 2
 MOST_SAMPLES = 256
 #: Text bytes of one pass; its lattices and samples are some hundred times that.
 PASS_BYTES = 1 << 17
-#: Characters of the words whose lattices a task keeps; the other words' are built for each pass.
-KEPT_CHARS = 1 << 20
+#: Characters of the words whose lattices a worker keeps; the other words' are built for each pass.
+KEPT_CHARS = 1 << 19
+#: Words that a worker remembers to have met, to keep those that it meets again.
+MET_WORDS = 1 << 17
 SPACE_MARK = "▁".encode()
 #: What a byte piece weighs, as a share of the last piece of the vocabulary.
 BYTE_SHARE = 0.1
@@ -181,17 +183,23 @@ def lattice(data: np.ndarray, word_start: np.ndarray, word_end: np.ndarray, voca
     char = np.append(char, len(own))
     word = np.repeat(np.arange(len(size)), np.diff(start))
     rest = start[word + 1] - np.arange(n_nodes)  # characters to the word's end
-    source, target, piece, score = _edges(own, char, rest, vocab)
+    source, nth, size, piece, score, n_options = _edges(own, char, rest, vocab)
 
     # log mass of the rest of the word, from its last character on
-    order = np.lexsort((source - target, source, rest[source]))
-    source, target, piece, score = (x[order] for x in (source, target, piece, score))
-    head = np.flatnonzero(np.append(True, source[1:] != source[:-1])[: len(source)])
-    options = np.diff(np.append(head, len(source)))
+    small = rest.max(initial=0) < 1 << 16
+    node = np.argsort(rest.astype(np.uint16) if small else rest, kind="stable")
+    options = n_options[node]
+    head = np.cumsum(options) - options
+    by_node = np.empty(n_nodes, np.int64)
+    by_node[node] = head
+    place = by_node[source] + n_options[source] - 1 - nth  # longer ones first
+    put = lambda x: _scattered(x, place)
+    source, size, piece, score = put(source), put(size), put(piece), put(score)
+    target = source + size
     mass = np.zeros(n_nodes + 1)
-    ends = rest[source] == target - source
+    ends = rest[source] == size
     inner = np.where(ends, n_nodes, target)  # at a word's end nothing follows
-    cuts = np.searchsorted(rest[source[head]], np.arange(1, rest.max(initial=0) + 2))
+    cuts = np.searchsorted(rest[node], np.arange(1, rest.max(initial=0) + 2))
     bounds = np.append(head, len(source))
     log_p = np.empty(len(source))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -202,7 +210,7 @@ def lattice(data: np.ndarray, word_start: np.ndarray, word_end: np.ndarray, voca
         heads = head[a:b] - lo
         top = np.maximum.reduceat(edge, heads)
         total = top + np.log(np.add.reduceat(np.exp(edge - np.repeat(top, options[a:b])), heads))
-        mass[source[head[a:b]]] = total
+        mass[node[a:b]] = total
         log_p[lo:hi] = edge - np.repeat(total, options[a:b])
     cumulative = np.exp(log_p)
     more, nth = head[options > 1], 1
@@ -212,8 +220,6 @@ def lattice(data: np.ndarray, word_start: np.ndarray, word_end: np.ndarray, voca
         nth += 1
         more, left = more[left > nth], left[left > nth]
     cumulative[bounds[1:] - 1] = 1.0
-    by_node, n_options = np.empty((2, n_nodes), np.int64)
-    by_node[source[head]], n_options[source[head]] = head, options
     target[ends] = -1
     node_at = char[:-1] - char[start[word]]
     lat = Lattice(own, char[:-1], np.diff(char), node_at, by_node, n_options, source, target, piece, log_p, cumulative)
@@ -221,31 +227,55 @@ def lattice(data: np.ndarray, word_start: np.ndarray, word_end: np.ndarray, voca
 
 
 class Lattices:
-    """Lattices of words, of which the first ones seen are kept from one pass to the next, up to a bound."""
+    """Lattices of words, of which those met in two passes not far apart are kept from one pass to the next, up to a bound."""
 
     def __init__(self, vocab: Vocabulary, kept_chars: int = KEPT_CHARS) -> None:
         self.vocab, self.kept_chars = vocab, kept_chars
-        self.known: dict[int, int] = {}
         none, small = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        #: Hashes of the words kept, in ascending order, and their first nodes.
+        self.known, self.first = np.zeros(0, np.uint64), none
+        #: For each remainder, the hash last met; a word's is forgotten when another takes its place.
+        self.met = np.zeros(MET_WORDS, np.uint64)
         empty = (np.zeros(0, np.uint8), none, small, small, small, small, small, small, small, np.zeros(0), np.zeros(0))
         self.all = Lattice(*empty)
         self.bytes = self.nodes = self.edges = 0
 
     def of(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """The first node of each of the different words; valid until the next call."""
-        found = np.array([self.known.get(h, -1) for h in hashes.tolist()], dtype=np.int64)
-        new = np.flatnonzero(found < 0)
+        """The first node of each of the different words, whose hashes ascend; valid until the next call."""
+        at = np.searchsorted(self.known, hashes)
+        old = at < len(self.known)
+        old[old] = self.known[at[old]] == hashes[old]
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        found[old] = self.first[at[old]]
+        new = np.flatnonzero(~old)
+        if self.nodes < self.kept_chars:
+            slot = hashes[new] % np.uint64(MET_WORDS)
+            again = self.met[slot] == hashes[new]
+            self.met[slot] = hashes[new]
+            self._keep(data, start, end, hashes, new[again], at, found)
+            new = new[found[new] < 0]
         if len(new):
             lat, first = lattice(data, start[new], end[new], self.vocab)
             found[new] = first + self.nodes
             self._add(lat)
-            if self.nodes + len(lat.char) <= self.kept_chars:
-                self.bytes += len(lat.data)
-                self.nodes += len(lat.char)
-                self.edges += len(lat.source)
-                self.known.update(zip(hashes[new].tolist(), found[new].tolist(), strict=True))
         return found
 
+    def _keep(self, data, start, end, hashes, chosen, at, found) -> None:
+        """Keep the words ``chosen``, which belong at ``at`` among those known, unless they are too many."""
+        if not len(chosen):
+            return
+        lat, first = lattice(data, start[chosen], end[chosen], self.vocab)
+        if self.nodes + len(lat.char) > self.kept_chars:
+            self.kept_chars = self.nodes
+            return
+        found[chosen] = first + self.nodes
+        self._add(lat)
+        self.known = np.insert(self.known, at[chosen], hashes[chosen])
+        self.first = np.insert(self.first, at[chosen], found[chosen])
+        self.bytes += len(lat.data)
+        self.nodes += len(lat.char)
+        self.edges += len(lat.source)
+
     def _add(self, lat: Lattice) -> None:
         """Put lattices behind those that are kept."""
         by_edge = ("source", "target", "piece", "log_p", "cumulative")
@@ -263,32 +293,46 @@ class Lattices:
             kept[at : at + len(array)] = array + shift[name] if name in shift else array
 
 
+def _scattered(values: np.ndarray, place: np.ndarray) -> np.ndarray:
+    out = np.empty_like(values)
+    out[place] = values
+    return out
+
+
 def _edges(own: np.ndarray, char: np.ndarray, rest: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, ...]:
-    """Source, target, piece and score of all edges; a node goes on to longer pieces while some piece starts so."""
+    """Of all edges the source, how many shorter ones leave it, characters, piece and score; and each node's number of them.
+
+    A node goes on to longer pieces while some piece starts so. A character that no piece covers has an edge, too.
+    """
     rolling = Rolling(BYTE_VALUES[own])
     node = np.arange(len(rest))
-    single = np.zeros(len(rest), dtype=bool)
-    sources, targets, pieces = [], [], []
+    options = np.ones(len(rest), dtype=np.int64)
+    sources, numbers, sizes, pieces = [], [], [], []
     length = 0
     while len(node):
         length += 1
         node = node[rest[node] >= length]
         slot = vocab.index.get_indexer(rolling.slices(char[node], char[node + length]))
-        node, slot = node[slot >= 0], slot[slot >= 0]
-        full = vocab.ids[slot] >= 0
-        sources.append(node[full])
-        targets.append(node[full] + length)
-        pieces.append(vocab.ids[slot[full]])
+        some = slot >= 0
+        piece = np.full(len(node), -1)
+        piece[some] = vocab.ids[slot[some]]
+        full = piece >= 0
         if length == 1:
-            single[node[full]] = True
-        node = node[vocab.goes_on[slot]]
-    bare = np.flatnonzero(~single)
-    source = np.concatenate([*sources, bare])
-    target = np.concatenate([*targets, bare + 1])
-    piece = np.concatenate([*pieces, np.full(len(bare), -1)]).astype(np.int64)
-    n_bytes = char[target] - char[source]
+            sources.append(node)
+            pieces.append(piece)
+            numbers.append(np.zeros(len(node), np.int64))
+        else:
+            sources.append(node[full])
+            pieces.append(piece[full])
+            numbers.append(options[sources[-1]])
+            options[sources[-1]] += 1
+        sizes.append(np.full(len(sources[-1]), length))
+        node = node[some][vocab.goes_on[slot[some]]]
+    none = np.zeros(0, np.int64)
+    source, nth, size, piece = (np.concatenate([none, *x]) for x in (sources, numbers, sizes, pieces))
+    n_bytes = char[source + size] - char[source]
     score = np.where(piece >= 0, vocab.log_weight[piece], vocab.byte_log_weight * n_bytes)
-    return source, target, piece, score
+    return source, nth, size, piece, score, options
 
 
 def uniform(seed: np.ndarray, sample: int, use: int, place: np.ndarray | int, path: int = 0) -> np.ndarray:

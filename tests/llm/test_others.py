@@ -105,6 +105,24 @@ def test_six_samples_have_the_exact_inclusion():
         pieces.uniform(np.ones(1, np.uint64), 300, 0, 0)
 
 
+def test_pieces_keep_lattices_of_words_met_again():
+    """Words met once take no room of a worker; a full store does not change what is built."""
+    vocab = tiny_vocabulary()
+    data = np.frombuffer(" ab abb é".encode(), np.uint8)
+    start, end = np.array([0, 3, 7]), np.array([3, 7, 10])
+    hashes = np.array([3, 5, 9], np.uint64)
+    whole, nodes = pieces.lattice(data, start, end, vocab)
+    for kept_chars, sizes in ((100, [0, 9, 9]), (3, [0, 0, 0])):
+        lattices = pieces.Lattices(vocab, kept_chars)
+        for size in sizes:
+            found = lattices.of(data, start, end, hashes)
+            assert lattices.nodes == size
+            for a, b in zip(found, nodes, strict=True):
+                edges = lambda lat, n: slice(lat.head[n], lat.head[n] + lat.options[n])
+                for name in ("piece", "log_p", "cumulative"):
+                    assert getattr(lattices.all, name)[edges(lattices.all, a)].tolist() == getattr(whole, name)[edges(whole, b)].tolist()
+
+
 def test_fewer_segmentations_than_asked():
     vocab = tiny_vocabulary()
     sampler = pieces.Sampler(np.frombuffer(b" b", np.uint8), np.array([0, 2]), np.array([5], np.uint64), pieces.Lattices(vocab))
