@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import first_paren_code, is_connected
 from fleetgauge.functions.time import AsOf, days_after_is_now
 from fleetgauge.operators.org import org_dimension, org_weights, with_paths
-from fleetgauge.operators.skew import heavy_keys
+from fleetgauge.operators.skew import HeavyKeys, heavy_keys
 from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
@@ -90,27 +91,48 @@ def _org(src: Sources) -> DataFrame:
     return org_weights(org_dimension(src, code=first_paren_code), F.col("id"))
 
 
-def _members(src: Sources, as_of: AsOf, aggregates: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Campaign hosts and register records, each counted per host, hosts restricted to recent scans.
+def _targets(src: Sources, as_of: AsOf) -> DataFrame:
+    """Rows of reported campaigns, counted per host, label and state; hosts restricted to recent scans.
 
-    Hosts are reduced while the host still deals them out, and come with the label of every
-    reported campaign they are in. A campaign may hold the whole fleet: the hosts of those that
-    hold many are split by a second join key, for which these campaigns are repeated.
+    Hosts that were not scanned go first, and hosts are reduced while the host still deals them
+    out. A campaign may hold the whole fleet: the hosts of those that hold many are split by a
+    second join key, for which these campaigns are repeated.
     """
     targeted = src.campaign_hosts.filter(F.col("kind") == fv.CAMPAIGN_KIND)
-    heavy = src.known("heavy_campaigns", lambda: heavy_keys(targeted, ["grp", "type"]))
+    recent = recent_hosts(src, as_of)
+    targeted = targeted.join(recent, targeted.host == recent.recent_host, "left_semi")
+    heavy = heavy_campaigns(src)
     reported = heavy.repeated(_reported_campaigns(src, as_of))
-    hosts = (
-        heavy.split(targeted.groupBy("host", "grp", "type").agg(*aggregates), ["host"])
+    counted = targeted.groupBy("host", "grp", "type", "state").agg(F.count(F.lit(1)).alias("rows"))
+    return (
+        heavy.split(counted, ["host"])
         .join(reported, ["grp", "type", "part"], "inner")
-        .withColumn("campaign", F.concat("grp", F.lit(" - "), "type"))
-        .drop("grp", "type", "part")
+        .select(
+            "host", F.concat("grp", F.lit(" - "), "type").alias("campaign"), "milestone", "state",
+            (F.col("rows") * F.col("campaign_rows")).alias("targets"),
+        )
     )
-    assets = src.assets_os.groupBy(
-        "tag", owner_or_department().alias("owner"), is_connected("network").alias("connected")
-    ).agg(F.count(F.lit(1)).alias("records"))
-    recent = recent_hosts(src, as_of)
-    return hosts, assets.join(recent, assets.tag == recent.recent_host, "left_semi")
+
+
+def heavy_campaigns(src: Sources) -> HeavyKeys:
+    """Campaigns that hold many of the targeted hosts."""
+    targeted = src.campaign_hosts.filter(F.col("kind") == fv.CAMPAIGN_KIND)
+    return src.known("heavy_campaigns", lambda: heavy_keys(targeted, ["grp", "type"]))
+
+
+def _members(src: Sources, as_of: AsOf) -> DataFrame:
+    """Hosts of reported campaigns with each owner that the register has for them, counted per state and connection."""
+
+    def build() -> DataFrame:
+        hosts, recent = _targets(src, as_of), recent_hosts(src, as_of)
+        register = src.assets_os.select(
+            "tag", owner_or_department().alias("owner"), is_connected("network").alias("connected")
+        )
+        register = register.join(recent, register.tag == recent.recent_host, "left_semi")
+        assets = register.groupBy("tag", "owner", "connected").agg(F.count(F.lit(1)).alias("records"))
+        return hosts.join(assets, hosts.host == assets.tag, "inner").drop("tag")
+
+    return src.block(f"campaign_members_{as_of.day}", build)
 
 
 def _label(suffix: str) -> Column:
@@ -125,13 +147,12 @@ def campaign_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     def wanted(s: CampaignSpec) -> Column:
         return F.col("state") == s.state if s.state is not None else F.col("state") != s.not_state
 
-    hosts, assets = _members(src, as_of, [F.count_if(wanted(s)).alias(f"h_{i}") for i, s in enumerate(specs)])
-    joined = hosts.join(assets, hosts.host == assets.tag, "inner")
+    joined = _members(src, as_of)
     sums = []
     for i, s in enumerate(specs):
         selected = F.col("connected") if s.connected else F.lit(True)
         sums += [
-            F.sum(F.when(selected, F.col(f"h_{i}") * F.col("records") * F.col("campaign_rows")).otherwise(0)).alias(f"v_{i}"),
+            F.sum(F.when(selected & wanted(s), F.col("targets") * F.col("records")).otherwise(0)).alias(f"v_{i}"),
             F.bool_or(selected).alias(f"p_{i}"),
         ]
     per_owner = joined.groupBy("owner", "campaign", "milestone").agg(*sums)
@@ -149,13 +170,19 @@ def campaign_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
 
 def targeted_kpi(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     """Distinct hosts per campaign milestone and unit."""
-    hosts, assets = _members(src, as_of, [F.lit(True).alias("targeted")])
-    joined = hosts.join(assets, hosts.host == assets.tag, "inner").select("host", "owner", "campaign", "milestone").distinct()
+    joined = _members(src, as_of).select("host", "owner", "campaign", "milestone").distinct()
     located = with_paths(joined, _org(src).drop("org_rows"), "owner", how="inner")
     counts = located.groupBy("maille", "campaign", "milestone").agg(F.countDistinct("host").alias("n"))
     return result_rows(counts, fv.UNIT_GROUP_6, [Measure(k, F.col("n"), indicateur=_label(k.indicateur)) for k in kpis])
 
 
+def shared_blocks(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> list[Callable[[], DataFrame]]:
+    """Blocks that both families read, when both are needed."""
+    if len({k.family for k in kpis} & {FAMILY, TARGETED_FAMILY}) < 2:
+        return []
+    return [lambda: _members(src, as_of)]
+
+
 _DONE, _TOTAL = fv.CAMPAIGN_DONE, fv.CAMPAIGN_NOT_TARGETED
 KPIS = [
     Kpi("patch_targeted", REPORT, " -Patching", "Patching", TARGETED_FAMILY),

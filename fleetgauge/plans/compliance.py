@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +37,22 @@ def seen_managed(src: Sources, as_of: AsOf) -> DataFrame:
     )
 
 
-def compliance_elements(src: Sources) -> DataFrame:
-    """Distinct (element, item, host) with the statuses reported for it."""
+def seen_by_owner(src: Sources, as_of: AsOf) -> DataFrame:
+    """Managed assets scanned in the 30-day window: records per (tag, owner)."""
+
+    def build() -> DataFrame:
+        return seen_managed(src, as_of).groupBy("tag", "owner_key").agg(F.count(F.lit(1)).alias("records"))
+
+    return src.block(f"seen_managed_{as_of.day}", build)
+
+
+def compliance_elements(src: Sources, hosts: DataFrame | None = None) -> DataFrame:
+    """Distinct (element, item, host) with the statuses reported for it; only ``hosts`` (a column ``tag``) if given."""
+    reported = src.compliance
+    if hosts is not None:
+        reported = reported.join(hosts, reported.host == hosts.tag, "left_semi")
     return (
-        src.compliance.groupBy("item", "host")
+        reported.groupBy("item", "host")
         .agg(*[F.bool_or(F.col("status") == s).alias(f"is_{s}") for s in (fv.STATUS_OK, fv.STATUS_KO, *fv.STATUS_FAILED)])
         .withColumn("element", compliance_element("item"))
     )
@@ -46,7 +60,7 @@ def compliance_elements(src: Sources) -> DataFrame:
 
 def total_kpi(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     """Distinct managed assets per unit; assets of unknown owners are left out."""
-    assets = seen_managed(src, as_of).filter(F.col("owner_key").isNotNull()).distinct()
+    assets = seen_by_owner(src, as_of).filter(F.col("owner_key").isNotNull())
     located = with_paths(assets, _org(src).drop("org_rows"), "owner_key", fv.ORG_LEVELS_5, how="inner")
     counts = located.groupBy("maille").agg(F.countDistinct("tag").alias("n"))
     return result_rows(counts, fv.UNIT_GROUP_5, [Measure(k, F.col("n")) for k in kpis])
@@ -70,17 +84,17 @@ def _tuples(measure: str) -> tuple[Column, Column]:
 def element_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     """Compliance measures per element and unit.
 
-    Items are summed per (element, host), then per (element, owner), and only these sums
-    meet the directories.
+    Items of hosts that count are summed per (element, host), then per (element, owner), and
+    only these sums meet the directories.
     """
-    pairs = compliance_elements(src)
+    assets = seen_by_owner(src, as_of)
+    pairs = compliance_elements(src, assets.select("tag"))
     for k in kpis:
         value, rows = _tuples(k.spec)
         pairs = pairs.withColumn(f"v_{k.spec}", value).withColumn(f"r_{k.spec}", rows)
     sums = [F.sum(f"{p}_{k.spec}").alias(f"{p}_{k.spec}") for k in kpis for p in "vr"]
     per_host = pairs.groupBy("element", "host").agg(*sums)
 
-    assets = seen_managed(src, as_of).groupBy("tag", "owner_key").agg(F.count(F.lit(1)).alias("records"))
     joined = per_host.join(assets, per_host.host == assets.tag, "inner")
     per_owner = joined.groupBy("element", "owner_key").agg(
         *[F.sum(F.col(f"{p}_{k.spec}") * F.col("records")).alias(f"{p}_{k.spec}") for k in kpis for p in "vr"]
@@ -95,6 +109,13 @@ def element_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     return result_rows(wide, fv.UNIT_GROUP_5, measures)
 
 
+def shared_blocks(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> list[Callable[[], DataFrame]]:
+    """Blocks that both families read, when both are needed."""
+    if len({k.family for k in kpis} & {FAMILY, TOTAL_FAMILY}) < 2:
+        return []
+    return [lambda: seen_by_owner(src, as_of), lambda: org_dimension(src, fv.ORG_LEVELS_5)]
+
+
 KPIS = [
     Kpi("compliance_total", REPORT, PARENT, PARENT, TOTAL_FAMILY),
     Kpi("compliance_checked", REPORT, "- Nb postes contrôlés", PARENT, FAMILY, "checked"),

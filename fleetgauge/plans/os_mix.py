@@ -18,7 +18,7 @@ from fleetgauge.functions.text import (
 )
 from fleetgauge.functions.time import AsOf
 from fleetgauge.operators.org import with_paths
-from fleetgauge.operators.skew import heavy_keys
+from fleetgauge.operators.skew import HeavyKeys, heavy_keys
 from fleetgauge.plans.kpi import Kpi, Measure, result_rows
 from fleetgauge.sources.tables import Sources
 
@@ -85,6 +85,11 @@ def with_support_class(rows: DataFrame, src: Sources) -> DataFrame:
     return rows.join(classes, key == classes.support_key, "left")
 
 
+def heavy_os(src: Sources) -> HeavyKeys:
+    """Pairs of OS name and build that many hosts have."""
+    return src.known("heavy_os", lambda: heavy_keys(src.assets_os, ["os_name", "os_build"]))
+
+
 _REFERENCE, _SUPPORT = "reference", "support"
 
 
@@ -94,7 +99,7 @@ def with_os_attributes(rows: DataFrame, src: Sources, kinds: list[str]) -> DataF
     The few pairs of OS name and build are looked up, not the register; one OS may be on most
     hosts: the hosts of such a one are split by a second join key, for which its pair is repeated.
     """
-    heavy = src.known("heavy_os", lambda: heavy_keys(src.assets_os, ["os_name", "os_build"]))
+    heavy = heavy_os(src)
     pairs = src.assets_os.select("os_name", "os_build").distinct()
     null = F.lit(None).cast("string")
     found = {
@@ -113,37 +118,46 @@ def with_os_attributes(rows: DataFrame, src: Sources, kinds: list[str]) -> DataF
     return joined.drop("part", "pair_part", "pair_name", "pair_build")
 
 
-def _label(kpi: Kpi, value: Column) -> Column:
+def _label(kpi: Kpi) -> Column:
+    """The label, by the attribute that the KPI tells apart."""
+    if kpi.spec == "ltsc":
+        return F.trim(F.lit(kpi.indicateur))
+    value = F.col("first") if kpi.spec == "name" else F.col("second")
     return F.trim(F.concat(F.lit(kpi.indicateur), default_label(value)))
 
 
 def _tuple(i: int, kpi: Kpi) -> Column:
-    """What a KPI counts once: the tag with up to two attributes, its label, and whether the row is one."""
+    """What a KPI counts once: the tag with up to two attributes, and whether the row is one."""
     kind = F.col("kind") == (_SUPPORT if kpi.spec == "support" else _REFERENCE)
     tag, name, edition, support = (F.col(c) for c in ("tag", "name", "edition", "support"))
-    tag, first, second, label, keep = {
-        "name": (F.trim(tag), F.trim(name), F.lit(None), _label(kpi, F.trim(name)), kind),
-        "licence": (tag, name, edition, _label(kpi, edition), kind),
-        "ltsc": (tag, name, edition, F.trim(F.lit(kpi.indicateur)), kind & F.col("commercial_version").contains(fv.LTSC_MARK)),
-        "support": (tag, F.col("os_name"), support, _label(kpi, support), kind),
+    tag, first, second, keep = {
+        "name": (F.trim(tag), F.trim(name), F.lit(None), kind),
+        "licence": (tag, name, edition, kind),
+        "ltsc": (tag, name, edition, kind & F.col("commercial_version").contains(fv.LTSC_MARK)),
+        "support": (tag, F.col("os_name"), support, kind),
     }[kpi.spec]
     return F.struct(
         F.lit(i).alias("kpi"),
         tag.alias("tag"),
         first.cast("string").alias("first"),
         second.cast("string").alias("second"),
-        label.alias("label"),
         F.coalesce(keep, F.lit(False)).alias("keep"),
     )
 
 
 def os_mix_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
-    """Requested OS counts in one pass; each counts its own distinct tuples."""
+    """Requested OS counts in one pass; each counts its own distinct tuples.
+
+    Owners' units are attached before a host has a row per entry of the OS lists. Labels and
+    paths follow from what is counted by and are made for the few sums, not for each host.
+    """
     kinds = sorted({_SUPPORT if k.spec == "support" else _REFERENCE for k in kpis})
-    rows = with_raw_units(with_os_attributes(register_os(src), src, kinds), src)
+    rows = with_os_attributes(with_raw_units(register_os(src), src), src, kinds)
     entries = F.inline(F.array(*[_tuple(i, k) for i, k in enumerate(kpis)]))
     tuples = rows.select(*fv.ORG_LEVELS_3, entries).filter("keep").distinct()
-    counts = tuples.groupBy("kpi", "label", org_path3().alias("maille")).agg(F.count(F.lit(1)).alias("n"))
+    sums = tuples.groupBy("kpi", "first", "second", *fv.ORG_LEVELS_3).agg(F.count(F.lit(1)).alias("n"))
+    label = reduce(lambda found, i: F.when(F.col("kpi") == i, _label(kpis[i])).otherwise(found), range(len(kpis)), F.lit(None))
+    counts = sums.groupBy("kpi", label.alias("label"), org_path3().alias("maille")).agg(F.sum("n").alias("n"))
     measures = [Measure(k, F.col("n"), F.col("kpi") == i, indicateur=F.col("label")) for i, k in enumerate(kpis)]
     return result_rows(counts, fv.UNIT_GROUP_3, measures)
 

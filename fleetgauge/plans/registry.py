@@ -28,6 +28,11 @@ FAMILIES = {
     sql_kpis.FAMILY: sql_kpis.sql_kpis,
 }
 
+# families that read when hosts were last scanned
+READ_SCANS = {
+    counts.FAMILY, quality.FAMILY, compliance.TOTAL_FAMILY, compliance.FAMILY, support.FAMILY, campaigns.TARGETED_FAMILY, campaigns.FAMILY
+}
+
 KPIS: list[Kpi] = [*compliance.KPIS, *counts.KPIS, *quality.KPIS, *support.KPIS, *os_mix.KPIS, *campaigns.KPIS]
 BY_NAME: dict[str, Kpi] = {k.name: k for k in [*KPIS, *quality.PARITY_KPIS]}
 
@@ -72,10 +77,17 @@ def run_reports(src: Sources, as_of: AsOf, kpis: Iterable[Kpi], keep: Keep = wri
     """
     kpis = list(kpis)
     shared = src if src.keeps_blocks else src.sharing(keep)
-    blocks = quality.shared_blocks(shared, as_of, [k for k in kpis if k.family == quality.FAMILY])
+    families = {k.family for k in kpis}
+    blocks = [
+        *quality.shared_blocks(shared, as_of, [k for k in kpis if k.family == quality.FAMILY]),
+        *compliance.shared_blocks(shared, as_of, kpis),
+        *campaigns.shared_blocks(shared, as_of, kpis),
+    ]
     if not blocks:
         return compute_with_report(src, as_of, kpis)
-    shared.prepare(blocks)
+    if len(families & READ_SCANS) > 1:
+        shared.keep_table("last_seen")
+    shared.prepare(blocks + [lambda: os_mix.heavy_os(shared)] * (os_mix.FAMILY in families))
     return compute_with_report(shared, as_of, kpis)
 
 

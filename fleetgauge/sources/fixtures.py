@@ -178,13 +178,11 @@ def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
 def _open(spark: SparkSession, sf_dir: str) -> Sources:
     loaders = {t: (lambda t=t: spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in BASE_TABLES}
 
-    def fixture(name: str) -> DataFrame:
+    def fixture(sources: Sources, name: str) -> DataFrame:
         sql = FIXTURE_SQL[name]
         df = spark.sql(sql, **{t: sources[t] for t in dependencies(sql)})
         if name == "agent_inventory":
             df = df.withColumn("macs", F.array("mac_1", "mac_2"))
         return df
 
-    loaders |= {n: (lambda n=n: fixture(n)) for n in FIXTURE_SQL}
-    sources = Sources(spark, loaders)
-    return sources
+    return Sources(spark, loaders, {n: (lambda sources, n=n: fixture(sources, n)) for n in FIXTURE_SQL})

@@ -21,11 +21,18 @@ class Sources:
 
     ``sources.block`` gives frames derived from them that many KPIs use. A plan of a few KPIs
     derives them in place; a job over all of them sets ``keep`` to have each written once.
+    ``derived``: tables made from others of the same sources, so that these may be kept ones.
     """
 
-    def __init__(self, spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        loaders: Mapping[str, Callable[[], DataFrame]],
+        derived: Mapping[str, Callable[[Sources], DataFrame]] | None = None,
+    ):
         self.spark = spark
         self._loaders = dict(loaders)
+        self._derived = dict(derived or {})
         self._frames: dict[str, DataFrame] = {}
         self._keep: Keep | None = None
         self._blocks: dict[str, DataFrame] = {}
@@ -39,7 +46,7 @@ class Sources:
 
     def sharing(self, keep: Keep) -> Sources:
         """The same tables, with every block kept by ``keep`` when it is first used."""
-        shared = Sources(self.spark, {n: (lambda n=n: self[n]) for n in self._loaders})
+        shared = Sources(self.spark, {n: (lambda n=n: self[n]) for n in self._loaders}, self._derived)
         shared._keep = keep
         shared._known = self._known
         return shared
@@ -55,11 +62,19 @@ class Sources:
             self._blocks[name] = frame if self._keep is None else self._keep(frame, name)
         return self._blocks[name]
 
+    def keep_table(self, name: str) -> None:
+        """Have a table that is derived from others, and that many KPIs read, kept like a block."""
+        if self.keeps_blocks and name in self._derived and name not in self._frames:
+            self._frames[name] = self.block(f"table_{name}", lambda: self._derived[name](self))
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            if name not in self._loaders:
+            if name in self._derived:
+                self._frames[name] = self._derived[name](self)
+            elif name in self._loaders:
+                self._frames[name] = self._loaders[name]()
+            else:
                 raise KeyError(f"no source table {name!r}")
-            self._frames[name] = self._loaders[name]()
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -69,7 +84,7 @@ class Sources:
 
     @property
     def names(self) -> list[str]:
-        return sorted(self._loaders)
+        return sorted({*self._loaders, *self._derived})
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, names: list[str]) -> Sources:
