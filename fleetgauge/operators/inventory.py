@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.text import account_or_excluded, joined_list, key_part, norm_key
 from fleetgauge.functions.time import AsOf, day_age
-from fleetgauge.operators.dedupe import latest_narrow, latest_per_key, newest_first, tie_break, tied_keys
+from fleetgauge.operators.dedupe import latest_narrow, latest_per_key, tie_break, tied_keys
 from fleetgauge.sources.tables import Sources
 
 
@@ -116,6 +117,9 @@ class Selection:
     def label(self) -> str:
         return f"model={self.model} window={self.window}"
 
+    def flag(self) -> Column:
+        return F.col(f"`{self.label}`")
+
     def condition(self) -> Column:
         chosen = F.lit(True)
         if self.model:
@@ -128,13 +132,12 @@ class Selection:
 def latest_by_selection(
     src: Sources, as_of: AsOf, columns: list[str], selections: list[Selection], with_scan: bool = False
 ) -> DataFrame:
-    """Latest register record per normalised tag: one row per tag, one struct per selection.
+    """Register records that are the latest of their normalised tag in a selection, with a flag per selection.
 
     Scan and model belong to the raw tag. Where they are needed, records are first reduced to
     one per raw tag: the joins then meet each tag once however often it was copied, and reuse
-    that partitioning. The reduction per normalised tag is an aggregate with partial results
-    on the map side; all selections share its shuffle. Ties are broken by all register
-    columns, whichever are asked for.
+    that partitioning. A normalised tag then has a row per spelling, and all selections share
+    one order of these. Ties are broken by all register columns, whichever are asked for.
     """
     sequence = [c for c in ("seq", "seq2") if c in src.assets.columns]
     known = [c for c in REGISTER_COLUMNS if c in src.assets.columns]
@@ -156,28 +159,25 @@ def latest_by_selection(
         else:
             rows = rows.join(scans, rows.tag == scans.scan_host, "left")
         of_tag.append("lastscan")
-    record = F.struct(newest_first(rows, "updated_on").alias("age"), F.struct(*ties, *of_tag).alias("asset"))
+    rows = rows.withColumn("tag_key", norm_key("tag"))
     payload = list(dict.fromkeys(["tag", *columns, *of_tag]))
-    latest = [F.min(F.when(s.condition(), record)).alias(s.label) for s in selections]
-    grouped = rows.groupBy(norm_key("tag").alias("tag_key")).agg(*latest)
-
-    def asset(s: Selection) -> Column:
-        found = F.col(f"`{s.label}`.asset")
-        return F.when(found.isNotNull(), F.struct(*[found[c].alias(c) for c in payload])).alias(s.label)
-
-    return grouped.select("tag_key", *[asset(s) for s in selections])
+    if not (any(models) or with_scan):  # one selection, of every record
+        latest = latest_per_key(rows, ["tag_key"], "updated_on", ties)
+        return latest.select("tag_key", *payload, F.lit(True).alias(selections[0].label))
+    order = [F.desc_nulls_first("updated_on"), *[F.asc(c) for c in [*ties, *of_tag]]]
+    so_far = Window.partitionBy("tag_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = [s.condition() & (F.count_if(s.condition()).over(so_far) == 1) for s in selections]
+    flagged = rows.select("tag_key", *payload, *[c.alias(s.label) for c, s in zip(first, selections, strict=True)])
+    return flagged.filter(reduce(Column.__or__, [s.flag() for s in selections]))
 
 
 def per_selection(rows: DataFrame, selections: list[Selection]) -> DataFrame:
-    """The structs of ``latest_by_selection`` as rows, with the selection they belong to."""
+    """The rows of ``latest_by_selection`` once for each selection they are the latest of."""
     others = [c for c in rows.columns if c not in {s.label for s in selections}]
     if len(selections) == 1:
-        label = selections[0].label
-        found = rows.filter(F.col(f"`{label}`").isNotNull())
-        return found.select(*others, F.lit(label).alias("selection"), F.col(f"`{label}`.*"))
-    entries = [F.struct(F.lit(s.label).alias("selection"), F.col(f"`{s.label}`").alias("asset")) for s in selections]
-    long = rows.select(*others, F.inline(F.array(*entries))).filter(F.col("asset").isNotNull())
-    return long.select(*others, "selection", "asset.*")
+        return rows.filter(selections[0].flag()).select(*others, F.lit(selections[0].label).alias("selection"))
+    entries = [F.when(s.flag(), F.lit(s.label)) for s in selections]
+    return rows.select(*others, F.explode(F.array(*entries)).alias("selection")).filter(F.col("selection").isNotNull())
 
 
 def asset_latest(

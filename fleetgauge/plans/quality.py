@@ -106,27 +106,34 @@ def _selection(spec: QualitySpec) -> Selection:
     return Selection(any(SINGLE[p].model for p in _parts(spec.attribute)), spec.within_window)
 
 
+def _selections(specs: list[QualitySpec]) -> list[Selection]:
+    return sorted({_selection(s) for s in specs})
+
+
 def compared_assets(src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> DataFrame:
     """Latest record per normalised tag and selection, with the latest agent record beside it."""
+    return per_selection(_flagged_assets(src, as_of, specs), _selections(specs))
+
+
+def _flagged_assets(src: Sources, as_of: AsOf, specs: list[QualitySpec]) -> DataFrame:
+    """The same, a record of several selections once, with a flag for each."""
     attributes = sorted({p for s in specs for p in _parts(s.attribute)})
     columns = ["owner_id", *(c for a in attributes for c in SINGLE[a].columns)]
     if any(s.connected for s in specs):
         columns.append("network")
-    selections = sorted({_selection(s) for s in specs})
     with_scan = any(s.fresh_days for s in specs)
-    assets = latest_by_selection(src, as_of, columns, selections, with_scan)
+    assets = latest_by_selection(src, as_of, columns, _selections(specs), with_scan)
     wanted = {c for a in attributes for c in SINGLE[a].agent}
     if any(s.attribute == "all" for s in specs):
         wanted.add("top_user")
     agent = agent_latest(src, wanted).select("host", *[F.col(c).alias(_AGENT_ALIASES[c]) for c in sorted(wanted)])
-    joined = assets.join(agent, assets.tag_key == agent.host, "left").drop("host")
-    return per_selection(joined, selections)
+    return assets.join(agent, assets.tag_key == agent.host, "left").drop("host")
 
 
 def _single_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     """KPIs that count one record per asset."""
     specs: list[QualitySpec] = [k.spec for k in kpis]
-    rows = compared_assets(src, as_of, specs).withColumn("owner_key", F.upper("owner_id"))
+    rows = _flagged_assets(src, as_of, specs).withColumn("owner_key", F.upper("owner_id"))
     min_age = specs[0].min_age
     times = F.lit(1)
     if min_age is not None:
@@ -148,7 +155,7 @@ def _single_kpis(src: Sources, as_of: AsOf, kpis: list[Kpi]) -> DataFrame:
     keys = ["owner_key", "agent_user"] if composite else ["owner_key"]
     aggregates = []
     for i, s in enumerate(specs):
-        selected = [F.col("selection") == _selection(s).label] + ([F.col("connected")] if s.connected else [])
+        selected = [_selection(s).flag()] + ([F.col("connected")] if s.connected else [])
         equal = [F.col(f"equal_{p}") for p in _parts(s.attribute)]
         if s.fresh_days is not None:
             equal.append(F.col(f"seen_{s.fresh_days}"))
